@@ -4,7 +4,7 @@ from importlib import import_module
 
 from starloom.catalog.registry import ORACLES, QUERIES
 
-_MODULES = ("staging",)
+_MODULES = ("staging", "loads")
 
 
 def _load() -> None:

@@ -138,14 +138,21 @@ def _typed_sql(system: str, geo: str) -> str:
     )
 
 
+def _extract(spark, sf_dir, spec):
+    """One source's feed written as its CSV extract and read back as text."""
+    path = scratch_path(spark, f"extract-{spec.table}")
+    extracts.convert(feed.raw_text(spark, sf_dir, spec), path)
+    return extracts.read_raw(spark, path, spec)
+
+
 @query(_typed_sql("SA_INSTORE", _GEO))
 def staging_instore(spark, sf_dir):
-    return extracts.clean_rows(feed.raw_text(spark, sf_dir, INSTORE), INSTORE, CTX)
+    return extracts.clean_rows(_extract(spark, sf_dir, INSTORE), INSTORE, CTX)
 
 
 @query(_typed_sql("SA_ONLINE", ""))
 def staging_online(spark, sf_dir):
-    return extracts.clean_rows(feed.raw_text(spark, sf_dir, ONLINE), ONLINE, CTX)
+    return extracts.clean_rows(_extract(spark, sf_dir, ONLINE), ONLINE, CTX)
 
 
 @query(
@@ -156,15 +163,23 @@ def staging_online(spark, sf_dir):
     """
 )
 def staging_rejects(spark, sf_dir):
-    parts = [extracts.rejects(feed.raw_text(spark, sf_dir, s), s) for s in (INSTORE, ONLINE)]
+    parts = [extracts.rejects(_extract(spark, sf_dir, s), s) for s in (INSTORE, ONLINE)]
     return parts[0].unionByName(parts[1])
 
 
-@query(_typed_sql("SA_ONLINE", ""))
+@query(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+      CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS VARCHAR) AS c_acctbal, c_mktsegment
+    FROM customer
+    """
+)
 def csv_roundtrip(spark, sf_dir):
+    customer = feed.table(spark, sf_dir, "customer")
     path = scratch_path(spark, "csv")
-    extracts.convert(feed.raw_text(spark, sf_dir, ONLINE), path)
-    return extracts.clean_rows(extracts.read_raw(spark, path, ONLINE), ONLINE, CTX)
+    extracts.convert(customer.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(14,2)")), path)
+    ddl = ", ".join(f"{c} string" for c in customer.columns)
+    return spark.read.schema(ddl).option("header", True).csv(path)
 
 
 @query(

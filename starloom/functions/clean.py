@@ -21,15 +21,20 @@ def _stripped(c: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_replace(c, pattern, ""), F.lit(""))
 
 
+def _to_integer(c: Column, kind: str) -> Column:
+    # Text that is a plain number already skips the pattern.
+    return F.coalesce(c.try_cast(kind), _stripped(c, NOT_INTEGER_CHARS).try_cast(kind))
+
+
 def to_long(c: Column) -> Column:
     """Digits and minus signs as BIGINT. A decimal point is removed as well
     (``'12.0'`` reads 120) and an inner minus (``'12-3'``) gives NULL."""
-    return _stripped(c, NOT_INTEGER_CHARS).try_cast("bigint")
+    return _to_integer(c, "bigint")
 
 
 def to_int(c: Column) -> Column:
     """As :func:`to_long`, for INT."""
-    return _stripped(c, NOT_INTEGER_CHARS).try_cast("int")
+    return _to_integer(c, "int")
 
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:

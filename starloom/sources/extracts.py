@@ -86,19 +86,24 @@ def tag_lineage(df: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def _typed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """Typed columns plus ``bad_columns``, the raw columns that could not be
-    read. A row without a source id is bad as well."""
-    typed = {c: _reader(c, F.col(c)) for c in spec.raw_columns}
-    converted = [c for c in spec.raw_columns if c in (*_LONG, *_INT, *_AMOUNT)]
-    converted += ["operating_margin", "invoice_date"]
+    read. A row without a source id is bad as well.
+
+    The typed row is generated as one struct: filters on ``bad_columns`` stop
+    there, where they would otherwise move below the projection and read every
+    field a second time.
+    """
+    converted = sorted(
+        {*_LONG, *_INT, *_AMOUNT, "operating_margin", "invoice_date"} & {*spec.raw_columns}
+    )
+    cells = [_reader(c, F.col(c)).alias(_staging_name(c)) for c in spec.raw_columns]
+    filled = [clean.is_present(F.col(c)).alias(f"_has_{c}") for c in converted]
+    rows = raw.select(F.inline(F.array(F.struct(*cells, *filled))))
     faults = [
-        F.when(clean.is_present(F.col(c)) & typed[c].isNull(), F.lit(c)) for c in sorted(converted)
+        F.when(F.col(f"_has_{c}") & F.col(_staging_name(c)).isNull(), F.lit(c)) for c in converted
     ]
-    faults.append(F.when(F.col("index").isNull(), F.lit("index")))
-    cleaned = raw.select(
-        *[typed[c].alias(_staging_name(c)) for c in spec.raw_columns],
-        F.concat_ws(",", *faults).alias("bad_columns"),
-    )
-    return tag_lineage(cleaned, spec)
+    faults.append(F.when(F.col("source_id").isNull(), F.lit("index")))
+    marked = rows.withColumn("bad_columns", F.concat_ws(",", *faults))
+    return tag_lineage(marked.drop(*[f"_has_{c}" for c in converted]), spec)
 
 
 def clean_rows(raw: DataFrame, spec: SourceSpec, ctx: LoadContext) -> DataFrame:
