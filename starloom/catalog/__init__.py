@@ -4,7 +4,7 @@ from importlib import import_module
 
 from starloom.catalog.registry import ORACLES, QUERIES
 
-_MODULES = ("staging", "loads")
+_MODULES = ("staging", "loads", "star")
 
 
 def _load() -> None:

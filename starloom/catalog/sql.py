@@ -131,7 +131,8 @@ def method(kind: str, b: str = "stg") -> str:
 
 
 def customers(b: str = "stg") -> str:
-    """First load of both sources, in-store before online: all versions open."""
+    """First load of both sources, in-store before online: all versions open; a
+    customer of both carries the online names."""
     return f"""
 cust_src AS (
   SELECT source_system, source_entity, coalesce(customer_id, 0) AS customer_src_id,
@@ -141,14 +142,16 @@ cust_src AS (
   QUALIFY row_number() OVER (PARTITION BY source_system, coalesce(customer_id, 0)
     ORDER BY invoice_ts DESC, customer_firstname DESC, customer_lastname DESC) = 1
 ),
+cust_off AS (SELECT * FROM cust_src WHERE source_system = 'SA_INSTORE'),
+cust_on AS (SELECT * FROM cust_src WHERE source_system = 'SA_ONLINE'),
 cust AS (
-  SELECT {ident('customer_src_id')} AS customer_id, * FROM cust_src
-  WHERE source_system = 'SA_INSTORE'
+  SELECT {ident('i.customer_src_id')} AS customer_id, i.source_system, i.source_entity,
+    i.customer_src_id, coalesce(o.first_name, i.first_name) AS first_name,
+    coalesce(o.last_name, i.last_name) AS last_name
+  FROM cust_off i LEFT JOIN cust_on o ON o.customer_src_id = i.customer_src_id
   UNION ALL
-  SELECT {ident('customer_src_id', "(SELECT count(*) FROM cust_src WHERE source_system = 'SA_INSTORE')")}, *
-  FROM cust_src o WHERE source_system = 'SA_ONLINE' AND NOT EXISTS (
-    SELECT 1 FROM cust_src i WHERE i.source_system = 'SA_INSTORE'
-      AND i.customer_src_id = o.customer_src_id)
+  SELECT {ident('customer_src_id', '(SELECT count(*) FROM cust_off)')}, *
+  FROM cust_on o WHERE customer_src_id NOT IN (SELECT customer_src_id FROM cust_off)
 )"""
 
 

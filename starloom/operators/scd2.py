@@ -43,10 +43,11 @@ def apply(
 ) -> VersionResult:
     """Bring the version table up to ``source`` (one row per key, unique).
 
-    * changed and opened before the load date: close on the day before, open a
-      new version from the load date;
-    * changed and opened on the load date (or later): correct the open version
-      in place, so no version ends before it starts;
+    * changed and opened by an earlier load: close on the day before the load
+      date, open a new version from the load date;
+    * changed but opened by this load (an earlier source of it) or starting on
+      the load date: correct the open version in place, so no version ends
+      before it starts;
     * no open version: open one, from ``ctx.first_version_start`` when the key is
       new altogether, else from the load date;
     * unchanged, or absent from ``source``: untouched.
@@ -63,9 +64,10 @@ def apply(
 
     joined = active.join(incoming, key, "full_outer")
     differs = F.col("_in_source") & changed(list(tracked), "", "_n_")
+    earlier = (F.col("start_dt") < ctx.load_dt_col) & (F.col("insert_dt") < ctx.load_ts_col)
     fate = (
         F.when(F.col("_in_target").isNull(), "open")
-        .when(differs & (F.col("start_dt") < ctx.load_dt_col), "replace")
+        .when(differs & earlier, "replace")
         .when(differs, "correct")
         .otherwise("keep")
     )
