@@ -419,10 +419,10 @@ def dq_margin_range(spark, sf_dir):
     return checks.range_check(rows, "operating_margin", low=0, high=0.45)
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE length(p_name) > 12")
+@query("SELECT p_partkey, p_name FROM part WHERE length(p_name) > 11")
 def dq_text_length(spark, sf_dir):
     rows = feed.table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return checks.too_long(rows, {"p_name": 12})
+    return checks.too_long(rows, {"p_name": 11})
 
 
 @query(

@@ -10,7 +10,7 @@ from starloom import schemas
 from starloom.catalog import sql
 from starloom.catalog.registry import query
 from starloom.catalog.sql import FAULTY, SRC, STG, ident
-from starloom.context import LoadContext, materialise
+from starloom.context import LoadContext, materialise, together
 from starloom.functions.dates import date_key
 from starloom.functions.measures import with_measures
 from starloom.operators import keys, lookup, merge, scd2
@@ -496,22 +496,33 @@ def sales_measures(spark, sf_dir):
 
 def sales_tables(spark, staging):
     """All lookups of the sales load, each written once."""
-    category = materialise(category_table(spark, staging), "category")
-    versions = empty(spark, "ce_customer_scd")
-    for system in ("SA_INSTORE", "SA_ONLINE"):
-        part = staging.filter(F.col("source_system") == system)
-        versions = materialise(nf3.load_customer(versions, part, CTX).table, "customer")
     places = staging.filter(F.col("source_system") == "SA_INSTORE")
-    return {
-        "customer": versions,
-        "product": materialise(product_table(spark, staging, category), "product"),
-        "retailer": materialise(retailer_table(spark, staging), "retailer"),
-        "city": materialise(
-            places.select(F.col("city_id")).filter("city_id is not null").distinct(), "city"
+
+    def product():
+        category = materialise(category_table(spark, staging), "category")
+        return materialise(product_table(spark, staging, category), "product")
+
+    def customer():
+        versions = empty(spark, "ce_customer_scd")
+        for system in ("SA_INSTORE", "SA_ONLINE"):
+            part = staging.filter(F.col("source_system") == system)
+            versions = materialise(nf3.load_customer(versions, part, CTX).table, "customer")
+        return versions
+
+    def method(kind):
+        return materialise(method_table(spark, staging, kind), "method")
+
+    plan = {
+        "customer": customer,
+        "product": product,
+        "retailer": lambda: materialise(retailer_table(spark, staging), "retailer"),
+        "city": lambda: materialise(
+            places.select("city_id").filter("city_id is not null").distinct(), "city"
         ),
-        "sales_method": materialise(method_table(spark, staging, "sales_method"), "method"),
-        "payment_method": materialise(method_table(spark, staging, "payment_method"), "method"),
+        "sales_method": lambda: method("sales_method"),
+        "payment_method": lambda: method("payment_method"),
     }
+    return dict(zip(plan, together(*plan.values()), strict=True))
 
 
 def resolved_sales(spark, sf_dir, faulty: bool):
@@ -521,9 +532,9 @@ def resolved_sales(spark, sf_dir, faulty: bool):
 
 
 _SALES_SHOWN = [
-    c.split()[0]
-    for c in schemas.NF3["ce_sales"].split(", ")
-    if c.split()[0] not in ("sale_id", "insert_dt", "update_dt")
+    c
+    for c in schemas.names(schemas.NF3["ce_sales"])
+    if c not in ("sale_id", "insert_dt", "update_dt")
 ]
 
 

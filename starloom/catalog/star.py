@@ -159,9 +159,9 @@ def upsert_counts(spark, sf_dir):
     from starloom.operators.merge import update_changed
 
     target, product, category = _product_loads(spark, sf_dir)
-    result = dims.load_product(target, product, category, write_once=True)
+    result = dims.load_product(target, product, category)
     table = materialise(result.table, "dim")
-    again = dims.load_product(table, product, category, write_once=True)
+    again = dims.load_product(table, product, category)
     only = update_changed(
         target,
         dims.product_source(product, category),
@@ -298,7 +298,7 @@ def load_warehouse(spark, sf_dir: str, all_months: bool = False) -> tuple[Store,
     stamped = rows.withColumns({"insert_dt": CTX.load_ts_col, "update_dt": CTX.load_ts_col})
     cleaned = {
         spec.table: stamped.filter(F.col("source_system") == spec.system).select(
-            *schemas.struct(schemas.STAGING[spec.table]).names
+            *schemas.names(schemas.STAGING[spec.table])
         )
         for spec in SOURCES
     }
@@ -318,7 +318,7 @@ def warehouse_of(spark, sf_dir: str) -> Store:
     return _LOADED[key]
 
 
-_FACT_COLUMNS = ", ".join(schemas.struct(schemas.STAR["fct_sales"]).names)
+_FACT_COLUMNS = ", ".join(schemas.names(schemas.STAR["fct_sales"]))
 _IN_WINDOW = "invoice_ts >= (SELECT w0 FROM win) AND invoice_ts < (SELECT w1 FROM win)"
 
 
@@ -473,11 +473,11 @@ def customer_history(spark, sf_dir):
         SELECT log_id, procedure_name, rows_affected, message FROM (
           SELECT 9 AS log_id, 'load_sales' AS procedure_name,
             (SELECT count(*) FROM sales) AS rows_affected, 'ok' AS message
-          UNION ALL SELECT 10, 'load_dim_product', (SELECT count(*) FROM dprod),
+          UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
             'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
-          UNION ALL SELECT 15, 'load_dim_customer', (SELECT count(*) FROM dcust),
+          UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
             'dim_customer: ins=' || (SELECT count(*) FROM dcust) || ', upd=0'
-          UNION ALL SELECT 16, 'load_dimensions', 0, 'all dimensions loaded')
+          UNION ALL SELECT 17, 'load_dimensions', 0, 'all dimensions loaded')
         """
     )
 )

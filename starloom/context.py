@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
@@ -63,6 +65,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def together(*tasks: Callable[[], object]) -> list:
+    """Run independent driver-side steps at the same time, so that their small
+    jobs share the cluster; results in the given order. The first error is
+    raised after all have ended."""
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        running = [pool.submit(task) for task in tasks]
+    return [r.result() for r in running]
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

@@ -73,9 +73,9 @@ def assign_stamped(stamped: DataFrame, id_col: str, start: int = 0) -> DataFrame
 
 def ensure_default_member(table: DataFrame, member: dict, id_col: str) -> DataFrame:
     """``table`` with its unknown member, added only when no row has that key."""
-    spark = table.sparkSession
-    row = spark.range(1).select(
+    if not table.filter(F.col(id_col) == member[id_col]).isEmpty():
+        return table
+    row = table.sparkSession.range(1).select(
         *[F.lit(member.get(f.name)).cast(f.dataType).alias(f.name) for f in table.schema]
     )
-    present = table.filter(F.col(id_col) == member[id_col]).select(id_col)
-    return table.unionByName(row.join(present, id_col, "left_anti").select(*table.columns))
+    return table.unionByName(row)

@@ -29,25 +29,24 @@ class MergeResult:
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` (unique on ``keys``) whose key ``target`` lacks.
+    """Rows of ``source`` (unique on ``keys``, none NULL) whose key ``target`` lacks.
 
-    Keys compare null-safe: a NULL in both is the same key.
+    A source that was just made unique on the same keys is partitioned by them
+    already, so the anti join moves only the target's keys.
     """
-    return anti_join_null_safe(source, target.select(*keys), keys)
-
-
-def anti_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    seen = right.withColumnsRenamed({k: f"_t_{k}" for k in keys})
-    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
-    return left.join(seen, on, "left_anti")
+    return source.join(target.select(*keys), keys, "left_anti")
 
 
 def append_new(
     target: DataFrame, source: DataFrame, keys: list[str], id_col: str, start: int | None = None
 ) -> DataFrame:
-    """New rows for ``target`` with surrogate keys that continue its own."""
+    """New rows for ``target`` with surrogate keys that continue its own.
+
+    The new rows are written once before they are numbered, so a long feed is
+    read a single time.
+    """
     start = surrogate.max_id(target, id_col) if start is None else start
-    fresh = insert_missing(target, source, keys)
+    fresh = materialise(insert_missing(target, source, keys), "fresh")
     return surrogate.assign(fresh, keys, id_col, start).select(*target.columns)
 
 
@@ -85,19 +84,16 @@ def upsert(
     tracked: list[str],
     id_col: str,
     start: int | None = None,
-    write_once: bool = False,
 ) -> MergeResult:
     """Update the tracked columns of changed rows and insert missing rows.
 
     One full outer join on the business key settles every row's fate; unchanged
     rows and rows without a source pass through. ``source`` is unique on
-    ``keys``. ``write_once`` stores the joined frame so the deltas and the new
-    table are cut from one evaluation.
+    ``keys``. The settled frame is written once; the deltas and the new table
+    are cut from it.
     """
     start = surrogate.max_id(target, id_col) if start is None else start
-    settled = _settle(target, source, keys, tracked, "full_outer")
-    if write_once:
-        settled = materialise(settled, "upsert")
+    settled = materialise(_settle(target, source, keys, tracked, "full_outer"), "upsert")
     fresh = settled.filter("_fate = 'insert'").drop("_fate", id_col)
     inserted = surrogate.assign(fresh, keys, id_col, start).select(*target.columns)
     updated = settled.filter("_fate = 'update'").drop("_fate")

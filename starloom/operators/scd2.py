@@ -39,7 +39,6 @@ def apply(
     derived: tuple[str, ...] = ("full_name",),
     id_col: str = "customer_id",
     start: int | None = None,
-    write_once: bool = False,
 ) -> VersionResult:
     """Bring the version table up to ``source`` (one row per key, unique).
 
@@ -52,7 +51,8 @@ def apply(
       new altogether, else from the load date;
     * unchanged, or absent from ``source``: untouched.
 
-    Changes are told null-safe. At most one version per key is active.
+    Changes are told null-safe. At most one version per key is active. The
+    joined frame is written once; table and deltas are cut from it.
     """
     start = surrogate.max_id(target, id_col) if start is None else start
     attrs = [*tracked, *derived, "source_system", "source_entity"]
@@ -71,9 +71,7 @@ def apply(
         .when(differs, "correct")
         .otherwise("keep")
     )
-    joined = joined.withColumn("_fate", fate)
-    if write_once:
-        joined = materialise(joined, "versions")
+    joined = materialise(joined.withColumn("_fate", fate), "versions")
 
     replace, correct = F.col("_fate") == "replace", F.col("_fate") == "correct"
     settled = joined.filter("_fate <> 'open'").withColumns(

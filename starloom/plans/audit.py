@@ -3,16 +3,17 @@ line of a failed step stays when the run's tables do not."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.context import LoadContext
+from starloom.context import LoadContext, together
 
 
 @dataclass
@@ -22,7 +23,6 @@ class Step:
     name: str
     rows: int | None = None
     message: str = "ok"
-    parts: dict[str, int] = field(default_factory=dict)
 
     def merged(self, inserted: int, updated: int, label: str = "") -> None:
         """Report both halves of an upsert."""
@@ -31,11 +31,17 @@ class Step:
 
 
 class AuditLog:
-    """Append-only log table under ``path``."""
+    """Append-only log table under ``path``; one writer at a time.
+
+    Lines of successful steps are kept until :meth:`flush`, which every run
+    calls at its end; an error line is written at once.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._last: int | None = None
+        self._pending: list[tuple] = []
 
     def rows(self) -> DataFrame:
         try:
@@ -45,10 +51,17 @@ class AuditLog:
 
     def log(self, ctx: LoadContext, step: str, rows: int | None, message: str) -> None:
         """Add one line; a missing row count is logged as 0."""
-        last = self.rows().agg(F.coalesce(F.max("log_id"), F.lit(0))).first()[0]
-        line = [(last + 1, ctx.load_ts, step, rows or 0, message)]
-        frame = self.spark.createDataFrame(line, schemas.struct(schemas.ETL_LOG))
-        frame.coalesce(1).write.mode("append").parquet(self.path)
+        if self._last is None:
+            self._last = self.rows().agg(F.coalesce(F.max("log_id"), F.lit(0))).first()[0]
+        self._last += 1
+        self._pending.append((self._last, ctx.load_ts, step, rows or 0, message))
+
+    def flush(self) -> None:
+        """Write the pending lines as one file."""
+        if self._pending:
+            frame = self.spark.createDataFrame(self._pending, schemas.struct(schemas.ETL_LOG))
+            frame.coalesce(1).write.mode("append").parquet(self.path)
+            self._pending = []
 
     def latest(self, n: int, step: str | None = None) -> DataFrame:
         """Newest ``n`` lines, of one step or of all."""
@@ -57,6 +70,12 @@ class AuditLog:
             rows = rows.filter(F.col("procedure_name") == step)
         return rows.orderBy(F.desc("log_id")).limit(n)
 
+    def clear(self) -> None:
+        """Empty the log."""
+        self._pending, self._last = [], None
+        empty = self.spark.createDataFrame([], schemas.struct(schemas.ETL_LOG))
+        empty.write.mode("overwrite").parquet(self.path)
+
     @contextmanager
     def step(self, ctx: LoadContext, name: str) -> Iterator[Step]:
         """Log the outcome of a block. An error is logged and raised again."""
@@ -64,6 +83,30 @@ class AuditLog:
         try:
             yield report
         except Exception as problem:
-            self.log(ctx, name, 0, f"ERROR: {problem}".splitlines()[0])
+            self.failed(ctx, name, problem)
             raise
         self.log(ctx, name, report.rows, report.message)
+
+    def failed(self, ctx: LoadContext, name: str, problem: Exception) -> None:
+        self.log(ctx, name, 0, f"ERROR: {problem}".splitlines()[0])
+        self.flush()
+
+    def steps(self, ctx: LoadContext, work: dict[str, Callable[[Step], None]]) -> None:
+        """Run independent steps at the same time and log them in their order."""
+
+        def run(name: str) -> tuple[Step, Exception | None]:
+            report = Step(name)
+            try:
+                work[name](report)
+            except Exception as problem:
+                return report, problem
+            return report, None
+
+        outcomes = together(*[partial(run, name) for name in work])
+        for report, problem in outcomes:
+            if problem is None:
+                self.log(ctx, report.name, report.rows, report.message)
+        for report, problem in outcomes:
+            if problem is not None:
+                self.failed(ctx, report.name, problem)
+                raise problem

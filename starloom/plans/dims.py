@@ -29,7 +29,7 @@ def product_source(product: DataFrame, category: DataFrame) -> DataFrame:
 
 
 def load_product(
-    target: DataFrame, product: DataFrame, category: DataFrame, **kw
+    target: DataFrame, product: DataFrame, category: DataFrame
 ) -> MergeResult:
     return upsert(
         target,
@@ -37,25 +37,24 @@ def load_product(
         schemas.BUSINESS_KEY["dim_product"],
         ["product_name", "category_src_id", "category_name"],
         "product_key",
-        **kw,
     )
 
 
-def load_retailer(target: DataFrame, retailer: DataFrame, **kw) -> MergeResult:
+def load_retailer(target: DataFrame, retailer: DataFrame) -> MergeResult:
     source = _members(retailer, "retailer_id").select(
         *SRC, "retailer_src_id", F.col("retailer").alias("retailer_name")
     )
     keys = schemas.BUSINESS_KEY["dim_retailer"]
-    return upsert(target, source, keys, ["retailer_name"], "retailer_key", **kw)
+    return upsert(target, source, keys, ["retailer_name"], "retailer_key")
 
 
-def load_method(target: DataFrame, method: DataFrame, kind: str, **kw) -> MergeResult:
+def load_method(target: DataFrame, method: DataFrame, kind: str) -> MergeResult:
     """``kind`` is ``sales_method`` or ``payment_method``."""
     source = _members(method, f"{kind}_id").select(
         *SRC, f"{kind}_src_id", F.col(kind).alias(f"{kind}_name")
     )
     keys = schemas.BUSINESS_KEY[f"dim_{kind}"]
-    return upsert(target, source, keys, [f"{kind}_name"], f"{kind}_key", **kw)
+    return upsert(target, source, keys, [f"{kind}_name"], f"{kind}_key")
 
 
 def flatten_hierarchy(city: DataFrame, state: DataFrame, region: DataFrame) -> DataFrame:
@@ -70,12 +69,12 @@ def flatten_hierarchy(city: DataFrame, state: DataFrame, region: DataFrame) -> D
 
 
 def load_geography(
-    target: DataFrame, city: DataFrame, state: DataFrame, region: DataFrame, **kw
+    target: DataFrame, city: DataFrame, state: DataFrame, region: DataFrame
 ) -> MergeResult:
     source = flatten_hierarchy(_members(city, "city_id"), state, region)
     tracked = ["city_name", "state_id", "state_name", "region_id", "region_name"]
     return upsert(
-        target, source, schemas.BUSINESS_KEY["dim_geography"], tracked, "geo_key", **kw
+        target, source, schemas.BUSINESS_KEY["dim_geography"], tracked, "geo_key"
     )
 
 
@@ -93,7 +92,7 @@ def customer_source(versions: DataFrame) -> DataFrame:
     )
 
 
-def load_customer(target: DataFrame, versions: DataFrame, **kw) -> MergeResult:
+def load_customer(target: DataFrame, versions: DataFrame) -> MergeResult:
     """Mirror of the customer versions. A version is known by customer and
     start, so closing one updates its row instead of adding a second."""
     return upsert(
@@ -102,7 +101,6 @@ def load_customer(target: DataFrame, versions: DataFrame, **kw) -> MergeResult:
         schemas.BUSINESS_KEY["dim_customer"],
         ["first_name", "last_name", "full_name", "end_date_key", "is_current"],
         "customer_key",
-        **kw,
     )
 
 

@@ -113,7 +113,7 @@ def candidates(
     dated = scd2.as_of_join(
         translate_keys(sales, maps, geography), versions, "customer_src_id", "date_key"
     )
-    return dated.select(*schemas.struct(schemas.STAR["fct_sales"]).names)
+    return dated.select(*schemas.names(schemas.STAR["fct_sales"]))
 
 
 def one_per_key(rows: DataFrame) -> DataFrame:

@@ -149,10 +149,10 @@ def customer_batch(staging: DataFrame) -> DataFrame:
 
 
 def load_customer(
-    target: DataFrame, staging: DataFrame, ctx: LoadContext, write_once: bool = False
+    target: DataFrame, staging: DataFrame, ctx: LoadContext
 ) -> scd2.VersionResult:
     """Customer versions from one source's staging rows."""
-    return scd2.apply(target, customer_batch(staging), ctx, write_once=write_once)
+    return scd2.apply(target, customer_batch(staging), ctx)
 
 
 def resolve_sales(
@@ -225,15 +225,21 @@ def resolve_sales(
     )
 
 
+def sales_rejects(staging: DataFrame) -> DataFrame:
+    """Staging rows that cannot become sales: no id or no time."""
+    return staging.filter("source_id is null or invoice_ts is null")
+
+
 def load_sales(target: DataFrame, resolved: DataFrame, ctx: LoadContext) -> DataFrame:
     """Sales whose natural key is new, one row per key, without ``sale_id``.
 
     The natural key holds the customer's business key, so an old sale stays
-    known after its customer's name changed.
+    known after its customer's name changed. Sales without id or time are no
+    sales: see :func:`sales_rejects`.
     """
     natural = schemas.BUSINESS_KEY["ce_sales"]
     rest = ["operating_profit", "operating_margin", "customer_id"]
-    once = keep_first(resolved, natural, rest)
+    once = keep_first(resolved.dropna(subset=["sale_src_id", "invoice_ts"]), natural, rest)
     fresh = insert_missing(target, once, natural)
     columns = [c for c in target.columns if c != "sale_id"]
     return stamp(fresh, ctx).select(*columns)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.context import LoadContext, materialise
+from starloom.context import LoadContext, materialise, together
 from starloom.operators import calendar, keys, scd2
 from starloom.operators.dedup import keep_first
 from starloom.operators.merge import MergeResult
 from starloom.plans import dims, fact, nf3
-from starloom.plans.audit import AuditLog
+from starloom.plans.audit import AuditLog, Step
 from starloom.quality import constraints
 from starloom.sources.extracts import INSTORE, ONLINE
 from starloom.sources.store import Store, Txn
@@ -25,13 +26,15 @@ STAGING_KEYS = ["customer_id", "product_id", "invoice_ts"]
 def stage(store: Store, log: AuditLog, ctx: LoadContext, cleaned: dict[str, DataFrame]) -> None:
     """Replace the staging tables by cleaned rows, later duplicates removed."""
     txn = store.begin()
-    for table, rows in cleaned.items():
-        with log.step(ctx, f"stage_{table}") as step:
-            written = txn.replace(
-                table, keep_first(rows, STAGING_KEYS, ["insert_dt", "source_id", *_rest(rows)])
-            )
-            step.rows = written.count()
+
+    def load(table: str, step: Step) -> None:
+        rows = cleaned[table]
+        order = ["insert_dt", "source_id", *_rest(rows)]
+        step.rows = txn.replace(table, keep_first(rows, STAGING_KEYS, order)).count()
+
+    log.steps(ctx, {f"stage_{t}": partial(load, t) for t in cleaned})
     txn.commit()
+    log.flush()
 
 
 def _rest(rows: DataFrame) -> list[str]:
@@ -54,43 +57,70 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     def append(table: str, load: Callable[[DataFrame], DataFrame]) -> int:
         return txn.append(table, load(txn.read(table))).count()
 
-    with log.step(ctx, "load_category") as step:
+    def category(step: Step) -> None:
         step.rows = append("ce_category", lambda t: nf3.load_category(t, staging, ctx))
-    with log.step(ctx, "load_product") as step:
-        category = txn.read("ce_category")
-        step.rows = append("ce_product", lambda t: nf3.load_product(t, staging, category, ctx))
-    with log.step(ctx, "load_retailer") as step:
+
+    def product(step: Step) -> None:
+        parents = txn.read("ce_category")
+        step.rows = append("ce_product", lambda t: nf3.load_product(t, staging, parents, ctx))
+
+    def retailer(step: Step) -> None:
         step.rows = append("ce_retailer", lambda t: nf3.load_retailer(t, staging, ctx))
-    with log.step(ctx, "load_methods") as step:
+
+    def methods(step: Step) -> None:
         step.rows = append(
             "ce_sales_method", lambda t: nf3.load_sales_method(t, staging, ctx)
         ) + append("ce_payment_method", lambda t: nf3.load_payment_method(t, staging, ctx))
-    with log.step(ctx, "load_geo") as step:
+
+    def geo(step: Step) -> None:
         places = txn.read(INSTORE.table)
-        step.rows = sum(
-            append(f"ce_{level}", lambda t: nf3.load_place(t, places, level, parent, ctx))
-            for level, parent in (("region", None), ("state", "region"), ("city", "state"))
-        )
-    with log.step(ctx, "load_customer") as step:
+        step.rows = 0
+        for level, parent in (("region", None), ("state", "region"), ("city", "state")):
+            load = partial(nf3.load_place, staging=places, level=level, parent=parent, ctx=ctx)
+            step.rows += append(f"ce_{level}", load)
+
+    def customer(step: Step) -> None:
         step.rows = 0
         for source in (INSTORE, ONLINE):
             result = nf3.load_customer(
-                txn.read("ce_customer_scd"), txn.read(source.table), ctx, write_once=True
+                txn.read("ce_customer_scd"), txn.read(source.table), ctx
             )
-            closed, opened = result.closed.count(), result.opened.count()
-            step.rows += closed + opened
-            txn.replace("ce_customer_scd", result.table)
-        step.message = "versions closed and opened"
+            closed, opened, corrected = (
+                part.count() for part in (result.closed, result.opened, result.corrected)
+            )
+            step.rows += closed + opened + corrected
+            if closed + opened + corrected:
+                txn.replace("ce_customer_scd", result.table)
+        step.message = "versions closed, opened or corrected"
+
+    log.steps(
+        ctx,
+        {
+            "load_category": category,
+            "load_retailer": retailer,
+            "load_methods": methods,
+            "load_geo": geo,
+            "load_customer": customer,
+        },
+    )
+    log.steps(ctx, {"load_product": product})
     with log.step(ctx, "load_sales") as step:
         step.rows = append_sales(txn, staging, ctx)
-    constraints.enforce_nf3(txn)
+    with log.step(ctx, "check_constraints"):
+        constraints.enforce_nf3(txn)
     txn.commit()
+    log.flush()
 
 
 def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext) -> int:
     """Resolve, deduplicate and append the sales. The new rows are written once,
     then keyed from the written copy."""
     target = txn.read("ce_sales")
+    start = keys.max_id(target, "sale_id")
+    # The natural key holds the sale time, so only sales of the batch's own time
+    # range can be known already; older files are skipped by their statistics.
+    low, high = staging.agg(F.min("invoice_ts"), F.max("invoice_ts")).first()
+    near = target.filter(F.col("invoice_ts").between(F.lit(low), F.lit(high)))
     resolved = nf3.resolve_sales(
         staging,
         txn.read("ce_customer_scd"),
@@ -101,8 +131,8 @@ def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext) -> int:
         txn.read("ce_payment_method"),
         ctx,
     )
-    fresh = materialise(keys.stamp_slots(nf3.load_sales(target, resolved, ctx)), "sales")
-    keyed = keys.assign_stamped(fresh, "sale_id", keys.max_id(target, "sale_id"))
+    fresh = materialise(keys.stamp_slots(nf3.load_sales(near, resolved, ctx)), "sales")
+    keyed = keys.assign_stamped(fresh, "sale_id", start)
     return txn.append("ce_sales", keyed).count()
 
 
@@ -114,37 +144,39 @@ def run_dims(store: Store, log: AuditLog, ctx: LoadContext) -> dict[str, tuple[i
     read = txn.read
     loads: dict[str, Callable[[DataFrame], MergeResult]] = {
         "dim_product": lambda t: dims.load_product(
-            t, read("ce_product"), read("ce_category"), write_once=True
+            t, read("ce_product"), read("ce_category")
         ),
-        "dim_retailer": lambda t: dims.load_retailer(t, read("ce_retailer"), write_once=True),
+        "dim_retailer": lambda t: dims.load_retailer(t, read("ce_retailer")),
         "dim_sales_method": lambda t: dims.load_method(
-            t, read("ce_sales_method"), "sales_method", write_once=True
+            t, read("ce_sales_method"), "sales_method"
         ),
         "dim_payment_method": lambda t: dims.load_method(
-            t, read("ce_payment_method"), "payment_method", write_once=True
+            t, read("ce_payment_method"), "payment_method"
         ),
         "dim_geography": lambda t: dims.load_geography(
-            t, read("ce_city"), read("ce_state"), read("ce_region"), write_once=True
+            t, read("ce_city"), read("ce_state"), read("ce_region")
         ),
-        "dim_customer": lambda t: dims.load_customer(t, read("ce_customer_scd"), write_once=True),
+        "dim_customer": lambda t: dims.load_customer(t, read("ce_customer_scd")),
     }
-    done = {}
-    for table, load in loads.items():
-        with log.step(ctx, f"load_{table}") as step:
-            result = load(read(table))
-            inserted, updated = result.counts()
-            step.merged(inserted, updated, table)
-            done[table] = (inserted, updated)
-            if inserted + updated:
-                txn.replace(table, result.table)
-    log.log(ctx, "load_dimensions", 0, "all dimensions loaded")
+    done: dict[str, tuple[int, int]] = {}
+
+    def upsert(table: str, step: Step) -> None:
+        result = loads[table](read(table))
+        inserted, updated = done[table] = result.counts()
+        step.merged(inserted, updated, table)
+        if inserted + updated:
+            txn.replace(table, result.table)
+
+    log.steps(ctx, {f"load_{t}": partial(upsert, t) for t in loads})
     txn.append(
         "dim_date",
         calendar.ensure_dates(
             read("dim_date"), dims.version_dates(read("ce_customer_scd")), "d"
         ),
     )
+    log.log(ctx, "load_dimensions", 0, "all dimensions loaded")
     txn.commit()
+    log.flush()
     return done
 
 
@@ -155,6 +187,7 @@ def extend_calendar(store: Store, log: AuditLog, ctx: LoadContext) -> None:
         bounds = calendar.fact_range(txn.read("ce_sales"), ctx.load_dt)
         step.rows = txn.append("dim_date", calendar.extend(txn.read("dim_date"), bounds)).count()
     txn.commit()
+    log.flush()
 
 
 def refresh_fact(
@@ -172,12 +205,11 @@ def refresh_fact(
         first, last = fact.refresh_window(sales, ctx.load_dt).first()
     fact.check_window(first, last)
     with log.step(ctx, "refresh_fact") as step:
-        maps = {
-            name: materialise(m, f"map-{name}")
-            for name, m in fact.dimension_maps(
-                {t: txn.read(t) for t in schemas.NF3}, {t: txn.read(t) for t in schemas.STAR}
-            ).items()
-        }
+        lazy = fact.dimension_maps(
+            {t: txn.read(t) for t in schemas.NF3}, {t: txn.read(t) for t in schemas.STAR}
+        )
+        written = together(*[partial(materialise, m, f"map-{n}") for n, m in lazy.items()])
+        maps = dict(zip(lazy, written, strict=True))
         rows = fact.refresh(
             sales, maps, txn.read("dim_geography"), txn.read("dim_customer"), first, last
         )
@@ -187,6 +219,7 @@ def refresh_fact(
         step.rows = txn.read("fct_sales").filter(fact.in_months(first, last)).count()
         step.message = f"{first}..{last}"
     txn.commit()
+    log.flush()
 
 
 def customer_history(store: Store, n: int = 20) -> DataFrame:

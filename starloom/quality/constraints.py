@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from starloom import schemas
+from starloom.context import together
 from starloom.quality import checks
 
 
@@ -69,8 +71,6 @@ def one_active_version(versions: DataFrame) -> DataFrame:
 
 def overlapping_versions(versions: DataFrame) -> DataFrame:
     """Versions that start before the previous one of their customer has ended."""
-    from pyspark.sql.window import Window as W
-
     order = W.partitionBy("customer_src_id").orderBy("start_dt", "end_dt")
     return versions.withColumn("previous_end", F.lag("end_dt").over(order)).filter(
         "start_dt <= previous_end"
@@ -82,17 +82,22 @@ class ConstraintError(ValueError):
 
 
 def enforce(found: dict[str, DataFrame]) -> None:
-    """Raise when any check has violations (one job for all of them)."""
-    broken = [r["check_name"] for r in checks.summary(found).filter("not passed").collect()]
+    """Raise when any check has violations. Each check stops at its first one."""
+    clean = together(*[rows.isEmpty for rows in found.values()])
+    broken = [name for name, ok in zip(found, clean, strict=True) if not ok]
     if broken:
         raise ConstraintError("; ".join(sorted(broken)))
 
 
 def enforce_nf3(txn) -> None:
-    """All rules of the normalised layer, on the staged tables of a run."""
+    """The rules of the entity tables, on the staged tables of a run. Sales keep
+    theirs by construction (keys come from lookups, the natural key from the
+    anti join); :func:`violations` checks them on demand."""
     tables = {t: txn.read(t) for t in schemas.NF3}
     found = {}
     for table, rules in NF3_RULES.items():
+        if table == "ce_sales":
+            continue
         found.update(violations(table, tables, rules))
     found["one active version"] = one_active_version(tables["ce_customer_scd"])
     enforce(found)

@@ -57,9 +57,15 @@ TEXT_LIMITS = {
 
 
 def struct(ddl: str) -> T.StructType:
+    """Layout as a StructType (needs a running session)."""
     return T.StructType.fromDDL(ddl)
 
 
+def names(ddl: str) -> list[str]:
+    """Column names of a layout."""
+    return [column.split()[0] for column in ddl.split(", ")]
+
+
 def _staging(geo: bool) -> str:
     places = (
         "region string, region_id bigint, state string, state_id bigint, "

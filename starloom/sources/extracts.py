@@ -111,7 +111,7 @@ def clean_rows(raw: DataFrame, spec: SourceSpec, ctx: LoadContext) -> DataFrame:
     left out; :func:`rejects` returns exactly those."""
     good = _typed(raw, spec).filter("bad_columns = ''")
     stamped = good.withColumns({"insert_dt": ctx.load_ts_col, "update_dt": ctx.load_ts_col})
-    return stamped.select(*schemas.struct(schemas.STAGING[spec.table]).names)
+    return stamped.select(*schemas.names(schemas.STAGING[spec.table]))
 
 
 def rejects(raw: DataFrame, spec: SourceSpec) -> DataFrame:

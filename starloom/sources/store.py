@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.context import together
 from starloom.functions.dates import month_no
 from starloom.operators.keys import ensure_default_member
 
@@ -150,6 +151,10 @@ class Txn:
         self.folders = [f for f in self.folders if f.table != table or f.month not in old]
         return old
 
+    def stored(self) -> set[str]:
+        """Tables that have folders."""
+        return {f.table for f in self.folders}
+
     def drop(self, *tables: str) -> None:
         self.folders = [f for f in self.folders if f.table not in tables]
 
@@ -168,15 +173,18 @@ class Txn:
 
     def seed_defaults(self, layer: str, stamps: dict | None = None) -> None:
         """Add missing unknown members."""
-        for table in schemas.LAYERS[layer]:
-            member = schemas.DEFAULT_MEMBERS.get(table)
-            if member is None:
-                continue
+
+        def seed(table: str) -> None:
+            member = {**schemas.DEFAULT_MEMBERS[table], **(stamps or {})}
             id_col = schemas.SURROGATE[table]
             have = self.read(table)
-            if have.filter(F.col(id_col) == member[id_col]).isEmpty():
-                empty = have.limit(0)
-                self.append(table, ensure_default_member(empty, {**member, **(stamps or {})}, id_col))
+            if table in self.stored():
+                if not have.filter(F.col(id_col) == member[id_col]).isEmpty():
+                    return
+            self.append(table, ensure_default_member(have.limit(0), member, id_col))
+
+        seeded = [t for t in schemas.LAYERS[layer] if t in schemas.DEFAULT_MEMBERS]
+        together(*[partial(seed, t) for t in seeded])
 
     def commit(self) -> int:
         """Publish the staged state as the next version."""
