@@ -269,7 +269,7 @@ def histogram(df: DataFrame, names: list[str] | None = None, bins: int = 10) ->
     small = F.broadcast(ends)  # one row per column
     width = F.col("hi") - F.col("lo")
     cut = F.floor(F.try_divide(F.col("v") - F.col("lo"), width) * bins)
-    bin_no = F.coalesce(F.least(cut, F.lit(bins - 1)), F.lit(0)).cast("int")
+    bin_no = F.least(F.coalesce(cut, F.lit(0)), F.lit(bins - 1)).cast("int")
     counted = (
         long.join(small, "column_name")
         .groupBy("column_name", bin_no.alias("bin"))
