@@ -84,7 +84,7 @@ _NUMERIC_ROW = """
 SELECT '{c}' AS column_name, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
   round(var_samp({c}) / 1000, 4) AS variance, CAST(min({c}) AS DOUBLE) AS min_value,
   CAST(max({c}) AS DOUBLE) AS max_value, CAST(max({c}) - min({c}) AS DOUBLE) AS value_range,
-  CAST(sum(CAST({c} AS DECIMAL(30,6))) AS DOUBLE) AS sum_value,
+  round(CAST(sum(CAST({c} AS DECIMAL(30,6))) AS DOUBLE), 2) AS sum_value,
   count(*) FILTER ({c} = 0) AS n_zeros, count(*) FILTER ({c} < 0) AS n_negatives,
   round(skewness({c}), 6) AS skewness, round(kurtosis({c}), 6) AS kurtosis,
   round(stddev_samp({c}) / avg({c}), 6) AS cv
@@ -94,6 +94,7 @@ FROM lineitem"""
 @query(_per_column(_NUMERIC_ROW, _LINE_NUMBERS))
 def profile_numeric(spark, sf_dir):
     rows = profile.numeric(feed.table(spark, sf_dir, "lineitem"), _LINE_NUMBERS)
+    rows = _rounded(rows, 2, "sum_value")
     rows = rows.withColumn("variance", F.round(F.col("variance") / 1000, 4))
     return _rounded(rows, 6, "mean", "std", "skewness", "kurtosis", "cv")
 

@@ -368,6 +368,28 @@ def _fact_rows(store: Store, first: date, last: date):
     )
 
 
+@query(
+    warehouse(
+        f"""
+        SELECT count(*) AS n_rows, 1 AS first_key, count(*) AS last_key,
+          count(DISTINCT (sale_src_id, product_key, geo_key)) AS n_sales,
+          round(sum(total_sales), 2) AS total_sales
+        FROM fact WHERE {_IN_WINDOW}
+        """
+    )
+)
+def fact_earlier_layout(spark, sf_dir):
+    """The refreshed fact in the first star layout, summed up; its keys are 1..n."""
+    rows = fact.earlier_layout(warehouse_of(spark, sf_dir).read("fct_sales"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("sales_key").alias("first_key"),
+        F.max("sales_key").alias("last_key"),
+        F.countDistinct("sale_src_id", "product_key", "geography_key").alias("n_sales"),
+        F.sum("total_sales").alias("total_sales"),
+    )
+
+
 @query(
     warehouse(
         f"""
@@ -391,9 +413,8 @@ def fact_rows_by_month(spark, sf_dir):
     )
 )
 def fact_retention(spark, sf_dir):
-    """A fact of five months refreshed over an older two-month window: those are
-    reloaded, older months dropped and newer ones left as they are until the
-    listing, which shows the window."""
+    """A fact of five months refreshed over a two-month window in its middle:
+    those months are reloaded and listed, older ones dropped, newer ones kept."""
     store = warehouse_of(spark, sf_dir)
     newest = store.read("ce_sales").agg(F.max("invoice_ts").cast("date")).first()[0]
     at = newest.year * 12 + newest.month - 1
@@ -425,8 +446,9 @@ def fact_retention(spark, sf_dir):
     )
 )
 def latest_month_sample(spark, sf_dir):
-    rows = warehouse_of(spark, sf_dir).read("fct_sales").drop("yyyymm")
-    return verify.latest_month_sample(rows, ["invoice_ts", "sale_src_id", "product_key"])
+    rows = warehouse_of(spark, sf_dir).read("fct_sales")
+    order = ["invoice_ts", "sale_src_id", "product_key"]
+    return verify.latest_month_sample(rows, order).drop("yyyymm")
 
 
 @query(

@@ -88,6 +88,19 @@ def sized_join(
     return spread_join(left, right, keys, how, residual)
 
 
+def inner_join(
+    left: DataFrame, right: DataFrame, keys: list[str], limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Inner join of two frames either of which may be the small one. The side
+    that fits is broadcast, so a value that fills the other side is not gathered
+    in one task; when neither fits, the hot keys of ``left`` are spread."""
+    if fits_broadcast(right, limit):
+        return left.join(F.broadcast(right), keys)
+    if fits_broadcast(left, limit):
+        return F.broadcast(left).join(right, keys)
+    return spread_join(left, right, keys, "inner")
+
+
 def resolve(
     feed: DataFrame,
     table: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions.dates import date_key
+from starloom.operators.lookup import sized_join
 from starloom.operators.merge import MergeResult, upsert
 
 SRC = ["source_system", "source_entity"]
@@ -22,8 +23,7 @@ def product_source(product: DataFrame, category: DataFrame) -> DataFrame:
         "category_id", "category_src_id", F.col("category").alias("category_name")
     )
     return (
-        _members(product, "product_id")
-        .join(parents, "category_id")
+        sized_join(_members(product, "product_id"), parents, ["category_id"], "inner")
         .select(*SRC, "product_src_id", "product_name", "category_src_id", "category_name")
     )
 
@@ -61,11 +61,10 @@ def flatten_hierarchy(city: DataFrame, state: DataFrame, region: DataFrame) -> D
     """City rows with their state and region; a city without either drops out."""
     states = state.select("state_id", "state_name", "region_id")
     regions = region.select("region_id", "region_name")
-    return (
-        city.select("city_id", "city_name", "state_id")
-        .join(states, "state_id")
-        .join(regions, "region_id")
+    placed = sized_join(
+        city.select("city_id", "city_name", "state_id"), states, ["state_id"], "inner"
     )
+    return sized_join(placed, regions, ["region_id"], "inner")
 
 
 def load_geography(

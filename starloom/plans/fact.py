@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions.dates import date_key, month_no
-from starloom.operators import lookup, scd2
+from starloom.operators import keys, lookup, scd2
 from starloom.operators.dedup import keep_first
 
 WINDOW_MONTHS = 3
@@ -137,6 +137,16 @@ def refresh(
     return one_per_key(candidates(recent, maps, geography, customer))
 
 
+def earlier_layout(rows: DataFrame, start: int = 0) -> DataFrame:
+    """Fact rows in the first star layout: one row per 13-column key, numbered."""
+    key = schemas.EARLIER_FACT_KEY
+    renamed = rows.withColumnRenamed("geo_key", "geography_key")
+    rest = ["operating_profit", "operating_margin", "avg_unit_price", "invoice_ts"]
+    once = keep_first(renamed, key, rest)
+    numbered = keys.assign(once, key, "sales_key", start)
+    return numbered.select(*schemas.names(schemas.EARLIER_STAR["fact_sales"]))
+
+
 def dropped_by_key(rows: DataFrame) -> DataFrame:
     """How many candidates the fact key merges away, per fact key."""
     key = schemas.BUSINESS_KEY["fct_sales"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import duplicate_groups
+from starloom.operators.lookup import inner_join, sized_join
 
 
 def mismatch(a: Column, b: Column, null_safe: bool = False) -> Column:
@@ -43,9 +44,9 @@ def reconcile(
     column (or expression name added beforehand) to an expression over source
     columns, which are prefixed ``s_``. ``show`` adds source columns.
     """
-    src = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
-    equal = [F.col(w) == F.col(f"s_{s}") for w, s in on.items()]
-    joined = warehouse.join(src, reduce(Column.__and__, equal), "inner")
+    match = [F.col(s).alias(w) for w, s in on.items()]
+    src = source.select(*match, *[F.col(c).alias(f"s_{c}") for c in source.columns])
+    joined = inner_join(warehouse, src, list(on))
     wrong = [mismatch(F.col(c), want, null_safe) for c, want in expected.items()]
     return joined.filter(reduce(Column.__or__, wrong)).select(
         *warehouse.columns, *[F.col(f"s_{c}").alias(c) for c in show]
@@ -62,8 +63,9 @@ def flag_consistency(
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows without a parent; a NULL foreign key has none."""
-    parents = parent.select(F.col(pk).alias("_pk"))
-    return child.join(parents, F.col(fk) == F.col("_pk"), "left_anti")
+    parents = parent.select(F.col(pk).alias(fk)).dropna().distinct()
+    marked = sized_join(child, parents.withColumn("_has_parent", F.lit(True)), [fk], "left")
+    return marked.filter("_has_parent is null").select(*child.columns)
 
 
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
@@ -100,7 +102,7 @@ def recompute(
     The join may be on a column that is not a key of ``lookup``; a row is then
     tested against each of its matches.
     """
-    joined = df.join(lookup, on, "inner").withColumn(name, expected)
+    joined = inner_join(df, lookup, [on]).withColumn(name, expected)
     return joined.filter(F.col(stored) != F.col(name)).select(*df.columns, name)
 
 

@@ -106,50 +106,41 @@ def columns(df: DataFrame, exact: bool = True, rsd: float = 0.02) -> DataFrame:
 
 
 def numeric(df: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Moments and counts of numeric columns, all in one aggregate.
+    """Moments and counts of numeric columns, all in one pass over long rows.
 
     Skewness and kurtosis are the sample-adjusted ones.
     """
-    names = names or numeric_columns(df)
-
-    def stats(c: str) -> Column:
-        v = F.col(c).cast("double")
-        return F.struct(
-            F.count(v).alias("n"),
-            F.avg(v).alias("mean"),
-            F.var_samp(v).alias("variance"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-            F.sum(F.col(c).cast("decimal(30,6)")).cast("double").alias("sum"),
-            F.count_if(v == 0).alias("n_zeros"),
-            F.count_if(v < 0).alias("n_negatives"),
-            F.skewness(v).alias("g1"),
-            F.kurtosis(v).alias("g2"),
-        ).alias(c)
-
-    def row(c: str) -> Column:
-        s = F.col(c)
-        n = s["n"].cast("double")
-        std = F.sqrt(s["variance"])
-        skew = s["g1"] * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
-        kurt = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * s["g2"] + 6)
-        return F.struct(
-            F.lit(c).alias("column_name"),
-            s["mean"].alias("mean"),
-            std.alias("std"),
-            s["variance"].alias("variance"),
-            s["min"].alias("min_value"),
-            s["max"].alias("max_value"),
-            (s["max"] - s["min"]).alias("value_range"),
-            s["sum"].alias("sum_value"),
-            s["n_zeros"].alias("n_zeros"),
-            s["n_negatives"].alias("n_negatives"),
-            skew.alias("skewness"),
-            kurt.alias("kurtosis"),
-            F.try_divide(std, s["mean"]).alias("cv"),
-        )
-
-    return _rows(df.agg(*[stats(c) for c in names]), [row(c) for c in names])
+    v = F.col("v")
+    stats = _long(df, names or numeric_columns(df)).groupBy("column_name").agg(
+        F.count(v).cast("double").alias("n"),
+        F.avg(v).alias("mean"),
+        F.var_samp(v).alias("variance"),
+        F.min(v).alias("min_value"),
+        F.max(v).alias("max_value"),
+        F.sum(v).alias("sum_value"),
+        F.count_if(v == 0).alias("n_zeros"),
+        F.count_if(v < 0).alias("n_negatives"),
+        F.skewness(v).alias("g1"),
+        F.kurtosis(v).alias("g2"),
+    )
+    n, std = F.col("n"), F.sqrt("variance")
+    skew = F.col("g1") * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
+    kurt = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
+    return stats.select(
+        "column_name",
+        "mean",
+        std.alias("std"),
+        "variance",
+        "min_value",
+        "max_value",
+        (F.col("max_value") - F.col("min_value")).alias("value_range"),
+        "sum_value",
+        "n_zeros",
+        "n_negatives",
+        skew.alias("skewness"),
+        kurt.alias("kurtosis"),
+        F.try_divide(std, F.col("mean")).alias("cv"),
+    )
 
 
 def _long(df: DataFrame, names: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.sources.store import MONTH
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per table."""
@@ -35,7 +37,10 @@ def null_keys(fact: DataFrame, *keys: str) -> DataFrame:
 
 
 def latest_month(fact: DataFrame, ts: str = "invoice_ts") -> DataFrame:
-    """Rows of the newest month. The month is a scalar subquery, evaluated once."""
+    """Rows of the newest month. The month is a scalar subquery, evaluated once;
+    on a month-partitioned fact it is found and read by folder."""
+    if MONTH in fact.columns:
+        return fact.filter(F.col(MONTH) == fact.agg(F.max(MONTH)).scalar())
     newest = fact.agg(F.date_trunc("month", F.max(ts)).cast("timestamp_ntz")).scalar()
     return fact.filter(F.col(ts) >= newest)
 

@@ -131,6 +131,33 @@ STAR = {
     f"sale_src_id string, {_LINEAGE}, invoice_ts timestamp_ntz, {_MEASURES}",
 }
 
+# First version of the star: its fact has a surrogate key and a natural key over
+# all dimensions and base measures, geography is keyed ``geography_key`` and the
+# unknown date has no attributes.
+EARLIER_STAR = {
+    "dim_date": STAR["dim_date"],
+    "dim_geography": STAR["dim_geography"].replace("geo_key", "geography_key"),
+    "fact_sales": "sales_key bigint, date_key int, customer_key bigint, product_key bigint, "
+    "retailer_key bigint, geography_key bigint, sales_method_key bigint, "
+    f"payment_method_key bigint, {_MEASURES}, sale_src_id string, {_LINEAGE}",
+}
+EARLIER_UNKNOWN_DATE = {"date_key": -1, "month_name": "N/A", "day_name": "N/A"}
+EARLIER_FACT_KEY = [
+    "date_key",
+    "customer_key",
+    "product_key",
+    "retailer_key",
+    "geography_key",
+    "sales_method_key",
+    "payment_method_key",
+    "units_sold",
+    "price_per_unit",
+    "total_sales",
+    "sale_src_id",
+    "source_system",
+    "source_entity",
+]
+
 ETL_LOG = (
     "log_id bigint, log_ts timestamp_ntz, procedure_name string, rows_affected bigint, message string"
 )
