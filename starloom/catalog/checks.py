@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.catalog.registry import query
+from starloom.catalog.registry import doubles, query
 from starloom.catalog.sql import STG
 from starloom.functions import clean
 from starloom.quality import checks, constraints, verify
@@ -154,6 +154,10 @@ sales AS (
 )"""
 
 
+_GAPPY_KEYS = ("client_id", "channel_id", "quantity")
+_GAPPY_SQL = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _GAPPY_KEYS)
+
+
 def dashboard(spark, sf_dir):
     """Mart rows; the total cost of every 131st order is 5 too low."""
     rows = sales_with_cost(spark, sf_dir)
@@ -343,15 +347,15 @@ def dq_channel_orphans(spark, sf_dir):
 
 
 @query(
-    f"WITH {_SALES} SELECT * FROM sales WHERE coalesce(quantity, -1) < 0"
+    f"WITH {_SALES} SELECT * REPLACE ({_GAPPY_SQL}) FROM sales WHERE coalesce(quantity, -1) < 0"
 )
 def dq_sales_quantity(spark, sf_dir):
-    return checks.range_check(sales(spark, sf_dir), "quantity", low=0)
+    return doubles(checks.range_check(sales(spark, sf_dir), "quantity", low=0), *_GAPPY_KEYS)
 
 
-@query(f"WITH {_SALES} SELECT * FROM sales WHERE order_completed IS NULL")
+@query(f"WITH {_SALES} SELECT * REPLACE ({_GAPPY_SQL}) FROM sales WHERE order_completed IS NULL")
 def dq_sales_dates(spark, sf_dir):
-    return checks.not_null(sales(spark, sf_dir), "order_created", "order_completed")
+    return doubles(checks.not_null(sales(spark, sf_dir), "order_created", "order_completed"), *_GAPPY_KEYS)
 
 
 @query(
@@ -400,11 +404,11 @@ def dq_sale_key_unique(spark, sf_dir):
 @query(
     f"""
     WITH {_SALES}
-    SELECT * FROM sales WHERE client_id IS NULL OR channel_id IS NULL OR product_id IS NULL
+    SELECT * REPLACE ({_GAPPY_SQL}) FROM sales WHERE client_id IS NULL OR channel_id IS NULL OR product_id IS NULL
     """
 )
 def dq_sales_foreign_keys(spark, sf_dir):
-    return checks.not_null(sales(spark, sf_dir), "client_id", "channel_id", "product_id")
+    return doubles(checks.not_null(sales(spark, sf_dir), "client_id", "channel_id", "product_id"), *_GAPPY_KEYS)
 
 
 @query(

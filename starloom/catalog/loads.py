@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.catalog import sql
-from starloom.catalog.registry import query
+from starloom.catalog.registry import doubles, query
 from starloom.catalog.sql import FAULTY, SRC, STG, ident
 from starloom.context import LoadContext, materialise, together
 from starloom.functions.dates import date_key
@@ -483,7 +483,8 @@ def customer_load(spark, sf_dir):
 @query(
     f"""
     WITH {STG}, {FAULTY}
-    SELECT source_system, source_id, product_id, {sql.MEASURES} FROM faulty
+    SELECT source_system, source_id, CAST(product_id AS DOUBLE) AS product_id, {sql.MEASURES}
+    FROM faulty
     """
 )
 def sales_measures(spark, sf_dir):
@@ -491,7 +492,7 @@ def sales_measures(spark, sf_dir):
         "source_system", "source_id", "product_id", "units_sold", "price_per_unit",
         "total_sales", "operating_profit", "operating_margin",
     )
-    return with_measures(feed.faulty_sales(spark, sf_dir, *columns), CTX)
+    return doubles(with_measures(feed.faulty_sales(spark, sf_dir, *columns), CTX), "product_id")
 
 
 def sales_tables(spark, staging):

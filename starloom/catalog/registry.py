@@ -27,6 +27,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def doubles(df: DataFrame, *columns: str) -> DataFrame:
+    """Integer columns with NULLs as doubles; result tables differ in how they
+    hold a missing integer."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def query(oracle: str | None = None, name: str | None = None):
     """Register a query, with the SQL that gives the same rows."""
 

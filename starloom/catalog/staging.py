@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from starloom.catalog.registry import query
+from starloom.catalog.registry import doubles, query
 from starloom.catalog.sql import STG
 from starloom.context import LoadContext, scratch_path
 from starloom.functions import clean
@@ -24,7 +24,7 @@ CTX = LoadContext.on(date(2002, 1, 1))
     SELECT l_orderkey || '-' || l_linenumber AS source_id,
       TRY_CAST(NULLIF(regexp_replace(CAST(l_quantity AS VARCHAR), '[^0-9\\-]', '', 'g'), '')
         AS BIGINT) AS quantity_digits,
-      CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE l_linenumber END AS line_no,
+      CASE WHEN l_orderkey % 101 <> 0 THEN CAST(l_linenumber AS DOUBLE) END AS line_no,
       CASE WHEN l_orderkey % 97 = 0 THEN NULL
         ELSE CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS DOUBLE) END AS amount,
       contains(CAST(l_quantity AS VARCHAR), '.') AS loses_point
@@ -44,13 +44,14 @@ def clean_numeric_text(spark, sf_dir):
         .otherwise(F.concat(F.lit("$"), F.format_number(amount, 2)))
         .alias("amount"),
     )
-    return texts.select(
+    read = texts.select(
         "source_id",
         clean.to_long(F.col("quantity")).alias("quantity_digits"),
         clean.to_int(F.col("line")).alias("line_no"),
         clean.to_decimal(F.col("amount"), 14, 2).alias("amount"),
         clean.loses_point(F.col("quantity")).alias("loses_point"),
     )
+    return doubles(read, "line_no")
 
 
 @query(

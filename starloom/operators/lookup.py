@@ -29,6 +29,7 @@ def spread_join(
     keys: list[str],
     how: str = "left",
     residual: Callable[[], Column] | None = None,
+    census: DataFrame | None = None,
     salts: int = SALTS,
     share: float = HOT_SHARE,
 ) -> DataFrame:
@@ -38,8 +39,12 @@ def spread_join(
     Left rows with a NULL key match nothing and are spread as well. Every left
     row meets exactly one copy, so the result equals the plain join. ``left``
     should be free of full copies (the salt is a hash of the whole row).
+
+    Hot keys are counted in ``census``, a stored frame with the same key columns:
+    where ``left`` is a chain of joins, counting in it would run the chain twice.
     """
-    hot = hot_keys(left.dropna(subset=keys), keys, share).withColumn("_hot", F.lit(True))
+    counted = (left if census is None else census).select(*keys).dropna()
+    hot = hot_keys(counted, keys, share).withColumn("_hot", F.lit(True))
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     salted_left = (
@@ -77,6 +82,7 @@ def sized_join(
     how: str = "left",
     residual: Callable[[], Column] | None = None,
     limit: int = BROADCAST_ROWS,
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast ``right`` when its counted size allows, else :func:`spread_join`.
 
@@ -85,7 +91,7 @@ def sized_join(
     """
     if fits_broadcast(right, limit):
         return _join(left, F.broadcast(right), keys, how, residual)
-    return spread_join(left, right, keys, how, residual)
+    return spread_join(left, right, keys, how, residual, census)
 
 
 def inner_join(
@@ -110,18 +116,19 @@ def resolve(
     default=None,
     how: str = "left",
     limit: int = BROADCAST_ROWS,
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``table.value`` for the rows whose ``match`` columns agree.
 
     ``match`` maps feed columns to lookup columns; the lookup is unique on the
     latter. ``how="left"`` keeps unmatched rows with ``default``;
-    ``how="inner"`` drops them.
+    ``how="inner"`` drops them. ``census``: see :func:`spread_join`.
     """
     alias = alias or value
     narrow = table.select(
         *[F.col(t).alias(f) for f, t in match.items()], F.col(value).alias(alias)
     )
-    joined = sized_join(feed, narrow, list(match), how, limit=limit)
+    joined = sized_join(feed, narrow, list(match), how, limit=limit, census=census)
     if default is None:
         return joined
     return joined.withColumn(alias, F.coalesce(F.col(alias), F.lit(default)))

@@ -123,6 +123,7 @@ def as_of_join(
     end: str = "end_date_key",
     how: str = "inner",
     limit: int | None = None,
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """Each fact row with the version of its key valid at ``at`` (both ends
     included). The join is an equi join on the key with the validity range as a
@@ -135,5 +136,6 @@ def as_of_join(
         [key],
         how,
         residual=lambda: F.col(at).between(F.col(start), F.col(end)),
+        census=census,
         **args,
     )

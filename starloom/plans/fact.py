@@ -87,14 +87,13 @@ def translate_keys(
     """Dimension keys of every sale; a missing geography is -1, a sale without
     one of the other dimensions drops out."""
     rows = sales.withColumn("date_key", date_key(F.col("invoice_ts")))
-    for name in ("sales_method", "payment_method"):
-        rows = lookup.resolve(
-            rows, maps[name], {f"{name}_id": f"{name}_id"}, f"{name}_key", how="inner"
-        )
-    rows = lookup.resolve(rows, geography, {"city_id": "city_id"}, "geo_key", default=-1)
-    for name in ("retailer", "product"):
+    rows = lookup.resolve(
+        rows, geography, {"city_id": "city_id"}, "geo_key", default=-1, census=sales
+    )
+    for name in ("sales_method", "payment_method", "retailer", "product"):
+        own = f"{name}_id"
         rows = lookup.resolve(
-            rows, maps[name], {f"{name}_id": f"{name}_id"}, f"{name}_key", how="inner"
+            rows, maps[name], {own: own}, f"{name}_key", how="inner", census=sales
         )
     return rows
 
@@ -111,7 +110,11 @@ def candidates(
         "customer_key", "customer_src_id", "start_date_key", "end_date_key"
     )
     dated = scd2.as_of_join(
-        translate_keys(sales, maps, geography), versions, "customer_src_id", "date_key"
+        translate_keys(sales, maps, geography),
+        versions,
+        "customer_src_id",
+        "date_key",
+        census=sales,
     )
     return dated.select(*schemas.names(schemas.STAR["fct_sales"]))
 

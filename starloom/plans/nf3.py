@@ -186,39 +186,22 @@ def resolve_sales(
         "customer_id", "product_id", "retailer_id", "city_id", "sales_method_id",
         "payment_method_id",
     )
+    base = rows  # staging columns only: hot keys are counted here
+    lookups = [
+        (sales_method, {**src, "sales_method_src_id": "sales_method_src_id"}, "sales_method_id"),
+        (
+            payment_method,
+            {**src, "payment_method_src_id": "payment_method_src_id"},
+            "payment_method_id",
+        ),
+        (city, {"city_src_id": "city_id"}, "city_id"),
+        (retailer, {**src, "retailer_name": "retailer_src_id"}, "retailer_id"),
+        (product, {**src, "product_src_id": "product_src_id"}, "product_id"),
+        (scd2.current(customer), {"customer_src_id": "customer_src_id"}, "customer_id"),
+    ]
     default = ctx.unknown
-    rows = lookup.resolve(
-        rows,
-        sales_method,
-        {**src, "sales_method_src_id": "sales_method_src_id"},
-        "sales_method_id",
-        default=default,
-    )
-    rows = lookup.resolve(
-        rows,
-        payment_method,
-        {**src, "payment_method_src_id": "payment_method_src_id"},
-        "payment_method_id",
-        default=default,
-    )
-    rows = lookup.resolve(rows, city, {"city_src_id": "city_id"}, "city_id", default=default)
-    rows = lookup.resolve(
-        rows, retailer, {**src, "retailer_name": "retailer_src_id"}, "retailer_id", default=default
-    )
-    rows = lookup.resolve(
-        rows,
-        product,
-        {**src, "product_src_id": "product_src_id"},
-        "product_id",
-        default=default,
-    )
-    rows = lookup.resolve(
-        rows,
-        scd2.current(customer),
-        {"customer_src_id": "customer_src_id"},
-        "customer_id",
-        default=default,
-    )
+    for table, match, value in lookups:
+        rows = lookup.resolve(rows, table, match, value, default=default, census=base)
     return rows.withColumn(
         "customer_src_id",
         F.when(F.col("customer_id") == default, unknown).otherwise(F.col("customer_src_id")),
