@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first
@@ -70,9 +70,14 @@ def _join(left, right, keys, how, residual):
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+def broadcast_rows(spark: SparkSession) -> int:
+    """Largest lookup to broadcast, in rows (setting ``spark.starloom.broadcastRows``)."""
+    return int(spark.conf.get("spark.starloom.broadcastRows", str(BROADCAST_ROWS)))
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Counted check that a frame has at most ``limit`` rows."""
-    return df.count() <= limit
+    return df.count() <= (broadcast_rows(df.sparkSession) if limit is None else limit)
 
 
 def sized_join(
@@ -81,7 +86,7 @@ def sized_join(
     keys: list[str],
     how: str = "left",
     residual: Callable[[], Column] | None = None,
-    limit: int = BROADCAST_ROWS,
+    limit: int | None = None,
     census: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast ``right`` when its counted size allows, else :func:`spread_join`.
@@ -95,7 +100,7 @@ def sized_join(
 
 
 def inner_join(
-    left: DataFrame, right: DataFrame, keys: list[str], limit: int = BROADCAST_ROWS
+    left: DataFrame, right: DataFrame, keys: list[str], limit: int | None = None
 ) -> DataFrame:
     """Inner join of two frames either of which may be the small one. The side
     that fits is broadcast, so a value that fills the other side is not gathered
@@ -115,7 +120,7 @@ def resolve(
     alias: str | None = None,
     default=None,
     how: str = "left",
-    limit: int = BROADCAST_ROWS,
+    limit: int | None = None,
     census: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``table.value`` for the rows whose ``match`` columns agree.

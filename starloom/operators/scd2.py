@@ -129,13 +129,12 @@ def as_of_join(
     included). The join is an equi join on the key with the validity range as a
     residual condition; facts without a valid version are dropped (``inner``) or
     kept (``left``)."""
-    args = {} if limit is None else {"limit": limit}
     return sized_join(
         facts,
         versions,
         [key],
         how,
         residual=lambda: F.col(at).between(F.col(start), F.col(end)),
+        limit=limit,
         census=census,
-        **args,
     )

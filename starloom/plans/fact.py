@@ -137,7 +137,17 @@ def refresh(
 ) -> DataFrame:
     """Fact rows of the window, all months in one job."""
     recent = sales.filter(in_window(F.col("invoice_ts"), first, last))
-    return one_per_key(candidates(recent, maps, geography, customer))
+    return one_per_key(
+        candidates(recent, maps, geography, versions_in_window(customer, first, last))
+    )
+
+
+def versions_in_window(customer: DataFrame, first: date, last: date) -> DataFrame:
+    """Versions valid on some day of the window. A customer with a long history
+    then meets its sales with few versions."""
+    start, end = window_bounds(first, last)
+    low, high = (d.year * 10000 + d.month * 100 + d.day for d in (start, end))
+    return customer.filter((F.col("end_date_key") >= low) & (F.col("start_date_key") < high))
 
 
 def earlier_layout(rows: DataFrame, start: int = 0) -> DataFrame:

@@ -303,3 +303,12 @@ def test_lost_points_are_reported(spark, tmp_path):
     (tmp_path / "x.csv").write_text(f"{HEAD_IN}\n{line}\n")
     raw = extracts.read_raw(spark, str(tmp_path / "x.csv"), INSTORE)
     assert rows(extracts.lost_points(raw, INSTORE)) == [("1", "retailer_id")]
+
+
+def test_versions_outside_the_window_are_left_out(spark):
+    spans = [(1, 19000101, 20231231), (2, 20240101, 20240131), (3, 20240201, 99991231)]
+    df = spark.createDataFrame(spans, "customer_key long, start_date_key int, end_date_key int")
+    kept = fact.versions_in_window(df, date(2024, 1, 15), date(2024, 1, 20))
+    assert rows(kept, "customer_key") == [(2,)]
+    both = fact.versions_in_window(df, date(2024, 1, 1), date(2024, 2, 1))
+    assert rows(both, "customer_key") == [(2,), (3,)]

@@ -44,5 +44,23 @@ def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, name, SF).startswith("ok")
 
 
+@pytest.mark.parametrize(
+    "name", ["sales_unknown_lookups", "fact_all_months", "scd2_asof_join", "dq_summary"]
+)
+def test_same_rows_without_any_broadcast(spark, con, name):
+    """Every lookup takes the spread shuffle join."""
+    settings = {
+        "spark.starloom.broadcastRows": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert compare(spark, con, name, SF).startswith("ok")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["yyyymm", "n_rows"]
