@@ -13,6 +13,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import ntz
+
 OPEN_END = date(9999, 12, 31)
 UNKNOWN_START = date(1900, 1, 1)
 
@@ -40,7 +42,7 @@ class LoadContext:
 
     @property
     def load_ts_col(self):
-        return F.lit(self.load_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+        return ntz(self.load_ts)
 
     @property
     def load_dt_col(self):

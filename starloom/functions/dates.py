@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN_DATE_KEY = -1
 
 
+def ntz(moment: datetime | None) -> Column:
+    """A zone-less timestamp constant. (A plain literal of a datetime carries the
+    session's zone; comparing with it would keep a filter from the file scan.)"""
+    text = None if moment is None else moment.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def date_key(d: Column) -> Column:
     """``yyyymmdd`` as INT; an unknown date has key -1."""
     d = d.cast("date")

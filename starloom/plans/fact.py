@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions.dates import date_key, month_no
+from starloom.functions.dates import date_key, month_no, ntz
 from starloom.operators import keys, lookup, scd2
 from starloom.operators.dedup import keep_first
 
@@ -40,7 +40,7 @@ def window_bounds(first: date, last: date) -> tuple[datetime, datetime]:
 
 
 def in_window(ts: Column, first: date, last: date) -> Column:
-    start, end = (F.lit(d.isoformat(sep=" ")).cast("timestamp_ntz") for d in window_bounds(first, last))
+    start, end = (ntz(d) for d in window_bounds(first, last))
     return (ts >= start) & (ts < end)
 
 

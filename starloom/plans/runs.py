@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.context import LoadContext, materialise, together
+from starloom.functions.dates import ntz
 from starloom.operators import calendar, keys, scd2
 from starloom.operators.dedup import keep_first
 from starloom.operators.merge import MergeResult
@@ -120,7 +121,7 @@ def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext) -> int:
     # The natural key holds the sale time, so only sales of the batch's own time
     # range can be known already; older files are skipped by their statistics.
     low, high = staging.agg(F.min("invoice_ts"), F.max("invoice_ts")).first()
-    near = target.filter(F.col("invoice_ts").between(F.lit(low), F.lit(high)))
+    near = target.filter(F.col("invoice_ts").between(ntz(low), ntz(high)))
     resolved = nf3.resolve_sales(
         staging,
         txn.read("ce_customer_scd"),

@@ -312,3 +312,14 @@ def test_versions_outside_the_window_are_left_out(spark):
     assert rows(kept, "customer_key") == [(2,)]
     both = fact.versions_in_window(df, date(2024, 1, 1), date(2024, 2, 1))
     assert rows(both, "customer_key") == [(2,), (3,)]
+
+
+def test_time_windows_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    _sales_on(spark, (2024, 1, 5), (2024, 2, 5)).write.parquet(path)
+    picked = spark.read.parquet(path).filter(
+        fact.in_window(F.col("invoice_ts"), date(2024, 2, 1), date(2024, 2, 2))
+    )
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(invoice_ts,2024-02-01" in plan
+    assert rows(picked, "id") == [(1,)]
