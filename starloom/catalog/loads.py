@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.catalog import sql
 from starloom.catalog.registry import doubles, query
-from starloom.catalog.sql import FAULTY, SRC, STG, ident
+from starloom.catalog.sql import FAULTY, STG, ident
 from starloom.context import LoadContext, materialise, together
 from starloom.functions.dates import date_key
 from starloom.functions.measures import with_measures
 from starloom.operators import keys, lookup, merge, scd2
 from starloom.plans import nf3
+from starloom.quality.constraints import one_active_version, overlapping_versions
 from starloom.quality.verify import counts_by_source, table_counts
 from starloom.sources import feed
 
@@ -409,8 +410,6 @@ def scd2_history_topk(spark, sf_dir):
     """
 )
 def scd2_outcomes(spark, sf_dir):
-    from starloom.quality.constraints import one_active_version, overlapping_versions
-
     result = _versions(spark, sf_dir)
     counted = {
         "closed": result.closed,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
@@ -13,9 +15,11 @@ from starloom.catalog.sql import SRC, STG, ident, warehouse
 from starloom.context import LoadContext, materialise, scratch_path
 from starloom.functions.dates import date_key
 from starloom.operators import calendar, keys
+from starloom.operators.merge import update_changed
 from starloom.plans import dims, fact, runs
 from starloom.plans.audit import AuditLog
 from starloom.quality import verify
+from starloom.quality.checks import duplicates
 from starloom.sources import feed
 from starloom.sources.extracts import SOURCES
 from starloom.sources.store import Store
@@ -156,8 +160,6 @@ def _product_loads(spark, sf_dir):
 )
 def upsert_counts(spark, sf_dir):
     """Deltas of a changed load, and of the same load run again: none."""
-    from starloom.operators.merge import update_changed
-
     target, product, category = _product_loads(spark, sf_dir)
     result = dims.load_product(target, product, category)
     table = materialise(result.table, "dim")
@@ -509,9 +511,7 @@ def audit_log_latest(spark, sf_dir):
     log = AuditLog(spark, f"{store.root}/_log")
     wanted = ["load_sales", "load_dim_product", "load_dim_customer", "load_dimensions"]
     lines = [log.latest(1, step) for step in wanted]
-    from functools import reduce
-
-    both = reduce(lambda a, b: a.unionByName(b), lines)
+    both = reduce(DataFrame.unionByName, lines)
     return both.select("log_id", "procedure_name", "rows_affected", "message")
 
 
@@ -540,8 +540,6 @@ def reset_keep_defaults(spark, sf_dir):
     )
 )
 def dq_fact_duplicates(spark, sf_dir):
-    from starloom.quality.checks import duplicates
-
     rows = warehouse_of(spark, sf_dir).read("fct_sales")
     return duplicates(rows, *schemas.BUSINESS_KEY["fct_sales"], count_name="dup_cnt")
 
