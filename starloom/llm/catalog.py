@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from starloom.context import scratch_path
-from starloom.llm import bpe, decontaminate, secrets, token_counts, toxicity, warc
+from starloom.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    ngram_join,
+    secrets,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +143,22 @@ SELECT page_id, CAST(strlen(d.t) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM d JOIN f USING (t)
 """
+
+
+@_query
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
+@_query
+def op7_substring_dedup(spark, sf_dir):
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=50)
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", kept)
+
+
+@_query
+def op9_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), edits=2)
+    text = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", text)
