@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.context import scratch_path
 from starloom.llm import (
+    ann,
     bpe,
     decontaminate,
     line_dedup,
@@ -162,3 +163,9 @@ def op9_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), edits=2)
     text = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     return kept.select("doc_id", "n_lines", "n_removed", text)
+
+
+@_query
+def op5_ann(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +109,31 @@ def _blocks(benchmark: DataFrame, item: str, text: str, most: int):
         yield [(r.id, words(bytes(r.data))) for r in part.toLocalIterator()]
 
 
+def _hits(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, automaton_bytes: int):
+    """For tasks: what gives a text's number of words, its hit words (None: none),
+    and the ids of the items that hit."""
+    context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(b) for b in _blocks(benchmark, item, item_text, automaton_bytes)]
+
+    def setup():
+        one = Matcher(blocks[0].value, window) if len(blocks) == 1 else None
+
+        def find(data):
+            ws = words(data or b"")
+            hit, ids = None, set()
+            for block in blocks if ws else ():
+                matcher = one or Matcher(block.value, window)
+                for a, b, i in matcher.runs(ws):
+                    hit = np.zeros(len(ws), bool) if hit is None else hit
+                    hit[a:b] = True
+                    ids.add(matcher.items[i][0])
+            return len(ws), hit, ids
+
+        return find
+
+    return setup
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -126,26 +153,18 @@ def find_contamination(
     item with a null id hits but is not listed; equal ids are listed once. A null
     key stays null and repeated rows each give a row; other columns are not read.
     """
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(b) for b in _blocks(benchmark, item, item_text, automaton_bytes)]
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"))
+    hits = _hits(docs, benchmark, item, item_text, window, automaton_bytes)
 
     def setup():
-        one = Matcher(blocks[0].value, window) if len(blocks) == 1 else None
+        find = hits()
 
         def each(k, data):
-            ws = words(data or b"")
-            hit, ids = None, set()
-            for block in blocks if ws else ():
-                matcher = one or Matcher(block.value, window)
-                for a, b, i in matcher.runs(ws):
-                    hit = np.zeros(len(ws), bool) if hit is None else hit
-                    hit[a:b] = True
-                    ids.add(matcher.items[i][0])
+            n, hit, ids = find(data)
             if hit is None:
-                return k, len(ws), 0, [], []
+                return k, n, 0, [], []
             spans = [{"start": a, "end": b} for a, b in _spans(data, hit)]
-            return k, len(ws), int(hit.sum()), sorted(ids - {None}), spans
+            return k, n, int(hit.sum()), sorted(ids - {None}), spans
 
         return each
 
@@ -159,3 +178,27 @@ def find_contamination(
 def is_contaminated(share: int = 20):
     """One word in ``share`` or more is hit."""
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    share: int = 20,
+    automaton_bytes: int = AUTOMATON_BYTES,
+) -> DataFrame:
+    """The rows, with all their columns, of which less than one word in ``share``
+    lies in an occurrence of a window. Rows without words stay."""
+    hits = _hits(docs, benchmark, item, item_text, window, automaton_bytes)
+
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = hits()
+        for lot in texts:
+            found = (find(data) for data in lot)
+            yield pd.Series([hit is None or share * int(hit.sum()) < n for n, hit, _ in found], dtype=bool)
+
+    return docs.filter(clean(F.col(text).cast("binary")))

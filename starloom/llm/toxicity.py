@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,3 +184,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     ddl = f"key {narrow.schema['key'].dataType.simpleString()}, score double"
     return map_rows(narrow, setup, ddl).withColumnRenamed("key", key)
+
+
+def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, that score under ``threshold``. A null or
+    empty text scores as one without features."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series([sent.value.score(data) for data in texts], dtype="float64")
+
+    return docs.filter(scored(F.col(text).cast("binary")) < threshold)
