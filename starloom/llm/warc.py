@@ -11,6 +11,7 @@ the chunked framing. Equal payloads are stored once; later ones revisit the firs
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
@@ -110,7 +111,7 @@ def write_archives(
     least_bytes: int = 0,
     segment_bytes: int = SEGMENT_BYTES,
 ) -> None:
-    """Writes a response or revisit record for each row into files under ``path``.
+    """Writes a response or revisit record for each row into gzip files under ``path``.
 
     A null html is an empty payload, a null url an empty address. Of rows with equal
     payloads of at least ``least_bytes`` the smallest key is the response, and so
@@ -135,12 +136,13 @@ def write_archives(
 
     records = flat_map_rows(paired.select("page", "url", "payload", "first"), setup, "record binary")
     files = records.select(F.col("record").cast("string").alias("value"))
-    files.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    files.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
 def parse(data: bytes):
-    """(fields with lower-case names, block) of each record of a file."""
-    at = 0
+    """(fields with lower-case names, block) of each record of a file, which may
+    be compressed as a whole or record by record."""
+    at, data = 0, gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     while (start := data.find(b"WARC/", at)) >= 0:
         end = data.index(b"\r\n\r\n", start)
         lines = data[start:end].decode("utf-8", "replace").split("\r\n")[1:]
