@@ -306,7 +306,7 @@ _DAY1, _DAY2 = date(1997, 1, 1), date(1999, 1, 1)
 def _snapshot(spark, sf_dir, second: bool):
     key = F.col("c_custkey")
     rows = feed.table(spark, sf_dir, "customer")
-    last = F.substring("c_name", 10, 100)
+    last = F.substr("c_name", F.lit(10))
     if second:
         last = F.when(key % 10 == 0, F.concat(last, F.lit("_B"))).otherwise(last)
     else:

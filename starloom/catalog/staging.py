@@ -11,6 +11,8 @@ from starloom.catalog.sql import STG
 from starloom.context import LoadContext, scratch_path
 from starloom.functions import clean
 from starloom.operators.dedup import duplicate_groups, keep_first
+from starloom.plans import runs
+from starloom.plans.audit import AuditLog
 from starloom.quality import profile
 from starloom.quality.verify import counts_by_source
 from starloom.sources import extracts, feed
@@ -108,7 +110,7 @@ def full_name(spark, sf_dir):
     first = F.when(key % 7 == 0, F.lit(None)).when(
         (key % 13 == 0) & (key % 11 != 0), ""
     ).otherwise("Customer")
-    last = F.when(key % 11 == 0, F.lit(None)).otherwise(F.substring("c_name", 10, 100))
+    last = F.when(key % 11 == 0, F.lit(None)).otherwise(F.substr("c_name", F.lit(10)))
     names = feed.table(spark, sf_dir, "customer").select(
         "c_custkey",
         clean.na_then_trim(first).alias("first"),
@@ -169,6 +171,51 @@ def staging_rejects(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def _staged(spark, sf_dir):
+    """Both extracts through the staging step, in a store of their own."""
+    store = Store(spark, scratch_path(spark, "staged"))
+    log = AuditLog(spark, f"{store.root}/_log")
+    raw = {s: _extract(spark, sf_dir, s) for s in (INSTORE, ONLINE)}
+    cleaned = {s.table: extracts.clean_rows(r, s, CTX) for s, r in raw.items()}
+    runs.stage(store, log, CTX, cleaned, {s.table: extracts.rejects(r, s) for s, r in raw.items()})
+    return store, log
+
+
+@query(
+    f"""
+    WITH {STG}
+    SELECT source_system, source_entity, source_id, 'units_sold' AS bad_columns,
+      strftime(TIMESTAMP '2002-01-01', '%Y-%m-%d') AS loaded
+    FROM stg WHERE l_orderkey % 101 = 0
+    """
+)
+def load_rejects(spark, sf_dir):
+    """What a staging load stored of the rows that it could not read."""
+    rows = _staged(spark, sf_dir)[0].read("load_rejects")
+    return rows.withColumn("loaded", F.date_format("load_ts", "yyyy-MM-dd")).drop("load_ts")
+
+
+@query(
+    f"""
+    WITH {STG},
+    kept AS (
+      SELECT source_system, count(DISTINCT (coalesce(customer_id, -9), coalesce(product_id, -9),
+        date_trunc('minute', invoice_ts))) AS kept
+      FROM stg WHERE l_orderkey % 101 <> 0 GROUP BY ALL),
+    raw AS (
+      SELECT source_system, count(*) AS n, count(*) FILTER (l_orderkey % 101 = 0) AS bad FROM stg GROUP BY ALL)
+    SELECT CASE source_system WHEN 'SA_INSTORE' THEN 'stage_src_instore_sales' ELSE 'stage_src_online_sales' END
+        AS procedure_name, kept AS rows_affected,
+      'read=' || n || ', kept=' || kept || ', duplicates=' || (n - bad - kept) || ', rejects=' || bad AS message
+    FROM raw JOIN kept USING (source_system)
+    """
+)
+def load_outcome(spark, sf_dir):
+    """The log of a staging load: every row read was kept, a duplicate or a reject."""
+    rows = _staged(spark, sf_dir)[1].rows()
+    return rows.select("procedure_name", "rows_affected", "message")
+
+
 @query(
     """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,

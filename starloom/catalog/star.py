@@ -14,7 +14,7 @@ from starloom.catalog.registry import query
 from starloom.catalog.sql import SRC, STG, ident, warehouse
 from starloom.context import LoadContext, materialise, scratch_path
 from starloom.functions.dates import date_key
-from starloom.operators import calendar, keys
+from starloom.operators import calendar, keys, scd2
 from starloom.operators.merge import update_changed
 from starloom.plans import dims, fact, runs
 from starloom.plans.audit import AuditLog
@@ -320,6 +320,89 @@ def warehouse_of(spark, sf_dir: str) -> Store:
     return _LOADED[key]
 
 
+def _corrected(df: DataFrame, column: str, key: str, divisor: int) -> DataFrame:
+    hit = F.col(key) % divisor == 0
+    return df.withColumn(column, F.when(hit, F.concat(column, F.lit(" *"))).otherwise(F.col(column)))
+
+
+_CORRECTED = {  # table: (label, source id, divisor)
+    "ce_product": ("product_name", "product_src_id", 7),
+    "ce_category": ("category", "category_src_id", 3),
+    "ce_city": ("city_name", "city_id", 5),
+    "ce_sales_method": ("sales_method", "sales_method_src_id", 2),
+    "ce_payment_method": ("payment_method", "payment_method_src_id", 2),
+}
+
+
+@query(
+    warehouse(
+        """
+        SELECT * FROM (
+          SELECT 1 AS run, 'dim_product' AS dimension, 0 AS inserted,
+            (SELECT count(*) FROM dprod WHERE product_src_id % 7 = 0 OR category_src_id % 3 = 0) AS updated
+          UNION ALL SELECT 1, 'dim_geography', 0, (SELECT count(*) FROM dgeo WHERE city_id % 5 = 0)
+          UNION ALL SELECT 1, 'dim_sales_method', 0,
+            (SELECT count(*) FROM dsm WHERE sales_method_src_id % 2 = 0)
+          UNION ALL SELECT 1, 'dim_payment_method', 0,
+            (SELECT count(*) FROM dpm WHERE payment_method_src_id % 2 = 0)
+          UNION ALL SELECT 1, 'dim_retailer', 0, 0
+          UNION ALL SELECT 1, 'dim_customer', 0, 0
+          UNION ALL SELECT 2, unnest(['dim_product', 'dim_geography', 'dim_sales_method',
+            'dim_payment_method', 'dim_retailer', 'dim_customer']), 0, 0)
+        """
+    )
+)
+def second_run_deltas(spark, sf_dir):
+    """Rows that each dimension takes over after corrections in the normalised
+    layer, and in one more run after that."""
+    store = warehouse_of(spark, sf_dir).branch(scratch_path(spark, "corrected"))
+    txn = store.begin()
+    for table, (label, key, divisor) in _CORRECTED.items():
+        txn.replace(table, _corrected(store.read(table), label, key, divisor))
+    txn.commit()
+    log = AuditLog(spark, f"{store.root}/_log")
+    done = [(run, runs.run_dims(store, log, CTX)) for run in (1, 2)]
+    rows = [(run, dim, *counts) for run, deltas in done for dim, counts in deltas.items()]
+    return spark.createDataFrame(rows, "run int, dimension string, inserted bigint, updated bigint")
+
+
+@query(
+    warehouse(
+        """
+        SELECT f.sale_src_id, f.date_key, f.total_sales, c.customer_src_id,
+          c.last_name || CASE WHEN c.customer_src_id % 10 = 0 AND f.date_key >= 19950601
+            THEN '_B' ELSE '' END AS last_name,
+          CASE WHEN c.customer_src_id % 10 = 0 AND f.date_key >= 19950601 THEN 19950601
+            ELSE 19000101 END AS start_date_key
+        FROM fact f JOIN dcust c USING (customer_key)
+        """
+    )
+)
+def fact_two_versions(spark, sf_dir):
+    """The fact of all months where one customer in ten has two versions: each sale
+    gets the version of its date."""
+    base = warehouse_of(spark, sf_dir)
+    store = base.branch(scratch_path(spark, "versions"))
+    known = base.read("ce_customer_scd").filter("customer_id <> -1")
+    attrs = ["customer_src_id", "first_name", "last_name", "full_name", "source_system", "source_entity"]
+    none = known.limit(0)
+    one = scd2.apply(none, known.select(*attrs), LoadContext.on(date(1994, 1, 1)))
+    renamed = F.when(F.col("customer_src_id") % 10 == 0, F.concat("last_name", F.lit("_B"))).otherwise(F.col("last_name"))
+    later = known.select(*attrs).withColumn("last_name", renamed)
+    later = later.withColumn("full_name", F.concat_ws(" ", "first_name", "last_name"))
+    two = scd2.apply(materialise(one.table, "versions"), later, LoadContext.on(date(1995, 6, 1)))
+    txn = store.begin()
+    txn.replace("ce_customer_scd", two.table.unionByName(base.read("ce_customer_scd").filter("customer_id = -1")))
+    txn.replace("dim_customer", base.read("dim_customer").filter("customer_key = -1"))
+    txn.commit()
+    runs.run_dims(store, AuditLog(spark, f"{store.root}/_log"), CTX)
+    rows = _fact_rows(store, date(1990, 1, 1), CTX.load_dt)
+    versions = store.read("dim_customer").select("customer_key", "customer_src_id", "last_name", "start_date_key")
+    return rows.join(versions, "customer_key").select(
+        "sale_src_id", "date_key", "total_sales", "customer_src_id", "last_name", "start_date_key"
+    )
+
+
 _FACT_COLUMNS = ", ".join(schemas.names(schemas.STAR["fct_sales"]))
 _IN_WINDOW = "invoice_ts >= (SELECT w0 FROM win) AND invoice_ts < (SELECT w1 FROM win)"
 
@@ -496,7 +579,9 @@ def customer_history(spark, sf_dir):
         """
         SELECT log_id, procedure_name, rows_affected, message FROM (
           SELECT 9 AS log_id, 'load_sales' AS procedure_name,
-            (SELECT count(*) FROM sales) AS rows_affected, 'ok' AS message
+            (SELECT count(*) FROM sales) AS rows_affected,
+            'read=' || (SELECT count(*) FROM stage) || ', without id or time=0, known or merged='
+              || ((SELECT count(*) FROM stage) - (SELECT count(*) FROM sales)) AS message
           UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
             'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
           UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
@@ -515,6 +600,37 @@ def audit_log_latest(spark, sf_dir):
     return both.select("log_id", "procedure_name", "rows_affected", "message")
 
 
+@query(
+    warehouse(
+        f"""
+        SELECT 19 AS log_id, 'refresh_fact' AS procedure_name,
+          (SELECT count(*) FROM fact WHERE {_IN_WINDOW}) AS rows_affected,
+          (SELECT CAST(CAST(w0 AS DATE) AS VARCHAR) || '..' || CAST(CAST(w1 - INTERVAL 1 DAY AS DATE) AS VARCHAR)
+           FROM win) AS message
+        UNION ALL SELECT 17, 'load_dimensions', 0, 'all dimensions loaded'
+        UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
+          'dim_customer: ins=' || (SELECT count(*) FROM dcust) || ', upd=0'
+        UNION ALL SELECT 15, 'load_dim_geography', (SELECT count(*) FROM dgeo),
+          'dim_geography: ins=' || (SELECT count(*) FROM dgeo) || ', upd=0'
+        UNION ALL SELECT 14, 'load_dim_payment_method', (SELECT count(*) FROM dpm),
+          'dim_payment_method: ins=' || (SELECT count(*) FROM dpm) || ', upd=0'
+        UNION ALL SELECT 13, 'load_dim_sales_method', (SELECT count(*) FROM dsm),
+          'dim_sales_method: ins=' || (SELECT count(*) FROM dsm) || ', upd=0'
+        UNION ALL SELECT 12, 'load_dim_retailer', (SELECT count(*) FROM dret),
+          'dim_retailer: ins=' || (SELECT count(*) FROM dret) || ', upd=0'
+        UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
+          'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
+        UNION ALL SELECT 10, 'check_constraints', 0, 'ok'
+        """
+    )
+)
+def audit_log_newest(spark, sf_dir):
+    """The ten newest lines of the log of a whole load (but the calendar's)."""
+    store = warehouse_of(spark, sf_dir)
+    lines = AuditLog(spark, f"{store.root}/_log").latest(10).filter("procedure_name <> 'build_calendar'")
+    return lines.select("log_id", "procedure_name", "rows_affected", "message")
+
+
 @query(
     """
     SELECT t AS table_name, 1 AS n_rows FROM (VALUES ('ce_category'), ('ce_product'),

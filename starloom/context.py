@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -51,12 +52,15 @@ class LoadContext:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in
-    ``spark.checkpoint.dir``. Only a session that names none (a local test
-    run) gets a fresh folder of its own."""
+    ``spark.checkpoint.dir``. Only a session on one machine that names none (a
+    local test run) gets a fresh folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="starloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -8,7 +8,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +43,11 @@ class AuditLog:
         self._pending: list[tuple] = []
 
     def rows(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(schemas.ETL_LOG).parquet(self.path)
-        except AnalysisException:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(conf).exists(path):
             return self.spark.createDataFrame([], schemas.struct(schemas.ETL_LOG))
+        return self.spark.read.schema(schemas.ETL_LOG).parquet(self.path)
 
     def log(self, ctx: LoadContext, step: str, rows: int | None, message: str) -> None:
         """Add one line; a missing row count is logged as 0."""
@@ -88,7 +88,7 @@ class AuditLog:
         self.log(ctx, name, report.rows, report.message)
 
     def failed(self, ctx: LoadContext, name: str, problem: Exception) -> None:
-        self.log(ctx, name, 0, f"ERROR: {problem}".splitlines()[0])
+        self.log(ctx, name, 0, f"ERROR: {problem}")
         self.flush()
 
     def steps(self, ctx: LoadContext, work: dict[str, Callable[[Step], None]]) -> None:
@@ -106,7 +106,8 @@ class AuditLog:
         for report, problem in outcomes:
             if problem is None:
                 self.log(ctx, report.name, report.rows, report.message)
-        for report, problem in outcomes:
-            if problem is not None:
-                self.failed(ctx, report.name, problem)
-                raise problem
+        problems = [(report, problem) for report, problem in outcomes if problem is not None]
+        for report, problem in problems:
+            self.failed(ctx, report.name, problem)
+        if problems:
+            raise problems[0][1]

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions.dates import date_key, month_no, ntz
+from starloom.functions.dates import date_key, ntz
 from starloom.operators import keys, lookup, scd2
 from starloom.operators.dedup import keep_first
 
@@ -26,6 +26,15 @@ def refresh_window(sales: DataFrame, today: date, months: int = WINDOW_MONTHS) -
     )
 
 
+def window_of(newest: int | None, today: date, months: int = WINDOW_MONTHS) -> tuple[date, date]:
+    """First and last day of the window that ends with the month ``newest``
+    (yyyymm; today's month without one)."""
+    year, month = divmod(newest, 100) if newest else (today.year, today.month)
+    start, after = year * 12 + month - months, year * 12 + month
+    last = date(after // 12, after % 12 + 1, 1) - timedelta(days=1)
+    return date(start // 12, start % 12 + 1, 1), last
+
+
 def check_window(first: date | None, last: date | None) -> None:
     if first is None or last is None or first > last:
         raise ValueError(f"Invalid window {first}..{last}")
@@ -137,6 +146,8 @@ def refresh(
 ) -> DataFrame:
     """Fact rows of the window, all months in one job."""
     recent = sales.filter(in_window(F.col("invoice_ts"), first, last))
+    if "yyyymm" in sales.columns:  # stored by month: folders outside are not read
+        recent = recent.filter(in_months(first, last)).drop("yyyymm")
     return one_per_key(
         candidates(recent, maps, geography, versions_in_window(customer, first, last))
     )
@@ -167,11 +178,6 @@ def dropped_by_key(rows: DataFrame) -> DataFrame:
     return groups.filter("dropped_rows > 0")
 
 
-def expire(fact: DataFrame, first: date) -> DataFrame:
-    """Fact rows of months not older than the window start."""
-    return fact.filter(month_no(F.col("invoice_ts")) >= first.year * 100 + first.month)
-
-
 def expired_partitions(names: DataFrame, first: date, column: str = "name") -> DataFrame:
     """Partition names ``fct_sales_yyyymm`` whose month lies before the window."""
     suffix = F.right(F.col(column), F.lit(6))

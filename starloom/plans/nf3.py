@@ -224,5 +224,5 @@ def load_sales(target: DataFrame, resolved: DataFrame, ctx: LoadContext) -> Data
     rest = ["operating_profit", "operating_margin", "customer_id"]
     once = keep_first(resolved.dropna(subset=["sale_src_id", "invoice_ts"]), natural, rest)
     fresh = insert_missing(target, once, natural)
-    columns = [c for c in target.columns if c != "sale_id"]
+    columns = [c for c in schemas.names(schemas.NF3["ce_sales"]) if c != "sale_id"]
     return stamp(fresh, ctx).select(*columns)

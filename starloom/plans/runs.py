@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom import schemas
@@ -24,14 +24,27 @@ from starloom.sources.store import Store, Txn
 STAGING_KEYS = ["customer_id", "product_id", "invoice_ts"]
 
 
-def stage(store: Store, log: AuditLog, ctx: LoadContext, cleaned: dict[str, DataFrame]) -> None:
-    """Replace the staging tables by cleaned rows, later duplicates removed."""
+def stage(
+    store: Store,
+    log: AuditLog,
+    ctx: LoadContext,
+    cleaned: dict[str, DataFrame],
+    rejected: dict[str, DataFrame] | None = None,
+) -> None:
+    """Replace the staging tables by cleaned rows, later duplicates removed. Rows
+    that could not be read are added to ``load_rejects``; the log has how many rows
+    of a source were read, kept, duplicates and rejected."""
     txn = store.begin()
 
     def load(table: str, step: Step) -> None:
-        rows = cleaned[table]
+        rows, seen = cleaned[table], Observation()
         order = ["insert_dt", "source_id", *_rest(rows)]
-        step.rows = txn.replace(table, keep_first(rows, STAGING_KEYS, order)).count()
+        once = keep_first(rows.observe(seen, F.count(F.lit(1)).alias("n")), STAGING_KEYS, order)
+        step.rows = txn.replace_rows(table, once)
+        bad = (rejected or {}).get(table)
+        n_bad = txn.append_rows("load_rejects", bad.withColumn("load_ts", ctx.load_ts_col)) if bad is not None else 0
+        n = seen.get["n"]
+        step.message = f"read={n + n_bad}, kept={step.rows}, duplicates={n - step.rows}, rejects={n_bad}"
 
     log.steps(ctx, {f"stage_{t}": partial(load, t) for t in cleaned})
     txn.commit()
@@ -56,7 +69,7 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     staging = staged_rows(txn)
 
     def append(table: str, load: Callable[[DataFrame], DataFrame]) -> int:
-        return txn.append(table, load(txn.read(table))).count()
+        return txn.append_rows(table, load(txn.read(table)))
 
     def category(step: Step) -> None:
         step.rows = append("ce_category", lambda t: nf3.load_category(t, staging, ctx))
@@ -106,22 +119,25 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     )
     log.steps(ctx, {"load_product": product})
     with log.step(ctx, "load_sales") as step:
-        step.rows = append_sales(txn, staging, ctx)
+        append_sales(txn, staging, ctx, step)
     with log.step(ctx, "check_constraints"):
         constraints.enforce_nf3(txn)
     txn.commit()
     log.flush()
 
 
-def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext) -> int:
-    """Resolve, deduplicate and append the sales. The new rows are written once,
-    then keyed from the written copy."""
+def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext, step: Step) -> None:
+    """Resolve, deduplicate and append the sales, by month. The new rows are written
+    once, then keyed from the written copy. The step reports the rows appended, and
+    those without id or time or whose key was known or repeated."""
     target = txn.read("ce_sales")
     start = keys.max_id(target, "sale_id")
     # The natural key holds the sale time, so only sales of the batch's own time
-    # range can be known already; older files are skipped by their statistics.
+    # range can be known already; the folders of other months are not read.
     low, high = staging.agg(F.min("invoice_ts"), F.max("invoice_ts")).first()
     near = target.filter(F.col("invoice_ts").between(ntz(low), ntz(high)))
+    if low and "yyyymm" in target.columns:
+        near = near.filter(fact.in_months(low, high))
     resolved = nf3.resolve_sales(
         staging,
         txn.read("ce_customer_scd"),
@@ -132,9 +148,16 @@ def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext) -> int:
         txn.read("ce_payment_method"),
         ctx,
     )
+    seen = Observation()
+    resolved = resolved.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("sale_src_id").isNull() | F.col("invoice_ts").isNull()).alias("bad"),
+    )
     fresh = materialise(keys.stamp_slots(nf3.load_sales(near, resolved, ctx)), "sales")
-    keyed = keys.assign_stamped(fresh, "sale_id", start)
-    return txn.append("ce_sales", keyed).count()
+    step.rows = txn.append_months("ce_sales", keys.assign_stamped(fresh, "sale_id", start))
+    n, bad = seen.get["n"], seen.get["bad"]
+    step.message = f"read={n}, without id or time={bad}, known or merged={n - bad - step.rows}"
 
 
 def run_dims(store: Store, log: AuditLog, ctx: LoadContext) -> dict[str, tuple[int, int]]:
@@ -186,7 +209,7 @@ def extend_calendar(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     txn = store.begin()
     with log.step(ctx, "build_calendar") as step:
         bounds = calendar.fact_range(txn.read("ce_sales"), ctx.load_dt)
-        step.rows = txn.append("dim_date", calendar.extend(txn.read("dim_date"), bounds)).count()
+        step.rows = txn.append_rows("dim_date", calendar.extend(txn.read("dim_date"), bounds))
     txn.commit()
     log.flush()
 
@@ -203,7 +226,7 @@ def refresh_fact(
     txn = store.begin()
     sales = txn.read("ce_sales")
     if first is None and last is None:
-        first, last = fact.refresh_window(sales, ctx.load_dt).first()
+        first, last = fact.window_of(max(txn.months("ce_sales"), default=None), ctx.load_dt)
     fact.check_window(first, last)
     with log.step(ctx, "refresh_fact") as step:
         lazy = fact.dimension_maps(

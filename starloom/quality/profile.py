@@ -156,24 +156,38 @@ def order_statistics(
 
     A column's value range is cut into equal bins; the bin counts tell which bin
     holds a rank and only that bin is cut again, until it holds one value or few
-    rows. Every pass is one aggregate to at most a few thousand bins per rank.
+    rows. Every pass is one aggregate to at most a few thousand bins per rank, and
+    one read of all bins of few rows. Infinities are counted, not cut.
     """
     long = _long(df, list(wanted))
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
-    ends = {
-        r["column_name"]: (r["lo"], r["hi"])
-        for r in long.groupBy("column_name")
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    low_end, high_end = float("-inf"), float("inf")
+    finite = (F.col("v") != low_end) & (F.col("v") != high_end)
+    ends = (
+        long.groupBy("column_name")
+        .agg(
+            F.count_if(F.col("v") == low_end).alias("below"),
+            F.count_if(finite).alias("n"),
+            F.min(F.when(finite, F.col("v"))).alias("lo"),
+            F.max(F.when(finite, F.col("v"))).alias("hi"),
+        )
         .collect()
-    }
+    )
     # open intervals: (column, lo, hi, rows below lo, ranks inside)
-    todo = [(c, *ends[c], 0, sorted(set(ranks))) for c, ranks in wanted.items() if c in ends]
+    todo = []
+    for r in ends:
+        c, first, last = r["column_name"], r["below"], r["below"] + r["n"]
+        found[c].update({k: low_end if k < first else high_end for k in wanted[c] if not first <= k < last})
+        inside = sorted({k for k in wanted[c] if first <= k < last})
+        if inside:
+            todo.append((c, r["lo"], r["hi"], first, inside))
     while todo:
         slots = []
         for i, (c, lo, hi, _, _) in enumerate(todo):
             inside = (F.col("column_name") == c) & F.col("v").between(lo, hi)
-            width = (hi - lo) or 1.0
-            cut = F.least(F.floor((F.col("v") - lo) / width * _BINS), F.lit(_BINS - 1))
+            half = hi / 2 - lo / 2  # the whole width may be more than a double holds
+            share = (F.col("v") / 2 - lo / 2) / half if half else F.when(F.col("v") > lo, 1.0).otherwise(0.0)
+            cut = F.least(F.floor(share * _BINS), F.lit(_BINS - 1))
             slots.append(F.when(inside, F.struct(F.lit(i).alias("i"), cut.alias("b"))))
         bins = (
             long.select(F.explode(F.array(*slots)).alias("s"), "v")
@@ -194,10 +208,18 @@ def order_statistics(
                     again.append((c, r["lo"], r["hi"], seen, here, r["n"]))
                 seen += r["n"]
         few = [t for t in again if t[5] <= _SMALL]
-        for c, lo, hi, below, ranks, _ in few:
-            cell = long.filter((F.col("column_name") == c) & F.col("v").between(lo, hi))
-            values = sorted(r["v"] for r in cell.select("v").collect())  # <= _SMALL rows
-            found[c].update({k: values[k - below] for k in ranks})
+        if few:
+            spots = [
+                F.when((F.col("column_name") == c) & F.col("v").between(lo, hi), F.lit(i))
+                for i, (c, lo, hi, *_) in enumerate(few)
+            ]
+            cells = long.select(F.explode(F.array_compact(F.array(*spots))).alias("i"), "v")
+            values: dict[int, list[float]] = {}
+            for r in cells.collect():  # at most _SMALL rows for each rank
+                values.setdefault(r["i"], []).append(r["v"])
+            for i, (c, _, _, below, ranks, _) in enumerate(few):
+                held = sorted(values[i])
+                found[c].update({k: held[k - below] for k in ranks})
         todo = [t[:5] for t in again if t[5] > _SMALL]
     return found
 
@@ -221,7 +243,7 @@ def quantiles(
         for p, x in at.items():
             low = stats[c][int(x)]
             high = stats[c].get(int(x) + 1, low)
-            q[p] = low + (high - low) * (x - int(x))
+            q[p] = low + (high - low) * (x - int(x)) if high != low else low
         iqr = q[0.75] - q[0.25] if 0.25 in q and 0.75 in q else None
         rows.append((c, *[q[p] for p in probs], iqr))
     ddl = ", ".join(f"q{round(p * 100):02d} double" for p in probs)

@@ -88,6 +88,11 @@ STAGING = {
     "src_online_sales": _staging(False),
 }
 
+# Rows that a staging load could not read, with the columns at fault.
+LOAD_REJECTS = (
+    "source_system string, source_entity string, source_id string, bad_columns string, load_ts timestamp_ntz"
+)
+
 NF3 = {
     "ce_category": f"category_id bigint, category_src_id bigint, category string, {_LINEAGE}, {_STAMPS}",
     "ce_product": "product_id bigint, product_src_id bigint, product_name string, category_id bigint, "
@@ -335,4 +340,4 @@ LAYERS = {
     "star": list(STAR),
 }
 
-TABLES = {**STAGING, **NF3, **STAR}
+TABLES = {**STAGING, "load_rejects": LOAD_REJECTS, **NF3, **STAR}

@@ -75,7 +75,7 @@ def _columns() -> dict[str, tuple[tuple[str, ...], Column]]:
         "invoice_ts": (base, F.col("l_shipdate")),
         "customer_id": (orders, F.col("o_custkey")),
         "customer_firstname": (base, F.lit("Customer")),
-        "customer_lastname": (customer, F.substring("c_name", 10, 100)),
+        "customer_lastname": (customer, F.substr("c_name", F.lit(10))),
         "l_orderkey": (base, F.col("l_orderkey")),
         "l_linenumber": (base, F.col("l_linenumber")),
     }

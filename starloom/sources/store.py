@@ -11,12 +11,13 @@ take.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
@@ -49,18 +50,35 @@ class Store:
         return f"{self.root}/_manifest"
 
     def snapshot(self) -> tuple[int, list[Folder]]:
-        """Newest committed version and its folders (metadata-sized)."""
-        ddl = "table string, path string, month int, version int"
-        try:
-            all_rows = self.spark.read.schema(ddl).json(self._manifest_dir)
-            newest = all_rows.agg(F.max("version")).first()[0]
-        except AnalysisException:
+        """Newest committed version and its folders (metadata-sized). Only the
+        names of older manifests are listed; a damaged line is an error."""
+        newest = max(self._versions(), default=0)
+        if not newest:
             return 0, []
-        if newest is None:
-            return 0, []
-        rows = all_rows.filter(F.col("version") == newest).filter("table is not null").collect()
+        ddl = "table string, path string, month int"
+        manifest = self.spark.read.schema(ddl).option("mode", "FAILFAST")
+        rows = manifest.json(f"{self._manifest_dir}/version={newest}").filter("table is not null").collect()
         return newest, [Folder(r["table"], r["path"], r["month"]) for r in rows]
 
+    def _versions(self) -> list[int]:
+        """Committed versions: those whose writer has ended well. The folder that a
+        failed commit leaves behind is not one, and the next commit replaces it."""
+        return self._numbers(f"{self._manifest_dir}/version=*", "/_SUCCESS")
+
+    def _numbers(self, pattern: str, inside: str = "") -> list[int]:
+        """The numbers in the names of folders ``name=number`` (that hold a file)."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(pattern + inside)
+        found = [s.getPath() for s in path.getFileSystem(conf).globStatus(path) or []]
+        return [int((p.getParent() if inside else p).getName().split("=")[1]) for p in found]
+
+    def branch(self, root: str) -> "Store":
+        """A store of its own that starts from this one's tables, without copying."""
+        other = Store(self.spark, root, self.tables)
+        txn = Txn(other, 0, self.snapshot()[1])
+        txn.commit()
+        return other
+
     def read(self, table: str) -> DataFrame:
         return self._frame(table, self.snapshot()[1])
 
@@ -94,6 +112,7 @@ class Txn:
         self.spark = store.spark
         self.version = version
         self.folders = list(folders)
+        self.lock = threading.Lock()  # steps of a run stage their tables from threads
 
     def read(self, table: str) -> DataFrame:
         return self.store._frame(table, self.folders)
@@ -101,25 +120,61 @@ class Txn:
     def _new_path(self, table: str) -> str:
         return f"{self.store.root}/{table}/{self.version + 1:06d}-{uuid.uuid4().hex[:12]}"
 
-    def _write(self, table: str, df: DataFrame) -> str:
-        path = self._new_path(table)
+    def _write(self, table: str, df: DataFrame) -> tuple[str, int]:
+        """Path and number of the rows written, counted by the write itself."""
+        path, seen = self._new_path(table), Observation()
         wanted = schemas.struct(self.store.tables[table])
-        df.select(*[F.col(f.name).cast(f.dataType) for f in wanted]).write.parquet(path)
-        return path
+        shaped = df.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
+        shaped.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return path, seen.get["n"]
+
+    def _stage(self, out: Callable[[Folder], bool], into: list[Folder]) -> None:
+        """Take folders out of the table list and add new ones, in one step."""
+        with self.lock:
+            self.folders = [f for f in self.folders if not out(f)] + into
+
+    def append_rows(self, table: str, df: DataFrame) -> int:
+        """Add rows as one more folder, none if there are no rows; their number."""
+        path, n = self._write(table, df)
+        if n:
+            self._stage(lambda f: False, [Folder(table, path)])
+        return n
 
     def append(self, table: str, df: DataFrame) -> DataFrame:
         """Add rows as one more folder; returns the rows as written."""
-        path = self._write(table, df)
-        self.folders.append(Folder(table, path))
+        path, n = self._write(table, df)
+        if n:
+            self._stage(lambda f: False, [Folder(table, path)])
         return self.spark.read.schema(self.store.tables[table]).parquet(path)
 
+    def replace_rows(self, table: str, df: DataFrame) -> int:
+        """Make ``df`` the whole table; the number of its rows."""
+        path, n = self._write(table, df)
+        self._stage(lambda f: f.table == table, [Folder(table, path)])
+        return n
+
     def replace(self, table: str, df: DataFrame) -> DataFrame:
         """Make ``df`` the whole table."""
-        path = self._write(table, df)
-        self.drop(table)
-        self.folders.append(Folder(table, path))
+        self.replace_rows(table, df)
         return self.read(table)
 
+    def _write_months(self, path: str, shaped: DataFrame) -> tuple[list[int], int]:
+        """Months and number of the rows written, a folder for each month."""
+        seen = Observation()
+        # Rebalancing gives even files and cuts an outsized month into several.
+        even = shaped.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance", MONTH)
+        even.write.partitionBy(MONTH).parquet(path)
+        return sorted(self.store._numbers(f"{path}/{MONTH}=*")), seen.get["n"]
+
+    def append_months(self, table: str, df: DataFrame, ts: str = "invoice_ts") -> int:
+        """Add rows, a folder for each month; their number."""
+        path = self._new_path(table)
+        wanted = schemas.struct(f"{self.store.tables[table]}, {MONTH} int")
+        keyed = df.withColumn(MONTH, month_no(F.col(ts)))
+        months, n = self._write_months(path, keyed.select(*[F.col(f.name).cast(f.dataType) for f in wanted]))
+        self._stage(lambda f: False, [Folder(table, path, m) for m in months])
+        return n
+
     def replace_months(
         self, table: str, df: DataFrame, first: int, last: int, ts: str = "invoice_ts"
     ) -> DataFrame:
@@ -131,15 +186,11 @@ class Txn:
         wanted = schemas.struct(ddl)
         keyed = df.withColumn(MONTH, month_no(F.col(ts)))
         shaped = keyed.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
-        # Rebalancing gives even files and cuts an outsized month into several.
-        shaped.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
-        written = self.spark.read.schema(ddl).option("basePath", path).parquet(path)
-        months = sorted(r[0] for r in written.select(MONTH).distinct().collect())
-        self.folders = [
-            f
-            for f in self.folders
-            if f.table != table or f.month is None or not first <= f.month <= last
-        ] + [Folder(table, path, m) for m in months]
+        months, _ = self._write_months(path, shaped)
+        self._stage(
+            lambda f: f.table == table and f.month is not None and first <= f.month <= last,
+            [Folder(table, path, m) for m in months],
+        )
         return self.read(table)
 
     def months(self, table: str) -> list[int]:
@@ -148,7 +199,7 @@ class Txn:
     def drop_months_before(self, table: str, first: int) -> list[int]:
         """Forget months older than ``first``; returns them."""
         old = [m for m in self.months(table) if m < first]
-        self.folders = [f for f in self.folders if f.table != table or f.month not in old]
+        self._stage(lambda f: f.table == table and f.month in old, [])
         return old
 
     def stored(self) -> set[str]:
@@ -156,7 +207,7 @@ class Txn:
         return {f.table for f in self.folders}
 
     def drop(self, *tables: str) -> None:
-        self.folders = [f for f in self.folders if f.table not in tables]
+        self._stage(lambda f: f.table in tables, [])
 
     def drop_layer(self, layer: str) -> None:
         self.drop(*schemas.LAYERS[layer])
@@ -191,6 +242,7 @@ class Txn:
         rows = [(f.table, f.path, f.month) for f in self.folders] or [(None, None, None)]
         frame = self.spark.createDataFrame(rows, "table string, path string, month int")
         target = f"{self.store._manifest_dir}/version={self.version + 1}"
-        frame.coalesce(1).write.mode("errorifexists").json(target)
+        taken = self.version + 1 in self.store._versions()
+        frame.coalesce(1).write.mode("errorifexists" if taken else "overwrite").json(target)
         self.version += 1
         return self.version

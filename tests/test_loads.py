@@ -176,7 +176,7 @@ def test_failed_run_publishes_nothing_but_its_log_line(spark, tmp_path):
         with log.step(ctx, "doomed"):
             raise RuntimeError("no luck\nmore")
     assert rows(log.rows(), "procedure_name", "rows_affected", "message") == [
-        ("doomed", 0, "ERROR: no luck")
+        ("doomed", 0, "ERROR: no luck\nmore")
     ]
     with pytest.raises(ValueError, match="bad step"):
         log.steps(ctx, {"fine": lambda s: None, "bad": lambda s: (_ for _ in ()).throw(ValueError("bad step"))})
