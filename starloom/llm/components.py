@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -52,41 +52,53 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def shared_buckets(postings: DataFrame) -> DataFrame:
-    """(sig, id), each once, of the signatures that two or more ids have."""
+    """(sig, id, weight), each once, of the signatures that two or more ids have.
+    An id's weight is how many it meets over all its signatures."""
     once = postings.repartition("sig").groupBy("sig", "id").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    bucket = W.partitionBy("sig")
-    ends = once.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket)})
-    return ends.filter("low < high").select("sig", "id")
+    sized = once.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("sig"))).filter("size > 1")
+    sized = materialise(sized, "buckets")
+    return sized.drop("size").join(sized.groupBy("id").agg(F.sum("size").alias("weight")), "id")
 
 
 def _spread(members: DataFrame) -> DataFrame:
     bucket = W.partitionBy("sig")
     ends = members.withColumns({"low": F.min("comp").over(bucket), "high": F.max("comp").over(bucket)})
-    return ends.filter("low < high").select("sig", "id", "comp")
+    return ends.filter("low < high").select("sig", "id", "weight", "comp")
 
 
 def linked_components(
-    buckets: DataFrame, test: Callable[[DataFrame], DataFrame], star_rounds: int = STAR_ROUNDS
+    buckets: DataFrame,
+    test: Callable[[DataFrame], DataFrame],
+    marks: DataFrame,
+    near: Callable[[Column, Column], Column],
+    star_rounds: int = STAR_ROUNDS,
 ) -> DataFrame:
     """``id`` and ``comp`` of the ids that are linked with others.
 
-    ``buckets`` (sig, id) is a stored frame; ``test`` gets distinct candidate pairs
-    (a, b), a < b, and returns those that link. Every pair that shares a bucket is
-    tested unless its two sides are in one component already.
+    ``buckets`` (sig, id, weight) is a stored frame; ``test`` gets distinct candidate pairs
+    (a, b), a < b, and returns those that link. ``marks`` (id, mark) has a short sketch
+    of each id; ``near`` is a necessary condition for a link, on two sketches. Every
+    pair that shares a bucket is tested unless its two sides are in one component
+    already or their sketches rule it out.
     """
     members = buckets.withColumn("comp", F.col("id"))
     known = None  # id, comp of all that linked so far
     for k in range(star_rounds + 1):
         if k < star_rounds:
-            leader = F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(k))) if k else F.min(F.struct("id", "comp"))
+            # first the member that meets most others: near copies of one text mostly
+            # link with that text, if not with each other; then members by chance
+            order = F.xxhash64("id", F.lit(k)) if k else F.struct("weight", "id")
+            leader = F.max_by(F.struct("id", "comp"), order)
             led = members.withColumn("leader", leader.over(W.partitionBy("sig")))
             found = led.filter("leader.comp <> comp").select(
                 F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
             )
         else:
-            left = members.select("sig", F.col("id").alias("a"), F.col("comp").alias("ca"))
-            right = members.select("sig", F.col("id").alias("b"), F.col("comp").alias("cb"))
-            found = left.join(right, "sig").filter("a < b AND ca <> cb").select("a", "b")
+            marked = materialise(members.join(marks, "id").select("sig", "id", "comp", "mark"), "marked")
+            left = marked.toDF("sig", "a", "ca", "ma")
+            right = marked.toDF("sig", "b", "cb", "mb")
+            open_pair = F.expr("a < b AND ca <> cb") & near(F.col("ma"), F.col("mb"))
+            found = left.join(right, "sig").filter(open_pair).select("a", "b")
         linked = materialise(test(materialise(found.distinct(), "pairs")), "linked")
         if not linked.isEmpty():
             if known is not None:  # earlier components, each as a star
@@ -95,7 +107,7 @@ def linked_components(
         if k < star_rounds:
             if known is not None:
                 members = members.drop("comp").join(known, "id", "left")
-                members = members.select("sig", "id", F.coalesce("comp", "id").alias("comp"))
+                members = members.select("sig", "id", "weight", F.coalesce("comp", "id").alias("comp"))
             members = materialise(_spread(members), "open")
             if members.isEmpty():
                 break

@@ -16,7 +16,7 @@ from os.path import commonprefix
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
@@ -60,6 +60,23 @@ def signatures(line: str, edits: int) -> set[int]:
     return out
 
 
+def mark(line: str) -> tuple[int, int]:
+    """Parities of the characters and of the pairs of characters, 64 bits each."""
+    raw = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    pairs = (raw[1:] * np.uint64(0x9E3779B97F4A7C15) + raw[:-1] * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(58)
+    out = []
+    for values in (raw & np.uint64(63), pairs):
+        odd = np.bincount(values.astype(np.int64), minlength=64) & 1
+        out.append(int(np.packbits(odd.astype(np.uint8)).view(np.int64)[0]))
+    return out[0], out[1]
+
+
+def near_marks(a: Column, b: Column, edits: int) -> Column:
+    """An edit changes two characters and four pairs of characters at most."""
+    apart = lambda field: F.bit_count(a[field].bitwiseXOR(b[field]))
+    return (apart("chars") <= 2 * edits) & (apart("pairs") <= 4 * edits)
+
+
 def within(a: str, b: str, edits: int) -> bool:
     """Edit distance of at most ``edits``: the set of reachable diagonals for each
     number of edits as a few bits, one step for each character."""
@@ -120,10 +137,12 @@ def _postings(edits: int, least: int):
     return run
 
 
+LINES = "id bigint, key bigint, tag bigint, no int, line string, mark struct<chars: bigint, pairs: bigint>"
+
+
 def _lines(least: int, wanted):
-    """Rows (id, key, tag, no, line) of the lines compared; the line itself only
-    for those wanted."""
-    schema = arrow_schema("id bigint, key bigint, tag bigint, no int, line string")
+    """Rows of the lines compared; line and mark only for those wanted."""
+    schema = arrow_schema(LINES)
 
     def run(batches):
         for part in slices(batches):
@@ -133,7 +152,10 @@ def _lines(least: int, wanted):
                     line = compared(line)
                     if len(line) >= least:
                         own = line_id(line)
-                        made.append((own, k, tag, no, line if own in wanted.value else None))
+                        held = (None, None)
+                        if own in wanted.value:
+                            held = (line, dict(zip(("chars", "pairs"), mark(line))))
+                        made.append((own, k, tag, no, *held))
             if made:
                 columns = [pa.array(list(c), f.type) for c, f in zip(zip(*made), schema)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -152,12 +174,14 @@ def repeated_lines(
     posted = texts.filter("key IS NOT NULL").select("text").mapInArrow(_postings(edits, least), "sig bigint, id bigint")
     buckets = materialise(shared_buckets(posted), "buckets")
     wanted = context.broadcast(bitmap(buckets.select("id").distinct(), "id"))
-    ddl = "id bigint, key bigint, tag bigint, no int, line string"
-    lines = materialise(texts.mapInArrow(_lines(least, wanted), ddl), "lines")
-    items = lines.filter("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
+    lines = materialise(texts.mapInArrow(_lines(least, wanted), LINES), "lines")
+    items = lines.filter("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"), F.first("mark").alias("mark"))
     items = materialise(items.join(buckets.select("id").distinct(), "id", "left_semi"), "items")
     comp = linked_components(
-        buckets, lambda pairs: filter_pairs(pairs, items, ["line"], lambda x, y: within(x, y, edits))
+        buckets,
+        lambda pairs: filter_pairs(pairs, items, ["line"], lambda x, y: within(x, y, edits)),
+        items.select("id", "mark"),
+        lambda a, b: near_marks(a, b, edits),
     )
     placed = lines.select("id", F.struct("key", "tag", "no").alias("at")).join(comp, "id", "left")
     placed = placed.select("at", F.coalesce("comp", "id").alias("comp"))
