@@ -70,10 +70,23 @@ def profile_columns(spark, sf_dir):
     return profile.columns(_gappy_part(spark, sf_dir))
 
 
-@query()
+_CLOSE_ROW = """
+SELECT '{c}' AS column_name, count({c}) AS n_values, count(*) - count({c}) AS n_missing,
+  count(DISTINCT {c}) AS n_distinct, TRUE AS close FROM gappy"""
+
+
+@query(f"WITH {_GAPPY} " + _per_column(_CLOSE_ROW, _PART_COLUMNS))
 def profile_columns_approx(spark, sf_dir):
-    """Distinct counts estimated in a single pass."""
-    return profile.columns(_gappy_part(spark, sf_dir), exact=False)
+    """Whether the distinct counts estimated in a single pass lie within five
+    standard errors of the exact ones, which are shown."""
+    rows, rsd = _gappy_part(spark, sf_dir), 0.02
+    guess = profile.columns(rows, exact=False, rsd=rsd).select(
+        "column_name", "n_values", "n_missing", F.col("n_distinct").alias("guess")
+    )
+    exact = profile.columns(rows).select("column_name", "n_distinct")
+    error = F.abs(F.col("guess") - F.col("n_distinct"))
+    close = error <= F.greatest(F.lit(1.0), 5 * rsd * F.col("n_distinct"))
+    return guess.join(exact, "column_name").withColumn("close", close).drop("guess")
 
 
 def _rounded(df, places: int, *names):
@@ -113,9 +126,33 @@ def profile_quantiles(spark, sf_dir):
     return _rounded(rows, 6, "q05", "q25", "q50", "q75", "q95", "iqr")
 
 
-@query()
+_CLOSE_QUANTILES = """
+SELECT '{c}' AS column_name, count({c}) AS n_values, min(CAST({c} AS DOUBLE)) + 0.0 AS min_value,
+  max(CAST({c} AS DOUBLE)) + 0.0 AS max_value, 5 AS n_close FROM lineitem"""
+
+
+@query(_per_column(_CLOSE_QUANTILES, _LINE_NUMBERS))
 def profile_quantiles_approx(spark, sf_dir):
-    return profile.quantiles_approx(feed.table(spark, sf_dir, "lineitem"), _LINE_NUMBERS)
+    """How many of the five quantiles estimated in a single pass lie within the
+    stated n / accuracy ranks, counted exactly, beside the range of the column."""
+    lines, accuracy = feed.table(spark, sf_dir, "lineitem"), 10_000
+    probs = profile.PROBS
+    rows = profile.quantiles_approx(lines, _LINE_NUMBERS, probs, accuracy).collect()  # a row per column
+    counts, listed = [], []
+    for r in rows:
+        c, v = r["column_name"], F.col(r["column_name"]).cast("double")
+        room = F.count(v) / accuracy + 1
+        close = [
+            ((F.count_if(v < r[i]) <= p * F.count(v) + room) & (F.count_if(v <= r[i]) >= p * F.count(v) - room))
+            for i, p in enumerate(probs, 1)
+        ]
+        counts += [
+            F.count(v).alias(f"n_{c}"), (F.min(v) + 0.0).alias(f"lo_{c}"), (F.max(v) + 0.0).alias(f"hi_{c}"),  # one kind of zero
+            sum((k.cast("int") for k in close), F.lit(0)).alias(f"ok_{c}"),
+        ]
+        fields = zip((f"n_{c}", f"lo_{c}", f"hi_{c}", f"ok_{c}"), ("n_values", "min_value", "max_value", "n_close"))
+        listed.append(F.struct(F.lit(c).alias("column_name"), *(F.col(a).alias(b) for a, b in fields)))
+    return lines.agg(*counts).select(F.inline(F.array(*listed)))
 
 
 _HISTOGRAM_ROW = """

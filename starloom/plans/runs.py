@@ -43,7 +43,7 @@ def stage(
         step.rows = txn.replace_rows(table, once)
         bad = (rejected or {}).get(table)
         n_bad = txn.append_rows("load_rejects", bad.withColumn("load_ts", ctx.load_ts_col)) if bad is not None else 0
-        n = seen.get["n"]
+        n = Txn._seen(seen)
         step.message = f"read={n + n_bad}, kept={step.rows}, duplicates={n - step.rows}, rejects={n_bad}"
 
     log.steps(ctx, {f"stage_{t}": partial(load, t) for t in cleaned})
@@ -156,7 +156,7 @@ def append_sales(txn: Txn, staging: DataFrame, ctx: LoadContext, step: Step) ->
     )
     fresh = materialise(keys.stamp_slots(nf3.load_sales(near, resolved, ctx)), "sales")
     step.rows = txn.append_months("ce_sales", keys.assign_stamped(fresh, "sale_id", start))
-    n, bad = seen.get["n"], seen.get["bad"]
+    n, bad = Txn._seen(seen), Txn._seen(seen, "bad")
     step.message = f"read={n}, without id or time={bad}, known or merged={n - bad - step.rows}"
 
 

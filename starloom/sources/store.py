@@ -17,6 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,11 +113,16 @@ class Txn:
         self.spark = store.spark
         self.version = version
         self.folders = list(folders)
+        self.before = frozenset(folders)
         self.lock = threading.Lock()  # steps of a run stage their tables from threads
 
     def read(self, table: str) -> DataFrame:
         return self.store._frame(table, self.folders)
 
+    def added(self, table: str) -> DataFrame:
+        """The rows that this transaction has put into a table."""
+        return self.store._frame(table, [f for f in self.folders if f not in self.before])
+
     def _new_path(self, table: str) -> str:
         return f"{self.store.root}/{table}/{self.version + 1:06d}-{uuid.uuid4().hex[:12]}"
 
@@ -126,7 +132,16 @@ class Txn:
         wanted = schemas.struct(self.store.tables[table])
         shaped = df.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
         shaped.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-        return path, seen.get["n"]
+        return path, self._seen(seen)
+
+    @staticmethod
+    def _seen(seen: Observation, what: str = "n") -> int:
+        """Rows that a write has counted; a write whose plan the optimizer found to
+        be empty leaves no figure."""
+        try:
+            return seen.get[what]
+        except Py4JJavaError:
+            return 0
 
     def _stage(self, out: Callable[[Folder], bool], into: list[Folder]) -> None:
         """Take folders out of the table list and add new ones, in one step."""
@@ -164,7 +179,7 @@ class Txn:
         # Rebalancing gives even files and cuts an outsized month into several.
         even = shaped.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance", MONTH)
         even.write.partitionBy(MONTH).parquet(path)
-        return sorted(self.store._numbers(f"{path}/{MONTH}=*")), seen.get["n"]
+        return sorted(self.store._numbers(f"{path}/{MONTH}=*")), self._seen(seen)
 
     def append_months(self, table: str, df: DataFrame, ts: str = "invoice_ts") -> int:
         """Add rows, a folder for each month; their number."""

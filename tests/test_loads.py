@@ -1,3 +1,4 @@
+import time
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -323,3 +324,41 @@ def test_time_windows_reach_the_scan(spark, tmp_path):
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(invoice_ts,2024-02-01" in plan
     assert rows(picked, "id") == [(1,)]
+
+
+def test_no_folder_is_lost_under_threads(spark, tmp_path):
+    """Steps that stage their tables at once, over a long and slow list."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from starloom.sources.store import Folder, Store, Txn
+
+    class Slow(list):
+        def __iter__(self):
+            for f in super().__iter__():
+                if f.path == "old500":
+                    time.sleep(0.01)
+                yield f
+
+    txn = Txn(Store(spark, str(tmp_path)), 0, [])
+    txn.folders = Slow(Folder("x", f"old{i}") for i in range(1000))
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: txn._stage(lambda f: f.table == f"t{i}", [Folder(f"t{i}", f"p{i}")]), range(40)))
+    assert {f.table for f in txn.folders} == {"x", *(f"t{i}" for i in range(40))}
+
+
+def test_sales_outside_the_window_are_not_read(spark, tmp_path):
+    from starloom.sources.store import Store
+
+    store = Store(spark, str(tmp_path), {"f": "id bigint, invoice_ts timestamp_ntz"})
+    txn = store.begin()
+    rows = spark.range(60).selectExpr("id", "timestamp_ntz'2024-01-05' + make_interval(0, cast(id % 6 AS int)) AS invoice_ts")
+    assert txn.append_months("f", rows) == 60
+    assert txn.append_rows("f", rows.limit(0)) == 0
+    txn.commit()
+    assert store.begin().months("f") == [202401, 202402, 202403, 202404, 202405, 202406]
+    recent = store.read("f").filter("yyyymm BETWEEN 202405 AND 202406")
+    assert recent.count() == 20
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yyyymm" in plan
+    assert fact.window_of(202401, date(2030, 1, 1)) == (date(2023, 11, 1), date(2024, 1, 31))
+    assert fact.window_of(None, date(2024, 12, 9)) == (date(2024, 10, 1), date(2024, 12, 31))

@@ -129,3 +129,13 @@ def test_estimates_are_close(numbers):
     rough = {r["column_name"]: r["n_distinct"] for r in profile.columns(numbers, exact=False).collect()}
     for c, n in exact.items():
         assert rough[c] == pytest.approx(n, rel=0.1)
+
+
+def test_quantiles_end_on_infinities_and_extremes(spark):
+    inf, big = float("inf"), 1.7e308
+    data = [-inf, -big, -1.0, 0.0, 5e-324, 1e-323, 2.0, big, inf, inf, float("nan"), None]
+    many = [(v,) for v in data] + [(v,) for v in (5e-324, 1e-323) for _ in range(12_000)]
+    df = spark.createDataFrame(many, "v double")
+    found = profile.order_statistics(df, {"v": [0, 1, 4, 12_003, 24_005, 24_006, 24_007, 24_009]})
+    held = sorted(v for (v,) in many if v is not None and v == v)
+    assert found["v"] == {k: held[k] for k in found["v"]} and len(found["v"]) == 8
