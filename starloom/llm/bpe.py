@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm.arrow import map_rows, slices
+from starloom.llm.bounded import most_frequent
 
 #: A cut where so many low bits of the rolling hash are zero: chunks of about 512 bytes.
 CUT_BITS = 9
@@ -187,8 +188,8 @@ def token_bytes(path: str) -> list[bytes]:
 
 def shared_chunks(docs: DataFrame, text: str = "text", most: int = SHARED_DIGESTS) -> np.ndarray:
     """Digests of chunks that occur twice or more, over whole texts of all rows,
-    sorted. If there are over ``most``, those of the higher counts: others are
-    encoded wherever they occur, with the same result."""
+    sorted. If there are over ``most``, those of higher counts, by doubling the
+    least: others are encoded wherever they occur, with the same result."""
 
     def run(batches):
         for part in slices(batches):
@@ -202,9 +203,7 @@ def shared_chunks(docs: DataFrame, text: str = "text", most: int = SHARED_DIGEST
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())})
 
     counted = docs.select(F.col(text).cast("binary")).mapInArrow(run, "chunk bigint, n bigint")
-    repeated = counted.groupBy("chunk").agg(F.sum("n").alias("n")).filter("n > 1")
-    top = repeated.orderBy(F.desc("n"), "chunk").limit(most).select("chunk")
-    return np.sort(top.toPandas()["chunk"].to_numpy(np.int64))
+    return np.sort(most_frequent(counted, "chunk", 1, most).toPandas()["chunk"].to_numpy(np.int64))
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
