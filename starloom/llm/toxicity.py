@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.arrow import flat_map_rows, map_rows, slices
+from starloom.llm.bounded import hash_sample
 
 #: Labelled rows that the classifier is fitted on at most.
 FIT_ROWS = 20_000
@@ -77,7 +78,7 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
         .groupBy("key")
         .agg(F.max("label").alias("label"))
     )
-    chosen = known.orderBy(F.xxhash64("key"), "key").limit(fit_rows)
+    chosen = hash_sample(known, "key", fit_rows, known.count())
     few = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # at most fit_rows pairs of numbers
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"))
     return narrow.join(F.broadcast(few), "key")
