@@ -26,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
+from starloom.llm.bounded import hash_sample
 
 #: Vectors that lists, rotation and probed share are fitted on at most.
 FIT_ROWS = 20_000
@@ -90,7 +91,7 @@ def build(rows: DataFrame, k: int, fit_rows: int = FIT_ROWS, target: float = TAR
     facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("longest")).first()
     if not facts["n"]:
         return None
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(fit_rows).toPandas()
+    sample = hash_sample(rows, "id", fit_rows, facts["n"]).toPandas()
     ids, x = sample["id"].to_numpy(np.int64), _matrix(sample["vec"])
     rng = np.random.default_rng(seed)
     lists = int(min(MOST_LISTS, max(1, round(facts["n"] ** 0.5)), len(x)))
