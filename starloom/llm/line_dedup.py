@@ -23,6 +23,7 @@ from starloom.context import materialise
 from starloom.llm.arrow import arrow_schema, slices
 from starloom.llm.components import filter_pairs, linked_components, shared_buckets
 from starloom.llm.membership import bitmap, perhaps
+from starloom.operators.lookup import spread_join
 
 EDITS = 2
 #: Shorter lines are left alone: headings, single words and list marks repeat by nature.
@@ -183,10 +184,11 @@ def repeated_lines(
         items.select("id", "mark"),
         lambda a, b: near_marks(a, b, edits),
     )
-    placed = lines.select("id", F.struct("key", "tag", "no").alias("at")).join(comp, "id", "left")
-    placed = placed.select("at", F.coalesce("comp", "id").alias("comp"))
+    # a line or a group of lines may hold a third of all rows: both joins spread such keys
+    placed = spread_join(lines.select("id", F.struct("key", "tag", "no").alias("at")), comp, ["id"])
+    placed = materialise(placed.select("at", F.coalesce("comp", "id").alias("comp")), "placed")
     firsts = placed.groupBy("comp").agg(F.min("at").alias("first"), F.max("at").alias("last")).filter("first < last")
-    later = placed.join(firsts.select("comp", "first"), "comp").filter("first < at")
+    later = spread_join(placed, firsts.select("comp", "first"), ["comp"], "inner").filter("first < at")
     return later.groupBy("at.key", "at.tag").agg(F.sort_array(F.collect_set("at.no")).alias("removed"))
 
 
