@@ -160,7 +160,7 @@ def op7_substring_dedup(spark, sf_dir):
 
 @_query
 def op9_line_dedup(spark, sf_dir):
-    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), edits=2)
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), edits=2, short=True)
     text = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     return kept.select("doc_id", "n_lines", "n_removed", text)
 

@@ -6,6 +6,8 @@ indexed by its segments (with its length and the segment's number) and probes, f
 each length that an earlier partner can have, the substrings at the places that a
 segment can have moved to, chosen so that no pair within the limit is missed and few
 are probed twice. What meets is verified with a banded bit-parallel edit distance.
+In short lines two edits make another word: they are no candidates and link by
+equality alone, through their ids.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from starloom.llm.membership import bitmap, perhaps
 from starloom.operators.lookup import spread_join
 
 EDITS = 2
-#: Shorter lines are left alone: headings, single words and list marks repeat by nature.
+#: Shorter lines never link by edits: with ``short`` equal ones do, else they are left alone.
 LEAST_CHARS = 32
 
 
@@ -138,10 +140,10 @@ def _postings(edits: int, least: int):
     return run
 
 
-LINES = "id bigint, key bigint, tag bigint, no int, line string, mark struct<chars: bigint, pairs: bigint>"
+LINES = "id bigint, key bigint, tag bigint, no int, long boolean, line string, mark struct<chars: bigint, pairs: bigint>"
 
 
-def _lines(least: int, wanted):
+def _lines(least: int, short: bool, wanted):
     """Rows of the lines compared; line and mark only for those wanted."""
     schema = arrow_schema(LINES)
 
@@ -151,12 +153,13 @@ def _lines(least: int, wanted):
             for k, tag, text in zip(*(c.to_pylist() for c in part.columns)):
                 for no, line in enumerate((text or "").split("\n") if k is not None else ()):
                     line = compared(line)
-                    if len(line) >= least:
+                    long = len(line) >= least
+                    if long or short and line:
                         own = line_id(line)
                         held = (None, None)
-                        if own in wanted.value:
+                        if long and own in wanted.value:
                             held = (line, dict(zip(("chars", "pairs"), mark(line))))
-                        made.append((own, k, tag, no, *held))
+                        made.append((own, k, tag, no, long, *held))
             if made:
                 columns = [pa.array(list(c), f.type) for c, f in zip(zip(*made), schema)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -165,17 +168,23 @@ def _lines(least: int, wanted):
 
 
 def repeated_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST_CHARS
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    least: int = LEAST_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """``key``, ``tag`` (hash of the text) and ``removed`` (line numbers from 0):
     lines that link, over any number of steps of at most ``edits`` edits, with one
-    that stands earlier (smaller key, then line number)."""
+    that stands earlier (smaller key, then line number). With ``short``, lines under
+    ``least`` characters that are equal, and not blank, link too."""
     texts = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).alias("text"))
     context = docs.sparkSession.sparkContext
     posted = texts.filter("key IS NOT NULL").select("text").mapInArrow(_postings(edits, least), "sig bigint, id bigint")
     buckets = materialise(shared_buckets(posted), "buckets")
     wanted = context.broadcast(bitmap(buckets.select("id").distinct(), "id"))
-    lines = materialise(texts.mapInArrow(_lines(least, wanted), LINES), "lines")
+    lines = materialise(texts.mapInArrow(_lines(least, short, wanted), LINES), "lines")
     items = lines.filter("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"), F.first("mark").alias("mark"))
     items = materialise(items.join(buckets.select("id").distinct(), "id", "left_semi"), "items")
     comp = linked_components(
@@ -185,26 +194,35 @@ def repeated_lines(
         lambda a, b: near_marks(a, b, edits),
     )
     # a line or a group of lines may hold a third of all rows: both joins spread such keys
-    placed = spread_join(lines.select("id", F.struct("key", "tag", "no").alias("at")), comp, ["id"])
-    placed = materialise(placed.select("at", F.coalesce("comp", "id").alias("comp")), "placed")
+    at = F.struct("key", "tag", "no").alias("at")
+    placed = spread_join(lines.filter("long").select("id", at), comp, ["id"]).select("at", F.coalesce("comp", "id").alias("comp"))
+    if short:
+        placed = placed.unionByName(lines.filter("NOT long").select(at, F.col("id").alias("comp")))
+    placed = materialise(placed, "placed")
     firsts = placed.groupBy("comp").agg(F.min("at").alias("first"), F.max("at").alias("last")).filter("first < last")
     later = spread_join(placed, firsts.select("comp", "first"), ["comp"], "inner").filter("first < at")
     return later.groupBy("at.key", "at.tag").agg(F.sort_array(F.collect_set("at.no")).alias("removed"))
 
 
 def dedup_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST_CHARS
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    least: int = LEAST_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs``, with repeated lines taken out of ``text``,
     and two more columns: ``n_lines`` (lines of the text as given) and ``n_removed``.
 
     The first of each group of lines stays. Lines shorter than ``least`` characters
-    are never removed. A null text stays null and has no lines, an empty one has one;
+    are removed only with ``short``, and only if they equal an earlier one; blank
+    lines are never removed. A null text stays null and has no lines, an empty one has one;
     a text whose lines all go is empty. A row with a null key neither loses lines nor
     takes any from others; repeated rows count as one and lose the same lines.
     Columns of ``docs`` called like the two new ones are replaced.
     """
-    removed = materialise(repeated_lines(docs, key, text, edits, least), "removed")
+    removed = materialise(repeated_lines(docs, key, text, edits, least, short), "removed")
     hit = docs.sparkSession.sparkContext.broadcast(bitmap(removed.select("key"), "key"))
     removed = removed.toDF("__key", "__tag", "__removed")
     none = F.lit(None).cast("array<int>")

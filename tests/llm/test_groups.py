@@ -5,9 +5,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starloom.context import scratch_path
-from starloom.llm import ann, line_dedup, ngram_join, substring_dedup, warc
+from starloom.llm import ann, catalog, line_dedup, ngram_join, substring_dedup, warc
 from starloom.llm.components import connected
 from llm_samples import AWKWARD, documents, prose  # noqa: F401
 
@@ -195,6 +197,48 @@ def test_lines_against_all_pairs(documents):
     assert line_dedup.dedup_lines(documents([])).count() == 0
 
 
+def test_short_lines_against_all_pairs(documents):
+    rng = random.Random(18)
+    bases = [" ".join(prose(rng, n)) for n in (4, 6, 8)]
+    marks = ["Menu", "menu", "Read more", "x", "é", "-", "a" * 31, "a" * 30 + "b", "b" * 32, "b" * 31]
+    pairs = list(AWKWARD)
+    for i in range(60):
+        lines = [edited(rng, rng.choice(bases), rng.choice([0, 1, 2])) for _ in range(rng.randint(0, 2))]
+        lines += [rng.choice(["", " "]) + rng.choice([*marks, f"own {i}"]) + rng.choice(["", " \r"]) for _ in range(4)]
+        lines += ["", " \t"]
+        rng.shuffle(lines)
+        pairs.append((100 + i, "\n".join(lines)))
+    where, want = defaultdict(list), Groups()
+    for i, t in pairs:
+        for no, line in enumerate((t or "").split("\n") if i is not None else ()):
+            if line_dedup.compared(line):
+                where[line_dedup.compared(line)].append((i, no))
+    kinds = list(where)
+    for n, a in enumerate(kinds):
+        for b in kinds[:n]:
+            if min(len(a), len(b)) >= 32 and abs(len(a) - len(b)) <= 2 and len(a) < 1000 and distance(a, b) <= 2:
+                want.join(a, b)
+    groups = defaultdict(list)
+    for line, at in where.items():
+        groups[want.find(line)] += at
+    gone = {p for at in groups.values() for p in at if p != min(at)}
+    texts = []
+    for i, t in pairs:
+        lines = t.split("\n") if t is not None else []
+        left = [x for no, x in enumerate(lines) if (i, no) not in gone]
+        texts.append((i, t if t is None else "\n".join(left), len(lines), len(lines) - len(left)))
+    found = [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(documents(pairs), short=True).collect()]
+    assert sorted(found, key=str) == sorted(texts, key=str)
+
+
+def test_registered_line_removal_takes_short_repeats(spark, documents, tmp_path):
+    documents([(1, "Menu\nfirst"), (2, "Menu\nsecond"), (3, "Menu")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_removed for r in catalog.op9_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 1}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("n_chars", F.length("text").cast("bigint"))
+    cut = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path))
+    assert {(r.doc_id, r.text, r.n_chars) for r in cut.collect()} == {(1, "Menu\nfirst", 10), (2, "second", 6), (3, "", 0)}
+
+
 # ------------------------------------------------------------------ vectors
 
 
