@@ -74,14 +74,15 @@ def _id(*parts) -> str:
     return f"<urn:uuid:{uuid.UUID(hashlib.md5(repr(parts).encode()).hexdigest())}>"
 
 
-def page_records(page, url, payload: bytes, first, segment: int):
-    """The records of one page. ``first``: the page whose payload is the same."""
+def page_records(page, url, payload: bytes, first, segment: int, number: int = 0):
+    """The records of one page. ``first``: the page whose payload is the same;
+    ``number`` tells rows apart that are equal in all else."""
     digest, uri = payload_digest(payload), re.sub(r"[\s\x00-\x1f]", "%20", url or "")
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     common = [("WARC-Date", _DATE), ("WARC-Target-URI", uri), ("WARC-Page-ID", page), ("WARC-Payload-Digest", f"sha1:{digest}")]
     typed = ("Content-Type", "application/http; msgtype=response")
-    own = _id("record", page, url, digest)
-    if first is not None and first != page:
+    own = _id("record", page, url, digest, number)
+    if first is not None and page is not None and first != page:
         yield _record(
             [("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common, ("WARC-Profile", _PROFILE), ("WARC-Refers-To-Page-ID", first), typed],
             http,
@@ -115,7 +116,9 @@ def write_archives(
 
     A null html is an empty payload, a null url an empty address. Of rows with equal
     payloads of at least ``least_bytes`` the smallest key is the response, and so
-    are its repeats; a null key comes after all others. Other columns are not read.
+    are its repeats and rows with a null key. Each row has a record id of its own:
+    all its records are made by one task, from the number that the row has there.
+    Other columns are not read.
     """
     rows = pages.select(
         F.col(key).cast("bigint").alias("page"),
@@ -128,13 +131,14 @@ def write_archives(
     paired = rows.join(firsts, "same", "left")
 
     def setup():
-        def each(page, address, payload, first):
+        def each(page, address, payload, first, number):
             # the files' writer ends each record with the last of its line ends
-            return ((r[:-1],) for r in page_records(page, address, payload, first, segment_bytes))
+            return ((r[:-1],) for r in page_records(page, address, payload, first, segment_bytes, number))
 
         return each
 
-    records = flat_map_rows(paired.select("page", "url", "payload", "first"), setup, "record binary")
+    numbered = paired.select("page", "url", "payload", "first", F.monotonically_increasing_id().alias("number"))
+    records = flat_map_rows(numbered, setup, "record binary")
     files = records.select(F.col("record").cast("string").alias("value"))
     files.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 

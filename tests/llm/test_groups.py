@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -310,6 +311,23 @@ def test_archives_round_trip(spark):
     assert warc.index(warc.read_archives(spark, empty)).count() == 0
 
 
+def test_repeated_and_unnamed_pages_against_sql(spark, tmp_path):
+    long, other, plain = "<p>" + "z" * 70_000, "y" * 40_000, "short"
+    rows = [(1, "u", long), (1, "u", long), (2, "u", long), (None, "u", long), (3, "u", plain), (3, "u", plain)]
+    rows += [(None, "v", other), (None, "v", other), (None, None, plain), (4, "w", None), (4, "w", None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(2)
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(catalog.ORACLES["op10_warc"]).fetchall()
+    got = [tuple(r) for r in catalog.op10_warc(spark, str(tmp_path)).collect()]
+    assert len(got) == len(rows) and sorted(got, key=str) == sorted(want, key=str)
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path)
+    raw = warc.read_records(spark, path)
+    assert raw.count() == raw.select("record_id").distinct().count()
+
+
 def test_a_missing_segment_is_noticed(spark):
     path = scratch_path(spark, "warc")
     page = (7, "u", b"z" * 900, None)
