@@ -39,10 +39,11 @@ HARMLESS = ("example", "changeme", "placeholder", "your_", "your-", "dummy", "xx
 #: A name and a literal flag together from this score on.
 FLAG = 5.0
 
-_HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"cred", b"auth")
+#: What every match of the first base pattern holds; the lexer reads all texts with an assignment.
+_ASSIGN_HINTS = (b"passw", b"secret", b"token", b"key")
 _IS_HEX = bytes(0x68 if chr(b) in "0123456789abcdef" else 0x20 for b in range(256))
 _RUN = b"h" * LEAST["hex"]
-_STATEMENT = re.compile(rb"""(?<![\w.$-])(["']?)([A-Za-z_$][\w.$-]{0,127})\1[ \t]*(?:=>|:=|=(?!=)|:(?!:))[ \t]*""")
+_STATEMENT = re.compile(rb"""(?<![\w.$-])(["']?)([A-Za-z_$][\w.$-]*+)\1[ \t]*(?:=>|:=|=(?!=)|:(?!:))[ \t]*""")
 _TERM = re.compile(rb""""((?:[^"\\\r\n]|\\.)*)"|'((?:[^'\\\r\n]|\\.)*)'|([A-Za-z0-9_$+/.=-]+)""")
 _JOIN = re.compile(rb"[ \t]*[+.][ \t]*(?=[\"'A-Za-z_$])|[ \t]+(?=[\"'])")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -55,14 +56,62 @@ def name_score(name: str) -> int:
     return sum(SENSITIVE.get(p, 0) for p in {*parts, *pairs})
 
 
+_SEAM = max(map(len, HARMLESS)) - 1
+
+
+class Value:
+    """What a name stands for: literals (text, start, end) and earlier values, in
+    order. Values share what they are made of, so a constant that is joined with
+    itself over and over takes no more room than its statements; the joined text is
+    never made, only what its score needs: the number of each character, its ends in
+    lower case, and whether a harmless word stands in it, over a seam or not."""
+
+    __slots__ = ("counts", "harmless", "head", "parts", "tail")
+
+    def __init__(self, parts: list):
+        self.parts, self.counts = parts, None
+
+    def measured(self) -> Value:
+        todo = [self]
+        while todo:
+            value = todo[-1]
+            unknown = [p for p in value.parts if isinstance(p, Value) and p.counts is None] if value.counts is None else []
+            if not unknown:
+                if value.counts is None:
+                    value._join()
+                todo.pop()
+            todo += unknown
+        return self
+
+    def _join(self) -> None:
+        counts, self.head, self.tail, self.harmless = Counter(), "", "", False
+        for p in self.parts:
+            if isinstance(p, Value):
+                head, tail, harmless = p.head, p.tail, p.harmless
+                counts.update(p.counts)
+            else:
+                low = p[0].lower()
+                head, tail, harmless = low[:_SEAM], low[-_SEAM:], any(h in low for h in HARMLESS)
+                counts.update(p[0])
+            self.harmless |= harmless or any(h in self.tail + head for h in HARMLESS)
+            if len(self.head) < _SEAM:  # then it is all of the text so far
+                self.head = (self.head + head)[:_SEAM]
+            self.tail = tail if len(tail) == _SEAM else (self.tail + tail)[-_SEAM:]
+        self.counts = counts
+
+    def score(self) -> float:
+        counts = self.measured().counts
+        length = sum(counts.values())
+        if length < 6 or self.harmless or self.head[:2] in ("${", "{{", "<%"):
+            return -9.0
+        entropy = -sum(n / length * math.log2(n / length) for n in counts.values())
+        kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+        return (length >= 8) + (kinds >= 2) + (kinds >= 3) + max(0.0, entropy - 2) - 2 * (" " in counts)
+
+
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret: length, kinds of characters, entropy."""
-    if len(value) < 6 or any(h in value.lower() for h in HARMLESS) or value[:2] in ("${", "{{", "<%"):
-        return -9.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return (len(value) >= 8) + (kinds >= 2) + (kinds >= 3) + max(0.0, entropy - 2) - 2 * (" " in value)
+    return Value([(value, 0, 0)]).score()
 
 
 def pairs(data: bytes):
@@ -83,31 +132,41 @@ def pairs(data: bytes):
 
 def sensitive_literals(data: bytes) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or through names."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
-    out = set()
+    known: dict[str, Value] = {}
+    flagged: list[Value] = []
     for name, parts in pairs(data):
-        literals = []
+        held = []
         for raw, quoted, a, b in parts:
-            value = raw.decode("utf-8", "replace")
-            literals += known.get(value, [(value, a, b)]) if not quoted else [(value, a, b)]
-        known[name] = literals[:64]  # one expression's worth; the spans of each are kept on their own
+            text = raw.decode("utf-8", "replace")
+            held.append((text, a, b) if quoted or text not in known else known[text])
+        known[name] = value = Value(held)
         target = name_score(name)
-        if target >= 2 and target + literal_score("".join(v for v, _, _ in literals)) >= FLAG:
-            out.update((a, b) for _, a, b in literals)
+        if target >= 2 and target + value.score() >= FLAG:
+            flagged.append(value)
+    out, met = set(), set()
+    while flagged:
+        value = flagged.pop()
+        if id(value) not in met:
+            met.add(id(value))
+            for p in value.parts:
+                if isinstance(p, Value):
+                    flagged.append(p)
+                else:
+                    out.add(p[1:])
     return sorted(out)
 
 
 def scan(data: bytes) -> list[tuple[str, int, int]]:
     """(kind, start, end) in bytes, by start and then kind."""
     low, found = data.lower(), []
-    hinted = any(h in low for h in _HINTS) and (b"=" in data or b":" in data)
-    if hinted:
+    assigns = b"=" in data or b":" in data
+    if assigns and any(h in low for h in _ASSIGN_HINTS):
         found += [("assign", *m.span()) for m in _ASSIGN.finditer(data) if len(m[2]) >= LEAST["assign"]]
     if b"AKIA" in data:
         found += [("access", *m.span()) for m in _ACCESS.finditer(data) if len(m[0]) >= LEAST["access"]]
     if _RUN in data.translate(_IS_HEX):
         found += [("hex", *m.span()) for m in _HEX.finditer(data) if len(m[0]) >= LEAST["hex"]]
-    if hinted:
+    if assigns:
         found += [("literal", a, b) for a, b in sensitive_literals(data)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

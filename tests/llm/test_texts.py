@@ -168,6 +168,40 @@ def test_literals_by_target_name():
     assert [config[a:b] for kind, a, b in secrets.scan(config) if kind == "literal"] == [b"zX81-kkQ2_LLw", b"pQ7vT5bN3xKd"]
 
 
+def literals(source):
+    return [source[a:b] for kind, a, b in secrets.scan(source.encode()) if kind == "literal"]
+
+
+@pytest.mark.parametrize("word", [*secrets.SENSITIVE, "to_ken", "p_wd"])
+def test_each_sensitive_word_alone(word):
+    name = word if secrets.name_score(word) >= 2 else f"{word}_{'signing' if word == 'client' else 'client'}"
+    for said in (name, name.upper()):
+        assert literals(f'{said} = "q8Zr71LmX02pW4"') == ["q8Zr71LmX02pW4"], said
+
+
+def test_long_constants_and_names():
+    parts = [f"q{i}Zr" for i in range(100)]
+    joined = " + ".join(f'"{p}"' for p in parts)
+    assert literals(f"C = {joined}\ndb.password = C\n") == parts
+    assert literals(f'{"x" * 300}_password = "q8Zr71LmX02pW4"') == ["q8Zr71LmX02pW4"]
+    grown = "C = C + C\n" * 3000
+    assert literals(f'C = "q8Zr71LmX02pW4"\n{grown}bearer = C\n') == ["q8Zr71LmX02pW4"]
+    assert literals('A = "q8Zr71change"\nB = A + "me"\nbearer = B + "q8Zr71LmX02pW4"\n') == []
+
+
+def test_literal_scores_over_parts():
+    rng = random.Random(13)
+    pieces = ["q8", "Zr 71", "place", "holder", "x", "xx", "é", "ß", "TODO", "your", "_", "${", "", "LmX02pW4"]
+    for _ in range(2000):
+        made = [rng.choice(pieces) for _ in range(rng.randint(0, 7))]
+        cut = rng.randint(0, len(made))
+        value = secrets.Value([secrets.Value([(p, 0, 0) for p in made[:cut]]), *((p, 0, 0) for p in made[cut:])])
+        text = "".join(made)
+        assert value.score() == secrets.literal_score(text)
+        bad = len(text) < 6 or any(h in text.lower() for h in secrets.HARMLESS) or text[:2] in ("${", "{{", "<%")
+        assert (value.score() == -9.0) == bad, text
+
+
 # ----------------------------------------------------------------- toxicity
 
 
