@@ -11,6 +11,7 @@ from starloom.llm import (
     bpe,
     decontaminate,
     line_dedup,
+    more_queries,
     ngram_join,
     secrets,
     substring_dedup,
@@ -169,3 +170,7 @@ def op9_line_dedup(spark, sf_dir):
 def op5_ann(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+QUERIES |= more_queries.QUERIES
+ORACLES |= more_queries.ORACLES
