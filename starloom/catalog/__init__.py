@@ -4,7 +4,7 @@ from importlib import import_module
 
 from starloom.catalog.registry import ORACLES, QUERIES
 
-_MODULES = ("staging", "loads", "star", "checks", "profiles")
+_MODULES = ("staging", "loads", "star", "checks", "faults", "profiles")
 
 
 def _load() -> None:

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.catalog.registry import doubles, query
 from starloom.catalog.sql import STG
-from starloom.catalog.star import warehouse_of
 from starloom.functions import clean
-from starloom.quality import checks, constraints, verify
+from starloom.quality import checks, verify
 from starloom.sources import feed
 
 AS_OF = date(2021, 1, 20)
@@ -462,27 +461,6 @@ def dq_summary(spark, sf_dir):
     )
 
 
-@query(
-    """
-    SELECT name AS check_name, 0 AS violations, TRUE AS passed FROM (VALUES
-      ('ce_sales unique(sale_id)'),
-      ('ce_sales unique(source_system, source_entity, sale_src_id, invoice_ts, customer_src_id, '
-        || 'product_id, retailer_id, city_id, sales_method_id, payment_method_id, units_sold, '
-        || 'price_per_unit, total_sales)'),
-      ('ce_sales not null'), ('ce_sales.customer_id -> ce_customer_scd'),
-      ('ce_sales.product_id -> ce_product'), ('ce_sales.retailer_id -> ce_retailer'),
-      ('ce_sales.city_id -> ce_city'), ('ce_sales.sales_method_id -> ce_sales_method'),
-      ('ce_sales.payment_method_id -> ce_payment_method')) v(name)
-    """
-)
-def constraints_report(spark, sf_dir):
-    """Declared rules of the loaded sales table, each with its violations."""
-    store = warehouse_of(spark, sf_dir)
-    tables = {t: store.read(t) for t in schemas.NF3}
-    rules = constraints.NF3_RULES["ce_sales"]
-    return checks.summary(constraints.violations("ce_sales", tables, rules))
-
-
 @query(
     f"""
     WITH {STG}

@@ -624,4 +624,4 @@ def lookup_spread_join(spark, sf_dir):
     sales = feed.sales(spark, sf_dir, "source_id", "product_id", "customer_id")
     customer = feed.table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0")
     narrow = customer.select(F.col("c_custkey").alias("customer_id"), "c_mktsegment")
-    return lookup.spread_join(sales, narrow, ["customer_id"], salts=8, share=0.0008)
+    return lookup.spread_join(sales, narrow, ["customer_id"])

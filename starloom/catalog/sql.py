@@ -8,7 +8,19 @@ from __future__ import annotations
 
 SRC = "source_system, source_entity"
 
-STG = """
+
+
+def _code(label: str, names: list[str]) -> str:
+    """Place of a label in its list; another label has a number from its MD5."""
+    other = f"CAST('0x' || substr(md5({label}), 1, 7) AS BIGINT) + 1000"
+    return f"coalesce(CAST(list_position({names}, {label}) AS BIGINT), {other})"
+
+
+_SEGMENT = _code("c.c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"])
+_CATEGORY = _code("p.p_type", ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"])
+_METHOD = _code("l.l_returnflag", ["A", "N", "R"])
+
+STG = f"""
 stg AS (
   SELECT l.l_orderkey, l.l_linenumber,
     CASE l.l_linestatus WHEN 'F' THEN 'SA_INSTORE' ELSE 'SA_ONLINE' END AS source_system,
@@ -20,12 +32,9 @@ stg AS (
     CASE WHEN l.l_linestatus = 'F' THEN n.n_name END AS state,
     CASE WHEN l.l_linestatus = 'F' THEN CAST(c.c_nationkey AS BIGINT) END AS state_id,
     CASE WHEN l.l_linestatus = 'F' THEN n.n_name || '_' || c.c_mktsegment END AS city,
-    CASE WHEN l.l_linestatus = 'F' THEN CAST(c.c_nationkey AS BIGINT) * 10 + list_position(
-      ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], c.c_mktsegment) - 1
-      END AS city_id,
+    CASE WHEN l.l_linestatus = 'F' THEN CAST(c.c_nationkey AS BIGINT) * 10 + {_SEGMENT} - 1 END AS city_id,
     p.p_name AS product, l.l_partkey AS product_id, p.p_type AS product_category,
-    CAST(list_position(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'], p.p_type)
-      AS BIGINT) AS product_category_id,
+    {_CATEGORY} AS product_category_id,
     CAST(p.p_retailprice AS DECIMAL(12,2)) AS price_per_unit,
     CAST(l.l_quantity AS INT) AS units_sold,
     CAST(l.l_extendedprice AS DECIMAL(14,2)) AS total_sales,
@@ -33,7 +42,7 @@ stg AS (
       AS DECIMAL(14,2)) AS operating_profit,
     CAST(l.l_discount * 5 AS DECIMAL(7,4)) AS operating_margin,
     l.l_returnflag AS sales_method,
-    CAST(list_position(['A', 'N', 'R'], l.l_returnflag) AS INT) AS sales_method_id,
+    CAST({_METHOD} AS INT) AS sales_method_id,
     o.o_orderpriority AS payment_method,
     CAST(substr(o.o_orderpriority, 1, 1) AS INT) AS payment_method_id,
     l.l_shipdate AS invoice_ts, o.o_custkey AS customer_id,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.catalog import loads, sql
-from starloom.catalog.registry import query
+from starloom.catalog.registry import doubles, query
 from starloom.catalog.sql import SRC, STG, ident, warehouse
 from starloom.context import LoadContext, materialise, scratch_path
 from starloom.functions.dates import date_key
@@ -492,14 +492,13 @@ def fact_rows_by_month(spark, sf_dir):
         """
         SELECT CAST(strftime(invoice_ts, '%Y%m') AS INT) AS yyyymm, count(*) AS n_rows FROM fact
         WHERE invoice_ts >= (SELECT max(w0) - INTERVAL 1 MONTH FROM win)
-          AND invoice_ts < (SELECT max(w0) + INTERVAL 1 MONTH FROM win)
         GROUP BY ALL
         """
     )
 )
 def fact_retention(spark, sf_dir):
     """A fact of five months refreshed over a two-month window in its middle:
-    those months are reloaded and listed, older ones dropped, newer ones kept."""
+    those months are reloaded, older ones dropped, newer ones kept."""
     store = warehouse_of(spark, sf_dir)
     newest = store.read("ce_sales").agg(F.max("invoice_ts").cast("date")).first()[0]
     at = newest.year * 12 + newest.month - 1
@@ -517,8 +516,7 @@ def fact_retention(spark, sf_dir):
     txn.replace_months("fct_sales", again, number[3], number[2])
     txn.drop_months_before("fct_sales", number[3])
     txn.commit()
-    kept = own.read("fct_sales").filter(fact.in_months(start[3], start[2]))
-    return kept.groupBy("yyyymm").agg(F.count(F.lit(1)).alias("n_rows"))
+    return own.read("fct_sales").groupBy("yyyymm").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(
@@ -632,12 +630,21 @@ def audit_log_newest(spark, sf_dir):
 
 
 @query(
-    """
-    SELECT t AS table_name, 1 AS n_rows FROM (VALUES ('ce_category'), ('ce_product'),
-      ('ce_retailer'), ('ce_sales_method'), ('ce_payment_method'), ('ce_region'), ('ce_state'),
-      ('ce_city'), ('ce_customer_scd')) v(t)
-    UNION ALL SELECT 'ce_sales', 0
-    """
+    warehouse(
+        """
+        SELECT table_name, least(n, CASE table_name WHEN 'ce_sales' THEN 0 ELSE 1 END) AS n_rows FROM (
+          SELECT 'ce_category' AS table_name, count(*) AS n FROM cat
+          UNION ALL SELECT 'ce_product', count(*) FROM prod
+          UNION ALL SELECT 'ce_retailer', count(*) FROM ret
+          UNION ALL SELECT 'ce_sales_method', count(*) FROM sales_method
+          UNION ALL SELECT 'ce_payment_method', count(*) FROM payment_method
+          UNION ALL SELECT 'ce_region', count(region_id) FROM stage
+          UNION ALL SELECT 'ce_state', count(state_id) FROM stage
+          UNION ALL SELECT 'ce_city', count(city_id) FROM stage
+          UNION ALL SELECT 'ce_customer_scd', count(*) FROM cust
+          UNION ALL SELECT 'ce_sales', count(*) FROM sales)
+        """
+    )
 )
 def reset_keep_defaults(spark, sf_dir):
     """The normalised layer after a reset (never committed)."""
@@ -646,18 +653,39 @@ def reset_keep_defaults(spark, sf_dir):
     return verify.table_counts({t: txn.read(t) for t in schemas.NF3})
 
 
+def _faulty_fact(spark, sf_dir) -> DataFrame:
+    """A copy of the fact: sales of every 19th order stand twice, those of every 7th,
+    11th and 13th have no product, retailer or customer key."""
+    rows = warehouse_of(spark, sf_dir).read("fct_sales")
+    order = F.substring_index("sale_src_id", "-", 1).cast("bigint")
+    twice = rows.unionByName(rows.filter(order % 19 == 0))
+    lost = {"product_key": 7, "retailer_key": 11, "customer_key": 13}
+    return twice.withColumns({c: F.when(order % d != 0, F.col(c)) for c, d in lost.items()})
+
+
+_FAULTY_FACT = f"""
+    SELECT * REPLACE (CASE WHEN k % 7 <> 0 THEN product_key END AS product_key,
+      CASE WHEN k % 11 <> 0 THEN retailer_key END AS retailer_key,
+      CASE WHEN k % 13 <> 0 THEN customer_key END AS customer_key)
+    FROM (SELECT *, CAST(split_part(sale_src_id, '-', 1) AS BIGINT) AS k FROM fact WHERE {_IN_WINDOW}),
+      (SELECT unnest([1, 2]) AS copy)
+    WHERE copy = 1 OR k % 19 = 0
+"""
+
+
 @query(
     warehouse(
-        """
-        SELECT source_system, source_entity, sale_src_id, invoice_ts, product_key, retailer_key,
-          customer_key, count(*) AS dup_cnt
-        FROM fact GROUP BY ALL HAVING count(*) > 1
+        f"""
+        SELECT source_system, source_entity, sale_src_id, invoice_ts, CAST(product_key AS DOUBLE) AS product_key,
+          CAST(retailer_key AS DOUBLE) AS retailer_key, CAST(customer_key AS DOUBLE) AS customer_key, count(*) AS dup_cnt
+        FROM ({_FAULTY_FACT}) GROUP BY ALL HAVING count(*) > 1
         """
     )
 )
 def dq_fact_duplicates(spark, sf_dir):
-    rows = warehouse_of(spark, sf_dir).read("fct_sales")
-    return duplicates(rows, *schemas.BUSINESS_KEY["fct_sales"], count_name="dup_cnt")
+    """Repeated fact keys; missing keys count as a value."""
+    found = duplicates(_faulty_fact(spark, sf_dir), *schemas.BUSINESS_KEY["fct_sales"], count_name="dup_cnt")
+    return doubles(found, "product_key", "retailer_key", "customer_key")
 
 
 @query(
@@ -666,13 +694,12 @@ def dq_fact_duplicates(spark, sf_dir):
         SELECT count(*) FILTER (product_key IS NULL) AS null_product_key,
           count(*) FILTER (retailer_key IS NULL) AS null_retailer_key,
           count(*) FILTER (customer_key IS NULL) AS null_customer_key
-        FROM fact WHERE {_IN_WINDOW}
+        FROM ({_FAULTY_FACT})
         """
     )
 )
 def dq_fact_null_keys(spark, sf_dir):
-    rows = warehouse_of(spark, sf_dir).read("fct_sales")
-    return verify.null_keys(rows, "product_key", "retailer_key", "customer_key")
+    return verify.null_keys(_faulty_fact(spark, sf_dir), "product_key", "retailer_key", "customer_key")
 
 
 @query(

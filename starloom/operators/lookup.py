@@ -1,26 +1,97 @@
-"""Key resolution: equi joins of a long feed against a lookup with unique keys."""
+"""Key resolution: equi joins of a long feed against a lookup with unique keys.
+
+Which join it is follows from sizes in bytes: the estimate of the optimised plan, or
+what was written where a plan of joins makes the estimate worthless. A lookup within
+Spark's own broadcast limit is left to Spark to broadcast. Beyond it, keys that fill
+more than a task's fair share of the feed are spread over as many tasks as they fill.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.context import scratch_path
+
+#: A key of fewer rows is never spread.
+LEAST_HOT = 200
+#: Keys that a task's summary follows at least, and for each shuffle partition.
+FOLLOWED = 4_096
+FOLLOWED_EACH = 8
+#: Tasks' summaries meet in so many groups first.
+MERGERS = 32
+
 
-from starloom.operators.dedup import keep_first
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-BROADCAST_ROWS = 500_000
-HOT_SHARE = 0.005
-SALTS = 64
 
+class Census:
+    """Hot keys of a stored frame, for several sets of key columns in one pass, which
+    runs when the first of them is asked for.
+
+    Each task follows its most frequent keys in a summary of bounded size; the summaries
+    are merged. A key is hot if it has more rows than a task's fair share, so there are
+    at most as many as shuffle partitions. Its number of salts is the number of fair
+    shares it fills.
+    """
+
+    def __init__(self, df: DataFrame, *key_sets: list[str]):
+        self.df = df
+        self.key_sets = [tuple(k) for k in key_sets]
+        self._found: dict[tuple[str, ...], tuple[list[tuple[int, int]], int]] = {}
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: at most ``1/share`` keys,
-    so the result may be broadcast."""
-    floor = int(df.count() * share)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > floor).select(*keys)
+    def salts(self, keys: list[str]) -> tuple[list[tuple[int, int]], int]:
+        """(hash of the key, salts) of the hot keys, and the salts of NULL keys (1 if
+        they are few)."""
+        keys = tuple(keys)
+        if keys not in self._found:
+            sets = self.key_sets if keys in self.key_sets else [keys]
+            self._found.update(self._count([k for k in sets if k not in self._found]))
+        return self._found[keys]
+
+    def _count(self, key_sets):
+        parts = partitions(self.df)
+        followed = min(max(FOLLOWED, FOLLOWED_EACH * parts), 1_000_000)
+        hashed = self.df.select(*[key_hash(self.df, k).alias(f"h{i}") for i, k in enumerate(key_sets)])
+        summed = [F.expr(f"approx_top_k_accumulate(h{i}, {followed})").alias(f"s{i}") for i in range(len(key_sets))]
+        nulls = [F.count_if(F.col(f"h{i}").isNull()).alias(f"e{i}") for i in range(len(key_sets))]
+        met = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("part"))
+        met = met.agg(F.count(F.lit(1)).alias("n"), *nulls, *summed)
+        top = min(parts + 1, followed)  # NULL may be one of them
+        # by a constant: a task without summaries then makes none
+        row = met.groupBy(F.lit(0).alias("all")).agg(
+            F.sum("n").alias("n"),
+            *[F.sum(f"e{i}").alias(f"e{i}") for i in range(len(key_sets))],
+            *[
+                F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {followed}), {top})").alias(f"s{i}")
+                for i in range(len(key_sets))
+            ],
+        ).first()
+        if row is None:
+            return {keys: ([], 1) for keys in key_sets}
+        share, found = max(row["n"] / parts, LEAST_HOT), {}
+        for i, keys in enumerate(key_sets):
+            hot = [(k["item"], ceil(k["count"] / share)) for k in row[f"s{i}"] if k["item"] is not None and k["count"] > share]
+            found[keys] = (hot, ceil(max(row[f"e{i}"], 1) / share))
+        return found
+
+
+def key_hash(df: DataFrame, keys) -> Column:
+    """One number per key, whatever the width of its numbers; NULL if any column is."""
+    any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    wide = []
+    for k in keys:
+        kind = df.schema[k].dataType
+        whole = isinstance(kind, T.IntegralType)
+        wide.append(F.col(k).cast("bigint") if whole else F.col(k).cast("double") if isinstance(kind, T.NumericType) else F.col(k))
+    return F.when(~any_null, F.xxhash64(*wide))
 
 
 def spread_join(
@@ -29,35 +100,38 @@ def spread_join(
     keys: list[str],
     how: str = "left",
     residual: Callable[[], Column] | None = None,
-    census: DataFrame | None = None,
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
+    census: DataFrame | Census | None = None,
 ) -> DataFrame:
-    """Shuffle join that splits the hot keys of ``left`` over ``salts`` tasks.
+    """Shuffle join that splits the hot keys of ``left`` over several tasks.
 
-    Lookup rows of hot keys are copied once per salt; all other rows keep salt 0.
-    Left rows with a NULL key match nothing and are spread as well. Every left
-    row meets exactly one copy, so the result equals the plain join. ``left``
-    should be free of full copies (the salt is a hash of the whole row).
+    Lookup rows of a hot key are copied once per salt of it; all others keep salt 0.
+    Left rows with a NULL key match nothing and are spread as well. Every left row meets
+    exactly one copy, so the result equals the plain join. ``left`` should be free of
+    full copies (the salt is a hash of the whole row).
 
-    Hot keys are counted in ``census``, a stored frame with the same key columns:
-    where ``left`` is a chain of joins, counting in it would run the chain twice.
+    Hot keys are counted in ``census``, a stored frame with the same key columns or its
+    :class:`Census`: where ``left`` is a chain of joins, counting in it would run the
+    chain twice.
     """
-    counted = (left if census is None else census).select(*keys).dropna()
-    hot = hot_keys(counted, keys, share).withColumn("_hot", F.lit(True))
-    any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(F.broadcast(hot), keys, "left")  # <= 1/share rows
-        .withColumn("_salt", F.when(F.col("_hot") | any_null, spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    if not isinstance(census, Census):
+        census = Census(left if census is None else census, keys)
+    found, null_salts = census.salts(keys)
+    if not found and null_salts == 1:
+        return _join(left, right, keys, how, residual)
+    # at most a row per partition
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, "_key_hash bigint, _salts int"))
+    spread = F.xxhash64(*left.columns)
+    salted_left = left.withColumn("_key_hash", key_hash(left, keys)).join(hot, "_key_hash", "left")
+    salted_left = salted_left.withColumn(
+        "_salt",
+        F.when(F.col("_key_hash").isNull(), F.pmod(spread, F.lit(null_salts)))
+        .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts")))
+        .otherwise(F.lit(0))
+        .cast("int"),
+    ).drop("_key_hash", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_right = right.withColumn("_key_hash", key_hash(right, keys)).join(hot, "_key_hash", "left")
+    salted_right = salted_right.withColumn("_salt", F.explode(copies)).drop("_key_hash", "_salts")
     return _join(salted_left, salted_right, [*keys, "_salt"], how, residual).drop("_salt")
 
 
@@ -70,14 +144,59 @@ def _join(left, right, keys, how, residual):
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def broadcast_rows(spark: SparkSession) -> int:
-    """Largest lookup to broadcast, in rows (setting ``spark.starloom.broadcastRows``)."""
-    return int(spark.conf.get("spark.starloom.broadcastRows", str(BROADCAST_ROWS)))
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def broadcast_bytes(df: DataFrame) -> int:
+    """Spark's own limit of what it broadcasts, -1 if it broadcasts nothing."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
+    number = text.rstrip("bkmg")
+    return int(number) * _UNITS[text[len(number) :]]
+
+
+def plan_bytes(df: DataFrame) -> tuple[int, int]:
+    """Estimates of the optimised plan: bytes of its result, and of all it reads."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    size = lambda p: int(str(p.stats().sizeInBytes()))
+    return size(plan), sum(size(leaves.apply(i)) for i in range(leaves.size()))
+
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes that a row's values take in memory, about."""
+    def of(field) -> Column:
+        kind = field.dataType
+        if isinstance(kind, T.StringType):
+            return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        if isinstance(kind, T.BinaryType):
+            return F.coalesce(F.length(F.col(field.name)), F.lit(0))
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+        return F.lit(8)
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Counted check that a frame has at most ``limit`` rows."""
-    return df.count() <= (broadcast_rows(df.sparkSession) if limit is None else limit)
+    return reduce(Column.__add__, [of(f) for f in df.schema], F.lit(16)).cast("bigint")
+
+
+def sized(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
+    """The frame, or what of it was written, and whether it is within ``limit`` bytes
+    (Spark's own limit of what it broadcasts).
+
+    An estimate above the limit is believed of a plan that only narrows what it reads.
+    One that joins is written once and counted in bytes by the write: its estimate is
+    a product of sizes, and it may well be small."""
+    limit = broadcast_bytes(df) if limit is None else limit
+    estimate, read = plan_bytes(df)
+    if estimate <= limit:
+        return df, True
+    if estimate <= read:
+        return df, False
+    path, seen = scratch_path(df.sparkSession, "sized"), Observation()
+    df.observe(seen, F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        return stored, seen.get["bytes"] <= limit
+    except Py4JJavaError:  # a plan that the optimizer found to be empty leaves no figure
+        return stored, True
 
 
 def sized_join(
@@ -87,28 +206,27 @@ def sized_join(
     how: str = "left",
     residual: Callable[[], Column] | None = None,
     limit: int | None = None,
-    census: DataFrame | None = None,
+    census: DataFrame | Census | None = None,
 ) -> DataFrame:
-    """Broadcast ``right`` when its counted size allows, else :func:`spread_join`.
-
-    ``right`` should be a stored table, where the count is read from file
-    footers.
-    """
-    if fits_broadcast(right, limit):
-        return _join(left, F.broadcast(right), keys, how, residual)
+    """Join with a lookup that Spark broadcasts by itself if it is small, else
+    :func:`spread_join`. ``right`` is evaluated once in either case."""
+    right, small = sized(right, limit)
+    if small:
+        return _join(left, right, keys, how, residual)
     return spread_join(left, right, keys, how, residual, census)
 
 
 def inner_join(
     left: DataFrame, right: DataFrame, keys: list[str], limit: int | None = None
 ) -> DataFrame:
-    """Inner join of two frames either of which may be the small one. The side
-    that fits is broadcast, so a value that fills the other side is not gathered
-    in one task; when neither fits, the hot keys of ``left`` are spread."""
-    if fits_broadcast(right, limit):
-        return left.join(F.broadcast(right), keys)
-    if fits_broadcast(left, limit):
-        return F.broadcast(left).join(right, keys)
+    """Inner join of two frames either of which may be the small one, which Spark then
+    broadcasts, so a value that fills the other side is not gathered in one task; when
+    neither is small, the hot keys of ``left`` are spread."""
+    right, small = sized(right, limit)
+    if not small:
+        left, small = sized(left, limit)
+    if small:
+        return left.join(right, keys)
     return spread_join(left, right, keys, "inner")
 
 
@@ -121,7 +239,7 @@ def resolve(
     default=None,
     how: str = "left",
     limit: int | None = None,
-    census: DataFrame | None = None,
+    census: DataFrame | Census | None = None,
 ) -> DataFrame:
     """Add ``table.value`` for the rows whose ``match`` columns agree.
 
@@ -147,9 +265,12 @@ def resolve_one(
     order: list,
     alias: str | None = None,
     default=None,
+    last: bool = False,
 ) -> DataFrame:
-    """As :func:`resolve` for a lookup that may hold several rows per key: the
-    first in ``order`` answers."""
-    return resolve(
-        feed, keep_first(table, list(match.values()), order), match, value, alias, default
-    )
+    """As :func:`resolve` for a lookup that may hold several rows per key: the first in
+    ``order`` (the last, with ``last``) answers, NULLs being the smallest. It is picked
+    by an aggregate, of which each task sends one row per key."""
+    pick = F.max_by if last else F.min_by
+    one = table.groupBy(*match.values()).agg(pick(F.struct(value), F.struct(*order)).alias("_one"))
+    one = one.select(*match.values(), F.col("_one")[value].alias(value))
+    return resolve(feed, one, match, value, alias, default)

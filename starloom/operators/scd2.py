@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.context import OPEN_END, LoadContext, materialise
 from starloom.operators import keys as surrogate
-from starloom.operators.lookup import sized_join
+from starloom.operators.lookup import Census, _join, key_hash, sized
 from starloom.operators.merge import changed
 
 
 @dataclass(frozen=True)
 class VersionResult:
+    """The whole table; versions closed, opened and corrected; and all that are open
+    now. What is neither closed by this load nor open is as it was."""
+
     table: DataFrame
     closed: DataFrame
     opened: DataFrame
     corrected: DataFrame
+    still_open: DataFrame
 
 
 def current(versions: DataFrame, flag: str = "is_active") -> DataFrame:
@@ -111,9 +117,14 @@ def apply(
         settled.filter("_fate = 'replace'").select(*target.columns),
         opened,
         settled.filter("_fate = 'correct'").select(*target.columns),
+        settled.filter("is_active").select(*target.columns).unionByName(opened),
     )
 
 
+#: Versions of a key that a row may be compared with in a join; beyond, rows are swept.
+FEW_VERSIONS = 4
+
+
 def as_of_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -123,18 +134,81 @@ def as_of_join(
     end: str = "end_date_key",
     how: str = "inner",
     limit: int | None = None,
-    census: DataFrame | None = None,
+    census: DataFrame | Census | None = None,
+) -> DataFrame:
+    """Each fact row with the version of its key valid at ``at`` (both ends included);
+    facts without a valid version are dropped (``inner``) or kept (``left``). Versions of
+    a key must not overlap.
+
+    A small version table with short histories is joined on the key, the validity range
+    being a residual condition. Otherwise facts and versions are swept together in
+    order of time, each fact taking the version that started last: the work is that of
+    one sort, however long the histories are. ``census``: see :func:`spread_join`.
+    """
+    versions, small = sized(versions, limit)
+    if small:
+        long = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW_VERSIONS)
+        if long.isEmpty():
+            valid = lambda: F.col(at).between(F.col(start), F.col(end))
+            return _join(facts, versions, [key], how, valid)
+    return sweep_join(facts, versions, key, at, start, end, how, census)
+
+
+def month_number(c: Column, kind: T.DataType) -> Column:
+    """Months since year 0 of a date or of a number yyyymmdd."""
+    if isinstance(kind, T.IntegralType):
+        return F.floor(c / 10000).cast("int") * 12 + F.floor(c / 100).cast("int") % 100
+    return F.year(c) * 12 + F.month(c)
+
+
+def sweep_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    start: str,
+    end: str,
+    how: str = "inner",
+    census: DataFrame | Census | None = None,
 ) -> DataFrame:
-    """Each fact row with the version of its key valid at ``at`` (both ends
-    included). The join is an equi join on the key with the validity range as a
-    residual condition; facts without a valid version are dropped (``inner``) or
-    kept (``left``)."""
-    return sized_join(
-        facts,
-        versions,
-        [key],
-        how,
-        residual=lambda: F.col(at).between(F.col(start), F.col(end)),
-        limit=limit,
-        census=census,
+    """:func:`as_of_join` by one sort of facts and versions. A key that fills more than
+    a task's fair share of the facts is dealt over the months of its facts, and its
+    versions are copied to those of these months in which they are valid."""
+    if not isinstance(census, Census):
+        census = Census(facts if census is None else census, [key])
+    hot, _ = census.salts([key])
+    about = [c for c in versions.columns if c != key]
+    kind = facts.schema[at].dataType
+    here = F.col(key).isNotNull() & F.col(at).isNotNull()
+    rows = facts.filter(here).select(
+        key, F.col(at).alias("_at"), F.lit(1).alias("_is_fact"), F.struct(*facts.columns).alias("_fact")
     )
+    spans = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
+    spans = spans.select(key, F.col(start).cast(kind).alias("_at"), F.lit(0).alias("_is_fact"), F.struct(*about).alias("_version"))
+    group = [key]
+    if hot:
+        group.append("_month")
+        ids = F.broadcast(facts.sparkSession.createDataFrame([(h,) for h, _ in hot], "_key_hash bigint"))
+        ids = ids.withColumn("_hot", F.lit(True))
+
+        def marked(df):
+            return df.withColumn("_key_hash", key_hash(df, [key])).join(ids, "_key_hash", "left").drop("_key_hash")
+
+        month = month_number(F.col("_at"), kind)
+        rows = marked(rows).withColumn("_month", F.when(F.col("_hot"), month).otherwise(F.lit(0))).drop("_hot")
+        seen = rows.filter("_month > 0").agg(F.min("_month"), F.max("_month")).first()
+        first, last = (F.lit(m if m is not None else 0) for m in seen)
+        until = F.coalesce(month_number(F.col(f"_version.{end}"), versions.schema[end].dataType), first - 1)
+        valid = F.sequence(F.least(F.greatest(month, first), last + 1), F.greatest(F.least(until, last), first - 1))
+        valid = F.when((month <= last) & (until >= first) & (month <= until), valid).otherwise(F.array().cast("array<int>"))
+        spans = marked(spans).withColumn("_months", F.when(F.col("_hot"), valid).otherwise(F.array(F.lit(0))))
+        spans = spans.withColumn("_month", F.explode("_months")).drop("_hot", "_months")
+    both = rows.unionByName(spans, allowMissingColumns=True)
+    so_far = W.partitionBy(*group).orderBy("_at", "_is_fact").rowsBetween(W.unboundedPreceding, 0)
+    swept = both.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far)).filter("_is_fact = 1")
+    valid = F.col("_at").between(F.col(f"_last.{start}"), F.col(f"_last.{end}"))
+    columns = [F.col("_fact")[c].alias(c) for c in facts.columns]
+    if how == "inner":
+        return swept.filter(valid).select(*columns, *[F.col("_last")[c].alias(c) for c in about])
+    found = swept.select(*columns, *[F.when(valid, F.col("_last")[c]).alias(c) for c in about])
+    return found.unionByName(facts.filter(~here), allowMissingColumns=True)

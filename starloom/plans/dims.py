@@ -91,9 +91,12 @@ def customer_source(versions: DataFrame) -> DataFrame:
     )
 
 
-def load_customer(target: DataFrame, versions: DataFrame) -> MergeResult:
+def load_customer(
+    target: DataFrame, versions: DataFrame
+) -> MergeResult:
     """Mirror of the customer versions. A version is known by customer and
-    start, so closing one updates its row instead of adding a second."""
+    start, so closing one updates its row instead of adding a second. Further
+    columns of ``target`` are kept, NULL in new rows."""
     return upsert(
         target,
         customer_source(versions),

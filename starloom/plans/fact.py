@@ -90,19 +90,32 @@ def dimension_maps(nf3: dict[str, DataFrame], star: dict[str, DataFrame]) -> dic
     }
 
 
+#: Columns of a sale that lookups of the fact join on.
+LOOKUP_KEYS = ["city_id", "sales_method_id", "payment_method_id", "retailer_id", "product_id", "customer_src_id"]
+
+
+def sales_census(sales: DataFrame) -> lookup.Census:
+    """Hot keys of all joins of the fact, found in one pass over the stored sales."""
+    return lookup.Census(sales, *[[k] for k in LOOKUP_KEYS])
+
+
 def translate_keys(
-    sales: DataFrame, maps: dict[str, DataFrame], geography: DataFrame
+    sales: DataFrame,
+    maps: dict[str, DataFrame],
+    geography: DataFrame,
+    census: lookup.Census | None = None,
 ) -> DataFrame:
     """Dimension keys of every sale; a missing geography is -1, a sale without
     one of the other dimensions drops out."""
+    census = census or sales_census(sales)
     rows = sales.withColumn("date_key", date_key(F.col("invoice_ts")))
     rows = lookup.resolve(
-        rows, geography, {"city_id": "city_id"}, "geo_key", default=-1, census=sales
+        rows, geography, {"city_id": "city_id"}, "geo_key", default=-1, census=census
     )
     for name in ("sales_method", "payment_method", "retailer", "product"):
         own = f"{name}_id"
         rows = lookup.resolve(
-            rows, maps[name], {own: own}, f"{name}_key", how="inner", census=sales
+            rows, maps[name], {own: own}, f"{name}_key", how="inner", census=census
         )
     return rows
 
@@ -118,12 +131,13 @@ def candidates(
     versions = customer.select(
         "customer_key", "customer_src_id", "start_date_key", "end_date_key"
     )
+    census = sales_census(sales)
     dated = scd2.as_of_join(
-        translate_keys(sales, maps, geography),
+        translate_keys(sales, maps, geography, census),
         versions,
         "customer_src_id",
         "date_key",
-        census=sales,
+        census=census,
     )
     return dated.select(*schemas.names(schemas.STAR["fct_sales"]))
 

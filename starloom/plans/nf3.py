@@ -186,7 +186,7 @@ def resolve_sales(
         "customer_id", "product_id", "retailer_id", "city_id", "sales_method_id",
         "payment_method_id",
     )
-    base = rows  # staging columns only: hot keys are counted here
+    base = rows  # staging columns only: hot keys of all lookups are counted here at once
     lookups = [
         (sales_method, {**src, "sales_method_src_id": "sales_method_src_id"}, "sales_method_id"),
         (
@@ -200,8 +200,9 @@ def resolve_sales(
         (scd2.current(customer), {"customer_src_id": "customer_src_id"}, "customer_id"),
     ]
     default = ctx.unknown
+    census = lookup.Census(base, *[list(match) for _, match, _ in lookups])
     for table, match, value in lookups:
-        rows = lookup.resolve(rows, table, match, value, default=default, census=base)
+        rows = lookup.resolve(rows, table, match, value, default=default, census=census)
     return rows.withColumn(
         "customer_src_id",
         F.when(F.col("customer_id") == default, unknown).otherwise(F.col("customer_src_id")),

@@ -95,6 +95,7 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
 
     def customer(step: Step) -> None:
         step.rows = 0
+        txn.split_open("ce_customer_scd", "is_active")
         for source in (INSTORE, ONLINE):
             result = nf3.load_customer(
                 txn.read("ce_customer_scd"), txn.read(source.table), ctx
@@ -104,7 +105,7 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
             )
             step.rows += closed + opened + corrected
             if closed + opened + corrected:
-                txn.replace("ce_customer_scd", result.table)
+                txn.replace_open("ce_customer_scd", result.closed, result.still_open)
         step.message = "versions closed, opened or corrected"
 
     log.steps(
@@ -121,7 +122,7 @@ def run_nf3(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     with log.step(ctx, "load_sales") as step:
         append_sales(txn, staging, ctx, step)
     with log.step(ctx, "check_constraints"):
-        constraints.enforce_nf3(txn)
+        constraints.enforce_nf3(txn, ctx)
     txn.commit()
     log.flush()
 
@@ -180,7 +181,6 @@ def run_dims(store: Store, log: AuditLog, ctx: LoadContext) -> dict[str, tuple[i
         "dim_geography": lambda t: dims.load_geography(
             t, read("ce_city"), read("ce_state"), read("ce_region")
         ),
-        "dim_customer": lambda t: dims.load_customer(t, read("ce_customer_scd")),
     }
     done: dict[str, tuple[int, int]] = {}
 
@@ -191,7 +191,12 @@ def run_dims(store: Store, log: AuditLog, ctx: LoadContext) -> dict[str, tuple[i
         if inserted + updated:
             txn.replace(table, result.table)
 
-    log.steps(ctx, {f"load_{t}": partial(upsert, t) for t in loads})
+    def customer(step: Step) -> None:
+        done["dim_customer"] = mirror_customer(txn)
+        step.merged(*done["dim_customer"], "dim_customer")
+
+    steps = {f"load_{t}": partial(upsert, t) for t in loads}
+    log.steps(ctx, {**steps, "load_dim_customer": customer})
     txn.append(
         "dim_date",
         calendar.ensure_dates(
@@ -204,6 +209,24 @@ def run_dims(store: Store, log: AuditLog, ctx: LoadContext) -> dict[str, tuple[i
     return done
 
 
+def mirror_customer(txn: Txn) -> tuple[int, int]:
+    """Bring the customer dimension up to the customer versions; rows inserted and
+    updated. Rows of versions that were closed before stay in their folders, unless
+    such a version was changed after all."""
+    table = "dim_customer"
+    txn.split_open(table, "is_current")
+    parts = [txn.read_part(table, open=o).withColumn("was_open", F.lit(o)) for o in (True, False)]
+    result = dims.load_customer(parts[0].unionByName(parts[1]), txn.read("ce_customer_scd"))
+    inserted, updated = result.counts()
+    if not result.updated.filter("NOT was_open").isEmpty():
+        txn.replace(table, result.table.drop("was_open"))
+        txn.split_open(table, "is_current")
+    elif inserted + updated:
+        fresh = result.table.filter("coalesce(was_open, true)").drop("was_open")
+        txn.replace_open(table, fresh.filter("NOT is_current"), fresh.filter("is_current"))
+    return inserted, updated
+
+
 def extend_calendar(store: Store, log: AuditLog, ctx: LoadContext) -> None:
     """Calendar rows for the whole sales range."""
     txn = store.begin()
@@ -238,9 +261,8 @@ def refresh_fact(
             sales, maps, txn.read("dim_geography"), txn.read("dim_customer"), first, last
         )
         low, high = first.year * 100 + first.month, last.year * 100 + last.month
-        txn.replace_months("fct_sales", rows, low, high)
+        step.rows = txn.replace_months("fct_sales", rows, low, high)
         txn.drop_months_before("fct_sales", low)
-        step.rows = txn.read("fct_sales").filter(fact.in_months(first, last)).count()
         step.message = f"{first}..{last}"
     txn.commit()
     log.flush()

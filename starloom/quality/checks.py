@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.context import materialise
+from starloom.operators import membership
 from starloom.operators.dedup import duplicate_groups
-from starloom.operators.lookup import inner_join, sized_join
+from starloom.operators.lookup import inner_join
 
 
 def mismatch(a: Column, b: Column, null_safe: bool = False) -> Column:
@@ -62,10 +64,17 @@ def flag_consistency(
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Child rows without a parent; a NULL foreign key has none."""
-    parents = parent.select(F.col(pk).alias(fk)).dropna().distinct()
-    marked = sized_join(child, parents.withColumn("_has_parent", F.lit(True)), [fk], "left")
-    return marked.filter("_has_parent is null").select(*child.columns)
+    """Child rows without a parent; a NULL foreign key has none.
+
+    The distinct foreign keys, of which each task sends one row, are held against the
+    parents, which are read once. A bitmap of the orphan keys then leaves the other
+    child rows out before the exact join; without orphans the child's rows are not read.
+    """
+    known = parent.select(F.col(pk).alias(fk)).filter(F.col(fk).isNotNull())
+    lost = child.select(fk).filter(F.col(fk).isNotNull()).distinct().join(known, fk, "left_anti")
+    lost = materialise(lost, "orphans")
+    suspects = membership.may_be_among(child.filter(F.col(fk).isNotNull()), [fk], membership.bitmap(lost, [fk]))
+    return suspects.join(lost, fk, "left_semi").unionByName(child.filter(F.col(fk).isNull()))
 
 
 def not_null(df: DataFrame, *columns: str) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from starloom import schemas
-from starloom.context import together
+from starloom.context import LoadContext, together
+from starloom.operators.lookup import sized_join
 from starloom.quality import checks
 
 
@@ -50,18 +52,45 @@ def _rules() -> dict[str, TableRules]:
 NF3_RULES = _rules()
 
 
-def violations(table: str, tables: dict[str, DataFrame], rules: TableRules) -> dict[str, DataFrame]:
-    """Every declared rule of a table as a check."""
-    df = tables[table]
-    found = {}
-    for key in rules.unique:
-        found[f"{table} unique({', '.join(key)})"] = checks.duplicates(df, *key)
-    if rules.required:
-        found[f"{table} not null"] = checks.not_null(df, *rules.required)
-    for column, parent, pk in rules.references:
-        known = df.filter(F.col(column).isNotNull())
-        found[f"{table}.{column} -> {parent}"] = checks.orphans(known, tables[parent], column, pk)
-    return found
+def _flagged(table: str, tables: dict[str, DataFrame], rules: TableRules) -> tuple[DataFrame, dict[str, Column]]:
+    """The table's rows with, for each declared rule, whether they break it. One scan:
+    required columns are tested in place, references by joins with the distinct parent
+    keys, and each unique key by one grouped pass over that key, whose repeated values
+    are joined back. A NULL reference or key part breaks neither."""
+    rows = tables[table]
+    needed = dict.fromkeys([schemas.SURROGATE[table], *rules.required, *(c for k in rules.unique for c in k)])
+    needed.update(dict.fromkeys(c for c, _, _ in rules.references))
+    df, flags = rows.select(*needed), {}
+    for column in rules.required:
+        flags[f"{table}.{column} not null"] = F.col(column).isNull()
+    for k, (column, parent, pk) in enumerate(rules.references):
+        known = tables[parent].select(F.col(pk).alias(column)).dropna().distinct().withColumn(f"_known{k}", F.lit(True))
+        df = sized_join(df, known, [column], "left")
+        flags[f"{table}.{column} -> {parent}"] = F.col(column).isNotNull() & F.col(f"_known{k}").isNull()
+    for k, key in enumerate(rules.unique):
+        again = checks.duplicates(rows.select(*key).dropna(), *key).select(*key).withColumn(f"_again{k}", F.lit(True))
+        df = sized_join(df, again, list(key), "left")
+        flags[f"{table} unique({', '.join(key)})"] = F.col(f"_again{k}").isNotNull()
+    return df, flags
+
+
+def rule_counts(table: str, tables: dict[str, DataFrame], rules: TableRules) -> DataFrame:
+    """One row per declared rule of a table: ``table_name``, ``rule`` and how many rows
+    break it, all counted in one pass."""
+    df, flags = _flagged(table, tables, rules)
+    counted = df.agg(*[F.count_if(flag).alias(f"n{k}") for k, flag in enumerate(flags.values())])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"n{k}").alias("violations")) for k, name in enumerate(flags)]
+    listed = counted.select(F.explode(F.array(*pairs)).alias("r"))
+    return listed.select(F.lit(table).alias("table_name"), "r.rule", "r.violations")
+
+
+def broken_rows(table: str, tables: dict[str, DataFrame], rules: TableRules) -> DataFrame:
+    """The rows that break a rule, once for each rule they break: ``table_name``,
+    ``rule`` and ``row_key`` (the surrogate key as text, NULL if it is missing)."""
+    df, flags = _flagged(table, tables, rules)
+    broken = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()]))
+    key = F.col(schemas.SURROGATE[table]).cast("string").alias("row_key")
+    return df.select(F.lit(table).alias("table_name"), F.explode(broken).alias("rule"), key)
 
 
 def one_active_version(versions: DataFrame) -> DataFrame:
@@ -81,22 +110,30 @@ class ConstraintError(ValueError):
     """A load broke a declared rule and is not published."""
 
 
-def enforce(found: dict[str, DataFrame]) -> None:
-    """Raise when any check has violations. Each check stops at its first one."""
-    clean = together(*[rows.isEmpty for rows in found.values()])
-    broken = [name for name, ok in zip(found, clean, strict=True) if not ok]
-    if broken:
-        raise ConstraintError("; ".join(sorted(broken)))
-
-
-def enforce_nf3(txn) -> None:
-    """The rules of the normalised layer, on the staged tables of a run. Of sales,
-    which only grow, the rows of the run are checked: their keys against all of the
-    other tables, their ids among themselves (numbering continues after the highest)."""
+def checked_tables(txn) -> dict[str, dict[str, DataFrame]]:
+    """For each table of the normalised layer, the staged tables that its rules read. Of
+    sales, which only grow, the rows of the run are checked: their keys against all of
+    the other tables, their ids among themselves (numbering continues after the highest)."""
     tables = {t: txn.read(t) for t in schemas.NF3}
-    found = {}
-    for table, rules in NF3_RULES.items():
-        rows = {**tables, table: txn.added(table)} if table == "ce_sales" else tables
-        found.update(violations(table, rows, rules))
-    found["one active version"] = one_active_version(tables["ce_customer_scd"])
-    enforce(found)
+    return {t: {**tables, t: txn.added(t)} if t == "ce_sales" else tables for t in NF3_RULES}
+
+
+def enforce_nf3(txn, ctx: LoadContext) -> None:
+    """The rules of the normalised layer, on the staged tables of a run. Rules that are
+    broken are an error; the rows at fault are kept in ``constraint_violations``, which
+    is published by itself, without the run."""
+    found = checked_tables(txn)
+    counts = [rule_counts(t, tables, NF3_RULES[t]) for t, tables in found.items()]
+    versions = one_active_version(txn.read("ce_customer_scd"))
+    name = F.lit("ce_customer_scd").alias("table_name"), F.lit("one active version").alias("rule")
+    counts.append(versions.agg(F.count(F.lit(1)).alias("violations")).select(*name, "violations"))
+    parts = together(*[c.filter("violations > 0").collect for c in counts])
+    broken = [r for rows in parts for r in rows]
+    if not broken:
+        return
+    rows = [broken_rows(t, tables, NF3_RULES[t]) for t, tables in found.items() if any(r.table_name == t for r in broken)]
+    rows.append(versions.select(*name, F.col("customer_src_id").cast("string").alias("row_key")))
+    kept = txn.store.begin()
+    kept.append_rows("constraint_violations", reduce(DataFrame.unionByName, rows).withColumn("load_ts", ctx.load_ts_col))
+    kept.commit()
+    raise ConstraintError("; ".join(f"{r.rule}: {r.violations}" for r in sorted(broken, key=lambda r: r.rule)))

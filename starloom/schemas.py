@@ -93,6 +93,9 @@ LOAD_REJECTS = (
     "source_system string, source_entity string, source_id string, bad_columns string, load_ts timestamp_ntz"
 )
 
+# Rows that broke a declared rule and kept a run from being published.
+CONSTRAINT_VIOLATIONS = "table_name string, rule string, row_key string, load_ts timestamp_ntz"
+
 NF3 = {
     "ce_category": f"category_id bigint, category_src_id bigint, category string, {_LINEAGE}, {_STAMPS}",
     "ce_product": "product_id bigint, product_src_id bigint, product_name string, category_id bigint, "
@@ -136,17 +139,15 @@ STAR = {
     f"sale_src_id string, {_LINEAGE}, invoice_ts timestamp_ntz, {_MEASURES}",
 }
 
-# First version of the star: its fact has a surrogate key and a natural key over
-# all dimensions and base measures, geography is keyed ``geography_key`` and the
-# unknown date has no attributes.
+# First version of the star: geography is keyed ``geography_key``, its fact has a
+# surrogate key and a natural key over all dimensions and base measures.
 EARLIER_STAR = {
-    "dim_date": STAR["dim_date"],
+    **{t: ddl for t, ddl in STAR.items() if t != "fct_sales"},
     "dim_geography": STAR["dim_geography"].replace("geo_key", "geography_key"),
     "fact_sales": "sales_key bigint, date_key int, customer_key bigint, product_key bigint, "
     "retailer_key bigint, geography_key bigint, sales_method_key bigint, "
     f"payment_method_key bigint, {_MEASURES}, sale_src_id string, {_LINEAGE}",
 }
-EARLIER_UNKNOWN_DATE = {"date_key": -1, "month_name": "N/A", "day_name": "N/A"}
 EARLIER_FACT_KEY = [
     "date_key",
     "customer_key",
@@ -334,10 +335,44 @@ DEFAULT_MEMBERS = {
     },
 }
 
+# The unknown members of the first star. All names are N/A, the date has
+# no other attributes, and the customer's validity refers to that date.
+_NAMELESS = {"first_name": "N/A", "last_name": "N/A", "full_name": "N/A"}
+EARLIER_MEMBERS = {
+    "dim_date": {"date_key": -1, "month_name": "N/A", "day_name": "N/A"},
+    "dim_customer": {
+        "customer_key": -1,
+        "customer_src_id": -1,
+        **_NAMELESS,
+        "start_date_key": -1,
+        "end_date_key": -1,
+        "is_current": False,
+    },
+    "dim_product": DEFAULT_MEMBERS["dim_product"],
+    "dim_retailer": DEFAULT_MEMBERS["dim_retailer"],
+    "dim_geography": {
+        "geography_key": -1,
+        "city_id": -1,
+        "city_name": "N/A",
+        "state_id": -1,
+        "state_name": "N/A",
+        "region_id": -1,
+        "region_name": "N/A",
+    },
+    "dim_sales_method": {**DEFAULT_MEMBERS["dim_sales_method"], "sales_method_name": "N/A"},
+    "dim_payment_method": {**DEFAULT_MEMBERS["dim_payment_method"], "payment_method_name": "N/A"},
+}
+
 LAYERS = {
     "staging": list(STAGING),
     "nf3": list(NF3),
     "star": list(STAR),
 }
 
-TABLES = {**STAGING, "load_rejects": LOAD_REJECTS, **NF3, **STAR}
+TABLES = {
+    **STAGING,
+    "load_rejects": LOAD_REJECTS,
+    "constraint_violations": CONSTRAINT_VIOLATIONS,
+    **NF3,
+    **STAR,
+}

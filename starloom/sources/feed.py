@@ -22,8 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Codes of labels outside the lists start here.
+OTHER_CODES = 1000
+
+
 def _code(c: Column, names: list[str]) -> Column:
-    return F.array_position(F.array(*[F.lit(n) for n in names]), c)
+    """Place of a label in its list; another label gets a number of its own from the
+    first 28 bits of its MD5."""
+    at = F.array_position(F.array(*[F.lit(n) for n in names]), c)
+    other = F.conv(F.substring(F.md5(c.cast("binary")), 1, 7), 16, 10).cast("bigint") + OTHER_CODES
+    return F.when(at > 0, at).otherwise(other)
 
 
 def _columns() -> dict[str, tuple[tuple[str, ...], Column]]:

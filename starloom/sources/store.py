@@ -31,11 +31,16 @@ MONTH = "yyyymm"
 
 @dataclass(frozen=True)
 class Folder:
-    """One parquet folder of a table; ``month`` is set for month-partitioned ones."""
+    """One parquet folder of a table; ``month`` is set for month-partitioned ones,
+    ``open`` for the rows of a version table that later runs may still change."""
 
     table: str
     path: str
     month: int | None = None
+    open: bool = False
+
+
+_MANIFEST = "table string, path string, month int, open boolean"
 
 
 class Store:
@@ -56,10 +61,9 @@ class Store:
         newest = max(self._versions(), default=0)
         if not newest:
             return 0, []
-        ddl = "table string, path string, month int"
-        manifest = self.spark.read.schema(ddl).option("mode", "FAILFAST")
+        manifest = self.spark.read.schema(_MANIFEST).option("mode", "FAILFAST")
         rows = manifest.json(f"{self._manifest_dir}/version={newest}").filter("table is not null").collect()
-        return newest, [Folder(r["table"], r["path"], r["month"]) for r in rows]
+        return newest, [Folder(r["table"], r["path"], r["month"], bool(r["open"])) for r in rows]
 
     def _versions(self) -> list[int]:
         """Committed versions: those whose writer has ended well. The folder that a
@@ -173,6 +177,29 @@ class Txn:
         self.replace_rows(table, df)
         return self.read(table)
 
+    def read_part(self, table: str, open: bool) -> DataFrame:
+        """The rows of a version table that may still change, or those that won't."""
+        return self.store._frame(table, [f for f in self.folders if f.open == open])
+
+    def split_open(self, table: str, flag: str) -> None:
+        """Bring a version table into two kinds of folders: open ones for the rows
+        where ``flag`` holds, others for the rest. Nothing to do for a table that
+        :meth:`replace_open` has written."""
+        settled = self.read_part(table, open=False)
+        if settled.filter(flag).isEmpty():
+            return
+        rows = self.read(table)
+        (closed, n), (still, m) = (self._write(table, rows.filter(c)) for c in (f"NOT {flag}", flag))
+        into = [Folder(table, closed)] * bool(n) + [Folder(table, still, open=True)] * bool(m)
+        self._stage(lambda f: f.table == table, into)
+
+    def replace_open(self, table: str, closed: DataFrame, still_open: DataFrame) -> None:
+        """Replace the open rows of a version table, and add those that were closed
+        to the others, whose folders stay as they are."""
+        (gone, n), (still, m) = (self._write(table, rows) for rows in (closed, still_open))
+        into = [Folder(table, gone)] * bool(n) + [Folder(table, still, open=True)] * bool(m)
+        self._stage(lambda f: f.table == table and f.open, into)
+
     def _write_months(self, path: str, shaped: DataFrame) -> tuple[list[int], int]:
         """Months and number of the rows written, a folder for each month."""
         seen = Observation()
@@ -192,21 +219,21 @@ class Txn:
 
     def replace_months(
         self, table: str, df: DataFrame, first: int, last: int, ts: str = "invoice_ts"
-    ) -> DataFrame:
-        """Replace the months ``first..last`` of a month-partitioned table by
-        ``df``; a month without new rows ends empty, other months stay as they
-        are without being rewritten."""
+    ) -> int:
+        """Replace the months ``first..last`` of a month-partitioned table by ``df``; the
+        number of its rows. A month without new rows ends empty, other months stay as
+        they are without being rewritten."""
         path = self._new_path(table)
         ddl = f"{self.store.tables[table]}, {MONTH} int"
         wanted = schemas.struct(ddl)
         keyed = df.withColumn(MONTH, month_no(F.col(ts)))
         shaped = keyed.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
-        months, _ = self._write_months(path, shaped)
+        months, n = self._write_months(path, shaped)
         self._stage(
             lambda f: f.table == table and f.month is not None and first <= f.month <= last,
             [Folder(table, path, m) for m in months],
         )
-        return self.read(table)
+        return n
 
     def months(self, table: str) -> list[int]:
         return sorted({f.month for f in self.folders if f.table == table and f.month is not None})
@@ -254,8 +281,8 @@ class Txn:
 
     def commit(self) -> int:
         """Publish the staged state as the next version."""
-        rows = [(f.table, f.path, f.month) for f in self.folders] or [(None, None, None)]
-        frame = self.spark.createDataFrame(rows, "table string, path string, month int")
+        rows = [(f.table, f.path, f.month, f.open) for f in self.folders] or [(None, None, None, None)]
+        frame = self.spark.createDataFrame(rows, _MANIFEST)
         target = f"{self.store._manifest_dir}/version={self.version + 1}"
         taken = self.version + 1 in self.store._versions()
         frame.coalesce(1).write.mode("errorifexists" if taken else "overwrite").json(target)

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -90,7 +90,7 @@ def feed_and_table(spark):
     return feed, table
 
 
-@pytest.mark.parametrize("limit", [lookup.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("limit", [None, 1 << 62, 0])
 def test_resolve_same_on_both_sides_of_the_size_check(feed_and_table, limit):
     feed, table = feed_and_table
     got = lookup.resolve(feed, table, {"k": "key"}, "val", default=-1, limit=limit)
@@ -103,14 +103,56 @@ def test_resolve_same_on_both_sides_of_the_size_check(feed_and_table, limit):
 
 
 def test_hot_keys_are_spread(spark):
-    feed = spark.range(4000).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id"
-    )
-    table = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert rows(lookup.hot_keys(feed, ["k"], 0.2)) == [(7,)]
-    joined = lookup.spread_join(feed, table, ["k"], salts=16, share=0.2)
-    plain = feed.join(table, "k", "left")
-    assert rows(joined, "k", "id", "v") == rows(plain, "k", "id", "v")
+    """One key holds a third of the rows, one 0.4 %; NULL keys a tenth."""
+    n = 300_000
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).when(F.col("id") % 250 == 2, 9)
+    feed = spark.range(n).select(key.otherwise(F.col("id")).cast("int").alias("k"), "id")
+    table = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.shuffle.partitions", "500")  # a fair share: 600 rows
+    try:
+        census = lookup.Census(feed, ["k"], ["id"])
+        found, nulls = census.salts(["k"])
+        salts = {h: s for h, s in found}
+        of = spark.range(1).select(*[F.xxhash64(F.lit(k).cast("bigint")) for k in (7, 9)]).first()
+        assert salts[of[0]] == 167 and salts[of[1]] == 2 and set(salts) == set(of)
+        assert nulls == 34 and census.salts(["id"]) == ([], 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    joined = lookup.spread_join(feed, table, ["k"], census=census)
+    assert joined.count() == n
+    assert joined.filter("v IS NULL").count() == feed.filter("k IS NULL").count()
+    assert joined.filter("v <> 2 * k").isEmpty()
+    inner = lookup.spread_join(feed, table.filter("k <> 9"), ["k"], "inner", census=census)
+    assert inner.count() == feed.filter("k <> 9").count()
+
+
+def test_no_rows_have_no_hot_keys(spark):
+    none = spark.createDataFrame([], "k int, j string")
+    assert lookup.Census(none, ["k"]).salts(["k", "j"]) == ([], 1)
+    assert lookup.spread_join(none, none.select("k", F.lit(1).alias("v")), ["k"]).isEmpty()
+
+
+def test_sizes_are_bytes(spark):
+    """Few but very wide rows are no broadcast; a small result of a join is one."""
+    noise = F.transform(F.sequence(F.lit(1), F.lit(800)), lambda i: F.sha2(F.concat_ws("-", "id", i), 512))
+    wide = materialise(spark.range(300).select("id", F.array_join(noise, "").alias("t")))
+    assert lookup.sized(wide)[1] is False
+    feed = spark.range(1000)
+    joined = lookup.sized_join(feed, wide, ["id"])
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.filter("t IS NOT NULL").count() == 300
+    big = materialise(spark.range(2_000_000).select("id", F.xxhash64("id").alias("h")))
+    few = big.join(big.select("id", F.col("h").alias("g")), "id").filter("id < 10")
+    stored, small = lookup.sized(few)
+    assert small and len(stored.inputFiles()) > 0 and stored.count() == 10
+    repeated = materialise(spark.range(300).select("id", F.repeat(F.lit("x"), 100_000).alias("t")))
+    assert not lookup.sized(repeated.join(big, "id"))[1]  # small in the file, not in memory
+
+
+def test_inner_join_evaluates_each_side_once(spark):
+    left, right = spark.range(50).withColumn("a", F.lit(1)), spark.range(20, 90).withColumn("b", F.lit(2))
+    met = {lookup.inner_join(left, right, ["id"], limit=limit).count() for limit in (None, 0, -1)}
+    assert met == {30}
 
 
 def test_resolve_one_takes_the_first(spark):
@@ -118,6 +160,9 @@ def test_resolve_one_takes_the_first(spark):
     table = spark.createDataFrame([(1, 5), (1, 3)], "key int, val int")
     got = lookup.resolve_one(feed, table, {"k": "key"}, "val", ["val"], default=-1)
     assert rows(got) == [(1, 3), (2, -1)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    last = lookup.resolve_one(feed, table, {"k": "key"}, "val", ["val"], default=-1, last=True)
+    assert rows(last) == [(1, 5), (2, -1)]
 
 
 # ------------------------------------------------------------------ merge
@@ -256,17 +301,44 @@ def test_scd2_versions_never_overlap(spark, loads):
 
 @pytest.mark.parametrize("limit", [None, 0])
 def test_as_of_join_against_brute_force(spark, limit):
-    spans = [(1, "a", 10, 19), (1, "b", 20, 99), (2, "c", 15, 30)]
-    facts = [(i, k, d) for i, (k, d) in enumerate((k, d) for k in (1, 2, 3) for d in range(5, 40, 3))]
+    spans = [(1, "a", 10, 19), (1, "b", 20, 99), (2, "c", 15, 30), (4, "d", 1, 2), (None, "e", 1, 99)]
+    facts = [(i, k, d) for i, (k, d) in enumerate((k, d) for k in (1, 2, 3, None) for d in [*range(5, 40, 3), None])]
     v = spark.createDataFrame(spans, "k int, name string, start_date_key int, end_date_key int")
     f = spark.createDataFrame(facts, "id int, k int, d int")
     want = sorted(
-        (i, n) for i, k, d in facts for vk, n, lo, hi in spans if vk == k and lo <= d <= hi
+        (i, n) for i, k, d in facts for vk, n, lo, hi in spans if k is not None and d is not None and vk == k and lo <= d <= hi
     )
     got = scd2.as_of_join(f, v, "k", "d", limit=limit)
     assert sorted((r["id"], r["name"]) for r in got.collect()) == want
     left = scd2.as_of_join(f, v, "k", "d", how="left", limit=limit)
-    assert left.count() == len(facts)
+    assert left.count() == len(facts) and got.columns == left.columns == ["id", "k", "d", "name", "start_date_key", "end_date_key"]
+    assert sorted((r["id"], r["name"]) for r in left.collect() if r["name"]) == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_long_history_of_a_hot_key(spark, how):
+    """10,000 versions of one customer who has a third of all rows: the sweep makes no
+    row more than it reads, and deals the customer over months."""
+    first = date(1990, 1, 1)
+    days = [first + timedelta(days=i) for i in range(10_000)]
+    number = lambda d: d.year * 10000 + d.month * 100 + d.day
+    spans = [(7, i, number(d), number(d)) for i, d in enumerate(days) if i % 5] + [(8, -8, 19000101, 99991231), (9, -9, 20000101, 20001231)]
+    v = spark.createDataFrame(spans, "k bigint, version int, start_date_key int, end_date_key int").repartition(4)
+    day = F.date_add(F.lit(first), (F.col("id") % 10_000).cast("int"))
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, 8).otherwise(9)
+    f = spark.range(30_000).select("id", key.cast("bigint").alias("k"), F.date_format(day, "yyyyMMdd").cast("int").alias("d"))
+    f, v = materialise(f), materialise(v)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert len(lookup.Census(f, ["k"]).salts(["k"])[0]) == 3
+        swept = materialise(scd2.sweep_join(f, v, "k", "d", "start_date_key", "end_date_key", how))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    plain = f.join(v.withColumnRenamed("k", "vk"), F.expr("k = vk AND d BETWEEN start_date_key AND end_date_key"), how).drop("vk")
+    assert rows(swept) == rows(plain)
+    joined = scd2.as_of_join(f, v, "k", "d", how=how)
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString() or "Window" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == plain.count()
 
 
 # ------------------------------------------------------------------ calendar

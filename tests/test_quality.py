@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.context import materialise
 from starloom.quality import checks, constraints, profile, verify
 
 
@@ -44,16 +45,14 @@ def test_recompute_tests_every_match(spark):
     assert rows(found) == [("p", 2, 10, 12)]
 
 
-def test_summary_and_enforce(spark):
+def test_summary(spark):
     good, bad = spark.range(0), spark.range(3)
     got = rows(checks.summary({"good": good, "bad": bad}))
     assert got == [("bad", 3, False), ("good", 0, True)]
-    constraints.enforce({"good": good})
-    with pytest.raises(constraints.ConstraintError, match="bad"):
-        constraints.enforce({"good": good, "bad": bad})
 
 
-def test_declared_rules_find_faults(spark):
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_declared_rules_find_faults(spark, limit):
     def table(name, *data):
         return spark.createDataFrame(list(data), schemas.struct(schemas.NF3[name]))
 
@@ -62,16 +61,41 @@ def test_declared_rules_find_faults(spark):
         "ce_product",
         (1, 7, "p", 1, "S", "E", None, None),
         (2, 7, "q", 9, "S", "E", None, None),
+        (3, 8, "r", None, None, "E", None, None),
+        (4, 8, "s", 1, None, "E", None, None),
+        (None, 9, "t", 8, "S", "E", None, None),
     )
-    found = constraints.violations(
-        "ce_product", {"ce_category": category, "ce_product": product},
-        constraints.NF3_RULES["ce_product"],
-    )
-    broken = {n for n, d in found.items() if d.count()}
-    assert broken == {
-        "ce_product unique(source_system, source_entity, product_src_id)",
-        "ce_product.category_id -> ce_category",
+    tables, rules = {"ce_category": category, "ce_product": product}, constraints.NF3_RULES["ce_product"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        counts = {r.rule: r.violations for r in constraints.rule_counts("ce_product", tables, rules).collect()}
+        broken = rows(constraints.broken_rows("ce_product", tables, rules))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    key = "ce_product unique(source_system, source_entity, product_src_id)"
+    assert counts == {
+        "ce_product.product_id not null": 1,
+        "ce_product.source_system not null": 2,
+        "ce_product.source_entity not null": 0,
+        "ce_product.product_src_id not null": 0,
+        "ce_product.category_id -> ce_category": 2,
+        "ce_product unique(product_id)": 0,
+        key: 2,
     }
+    want = [("ce_product.product_id not null", None), ("ce_product.source_system not null", "3")]
+    want += [("ce_product.source_system not null", "4"), ("ce_product.category_id -> ce_category", "2")]
+    want += [("ce_product.category_id -> ce_category", None), (key, "1"), (key, "2")]
+    assert broken == sorted([("ce_product", *w) for w in want], key=lambda t: tuple(map(str, t)))
+
+
+def test_orphans_read_the_parents_once(spark):
+    parent = materialise(spark.range(1000).withColumnRenamed("id", "pk"))
+    child = materialise(spark.range(5000).select((F.col("id") % 1200).alias("fk"), F.col("id").cast("string").alias("name")))
+    found = checks.orphans(child, parent, "fk", "pk")
+    assert found.columns == ["fk", "name"]
+    assert found.count() == 200 * 4 and found.agg(F.min("fk")).first()[0] == 1000
+    assert parent.inputFiles()[0] not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert checks.orphans(child.filter("fk < 1000"), parent, "fk", "pk").isEmpty()
 
 
 def test_latest_month_and_counts(spark):

@@ -52,21 +52,15 @@ def test_query_matches_sql(spark, con, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["sales_unknown_lookups", "fact_all_months", "scd2_asof_join", "dq_summary"]
+    "name", ["sales_unknown_lookups", "fact_all_months", "scd2_asof_join", "dq_summary", "dq_product_price", "lookup_one_of_many"]
 )
 def test_same_rows_without_any_broadcast(spark, con, name):
     """Every lookup takes the spread shuffle join."""
-    settings = {
-        "spark.starloom.broadcastRows": "0",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert compare(spark, con, name, SF).startswith("ok")
     finally:
-        for key in settings:
-            spark.conf.unset(key)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_entry(spark):
