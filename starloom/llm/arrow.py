@@ -11,6 +11,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows taken out of a batch at once; bounds what a task holds as Python objects.
 SLICE = 256
+#: Rows of a batch that goes to a Python worker.
+ROWS = 1024
+_ROWS_SETTING, _SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 #: Rows collected before a batch goes back to Spark.
 FLUSH = 65_536
 
@@ -19,6 +22,16 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
+def in_batches(df: DataFrame, run: Callable, ddl: str) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``ROWS`` rows, for the rest of a session
+    that has kept Spark's own number: the JVM and the Python worker each hold a batch
+    of long texts several times over."""
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_SETTING) == _SPARKS_OWN:
+        conf.set(_ROWS_SETTING, str(ROWS))
+    return df.mapInArrow(run, ddl)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -38,7 +51,7 @@ def map_rows(df: DataFrame, setup: Callable[[], Callable], ddl: str) -> DataFram
                 [pa.array(list(c), f.type) for c, f in zip(zip(*made), schema)], schema=schema
             )
 
-    return df.mapInArrow(run, ddl)
+    return in_batches(df, run, ddl)
 
 
 def flat_map_rows(df: DataFrame, setup: Callable[[], Callable], ddl: str) -> DataFrame:
@@ -62,4 +75,15 @@ def flat_map_rows(df: DataFrame, setup: Callable[[], Callable], ddl: str) -> Dat
         if made:
             yield pack(made)
 
-    return df.mapInArrow(run, ddl)
+    return in_batches(df, run, ddl)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.arrow import map_rows, slices
+from starloom.llm.arrow import in_batches, map_rows, slices
 from starloom.llm.bounded import most_frequent
 
 #: A cut where so many low bits of the rolling hash are zero: chunks of about 512 bytes.
@@ -202,7 +202,7 @@ def shared_chunks(docs: DataFrame, text: str = "text", most: int = SHARED_DIGEST
                         seen[key] = seen.get(key, 0) + 1
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())})
 
-    counted = docs.select(F.col(text).cast("binary")).mapInArrow(run, "chunk bigint, n bigint")
+    counted = in_batches(docs.select(F.col(text).cast("binary")), run, "chunk bigint, n bigint")
     return np.sort(most_frequent(counted, "chunk", 1, most).toPandas()["chunk"].to_numpy(np.int64))
 
 

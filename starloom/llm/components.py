@@ -1,32 +1,49 @@
 """Connected components of items that share signatures and pass an exact test.
 
-Items of one bucket (one signature) are candidates of each other. All pairs of a
-bucket are never made: in a few rounds, each bucket tests its members against one of
-them, and what links is merged into components; then only buckets that still hold
-several components are left, and there only pairs across components are tested. A
-bucket of near copies, however large, costs a round in proportion to its size.
+Items of one bucket (one signature) are candidates of each other. In a few rounds, each
+bucket tests its members against one of them, and what links is merged into components:
+a bucket of near copies, however large, costs a round in proportion to its size. Buckets
+that still hold several components are compared by short sketches inside tasks, and only
+pairs that the sketches leave become rows. A bucket over ``CELL`` members is first split
+by lanes (linked items lie in equal or adjacent ones), then dealt over cells of two
+blocks each, so that no task holds more than two blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
-from starloom.llm.arrow import slices
+from starloom.llm.arrow import arrow_schema, in_batches, slices
+from starloom.llm.hashing import mix
+from starloom.operators.lookup import spread_join
 
 #: Rounds with one leader in each bucket, before pairs across components.
 STAR_ROUNDS = 3
+#: Members of a bucket, or of a block of a larger one, that are compared in one task.
+CELL = 2048
+#: A signature that a task meets more often than this within ``FLUSH`` rows is salted.
+OFTEN = 8
+SALTS = 32
+FLUSH = 200_000
+POSTINGS = "sig bigint, salt tinyint, id bigint"
+#: Pairs that a task remembers, so as not to return them again for another bucket.
+SEEN_PAIRS = 500_000
+#: Pairs of places that a task compares at once.
+PAIRS = 100_000
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """``id`` and ``comp`` (the smallest id of its component) of every id in
     ``edges`` (a, b). Each round hooks every id on its smallest neighbour and
-    contracts; what is left of the edges shrinks geometrically."""
+    contracts; with ids in no order (digests), what is left of the edges shrinks
+    geometrically."""
     live = materialise(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     hooks = []
     while not live.isEmpty():
@@ -51,74 +68,222 @@ def connected(edges: DataFrame) -> DataFrame:
     return materialise(comp, "components")
 
 
+class Poster:
+    """Collects the postings of a task as batches of ``POSTINGS``.
+
+    A signature that stands more than ``OFTEN`` times in a batch is salted from there
+    on: its first rows go where all tasks send theirs, the others are spread.
+    """
+
+    schema = pa.schema([("sig", pa.int64()), ("salt", pa.int8()), ("id", pa.int64())])
+
+    def __init__(self, flush: int = FLUSH):
+        self.flush, self.n = flush, 0
+        self.sigs: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+
+    def add(self, sigs: np.ndarray, own) -> bool:
+        """Unsigned signatures of an id, or of as many ids; whether to ``take`` now."""
+        self.sigs.append(sigs)
+        self.ids.append(np.full(len(sigs), own, np.int64) if np.ndim(own) == 0 else own)
+        self.n += len(sigs)
+        return self.n >= self.flush
+
+    def take(self) -> pa.RecordBatch:
+        sigs = np.concatenate(self.sigs) if self.sigs else np.zeros(0, np.uint64)
+        ids = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int64)
+        self.sigs, self.ids, self.n = [], [], 0
+        order = np.argsort(sigs, kind="stable")
+        s = sigs[order]
+        new = np.concatenate(([True], s[1:] != s[:-1])) if len(s) else np.zeros(0, bool)
+        rank = np.arange(len(s)) - np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
+        salt = np.zeros(len(s), np.int8)
+        often = order[rank >= OFTEN]
+        salt[often] = 1 + mix(ids[often].view(np.uint64)) % np.uint64(SALTS)
+        return pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(salt), pa.array(ids)], schema=self.schema)
+
+
 def shared_buckets(postings: DataFrame) -> DataFrame:
-    """(sig, id, weight), each once, of the signatures that two or more ids have.
-    An id's weight is how many it meets over all its signatures."""
-    once = postings.repartition("sig").groupBy("sig", "id").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    sized = once.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("sig"))).filter("size > 1")
+    """(sig, id, weight) of the signatures that two or more ids have, from ``postings``
+    (sig, salt, id); now and then an id twice. A salted row is one of several by itself.
+    An id's weight is how many it meets over all its signatures, or fewer where those
+    are salted: a hint at whom to compare first."""
+    at = ("sig", "salt")
+    once = postings.repartition(*at).groupBy(*at, "id").agg(F.count(F.lit(1)).alias("n")).drop("n")
+    sized = once.withColumn("size", F.count(F.lit(1)).over(W.partitionBy(*at))).filter("size > 1 OR salt > 0")
     sized = materialise(sized, "buckets")
-    return sized.drop("size").join(sized.groupBy("id").agg(F.sum("size").alias("weight")), "id")
+    return sized.select("sig", "id").join(sized.groupBy("id").agg(F.sum("size").alias("weight")), "id")
 
 
-def _spread(members: DataFrame) -> DataFrame:
-    bucket = W.partitionBy("sig")
-    ends = members.withColumns({"low": F.min("comp").over(bucket), "high": F.max("comp").over(bucket)})
-    return ends.filter("low < high").select("sig", "id", "weight", "comp")
+def _priority(k: int):
+    """Order in which a bucket's leader is chosen: first the member that meets most
+    others (near copies of one text mostly link with that text, if not with each
+    other), then members by chance."""
+    if k:
+        return F.xxhash64("id", F.lit(k))
+    return F.least("weight", F.lit(1 << 40)) * (1 << 20) + F.pmod(F.xxhash64("id"), F.lit(1 << 20))
 
 
 def linked_components(
     buckets: DataFrame,
     test: Callable[[DataFrame], DataFrame],
     marks: DataFrame,
-    near: Callable[[Column, Column], Column],
+    table: Callable[[list[bytes]], object],
+    near: Callable[[object, np.ndarray, np.ndarray], np.ndarray],
     star_rounds: int = STAR_ROUNDS,
 ) -> DataFrame:
     """``id`` and ``comp`` of the ids that are linked with others.
 
     ``buckets`` (sig, id, weight) is a stored frame; ``test`` gets distinct candidate pairs
-    (a, b), a < b, and returns those that link. ``marks`` (id, mark) has a short sketch
-    of each id; ``near`` is a necessary condition for a link, on two sketches. Every
-    pair that shares a bucket is tested unless its two sides are in one component
-    already or their sketches rule it out.
+    (a, b), a < b, and returns those that link. ``marks`` (id, lane, mark) has a short
+    sketch of each id, and a lane that links never leave by more than one. ``table`` puts
+    some marks in order for ``near``, which tells of pairs of their places whether they
+    may link. Every pair that shares a bucket is tested unless its two sides are in one
+    component already or lanes or marks rule it out.
     """
     members = buckets.withColumn("comp", F.col("id"))
     known = None  # id, comp of all that linked so far
+
+    def settle(found, known):
+        """All links so far, after those among ``found``."""
+        linked = materialise(test(materialise(found.distinct(), "pairs")), "linked")
+        if linked.isEmpty():
+            return known, False
+        if known is not None:  # earlier components, each as a star
+            linked = linked.unionByName(known.select(F.col("comp").alias("a"), F.col("id").alias("b")))
+        return connected(linked), True
+
     for k in range(star_rounds + 1):
+        lead = [F.max_by(c, _priority(k)).alias(f"lead_{c}") for c in ("id", "comp")]
+        heads = members.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *lead)
+        heads = heads.filter("low < high").drop("low", "high")
+        # a bucket of a third of all rows is a hot key of this join, whose lookup is unique
+        members = materialise(members.join(heads, "sig"), "open")
+        if members.isEmpty():
+            break
         if k < star_rounds:
-            # first the member that meets most others: near copies of one text mostly
-            # link with that text, if not with each other; then members by chance
-            order = F.xxhash64("id", F.lit(k)) if k else F.struct("weight", "id")
-            leader = F.max_by(F.struct("id", "comp"), order)
-            led = members.withColumn("leader", leader.over(W.partitionBy("sig")))
-            found = led.filter("leader.comp <> comp").select(
-                F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
-            )
+            found = members.filter("comp <> lead_comp")
+            found = found.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b"))
         else:
-            marked = materialise(members.join(marks, "id").select("sig", "id", "comp", "mark"), "marked")
-            left = marked.toDF("sig", "a", "ca", "ma")
-            right = marked.toDF("sig", "b", "cb", "mb")
-            open_pair = F.expr("a < b AND ca <> cb") & near(F.col("ma"), F.col("mb"))
-            found = left.join(right, "sig").filter(open_pair).select("a", "b")
-        linked = materialise(test(materialise(found.distinct(), "pairs")), "linked")
-        if not linked.isEmpty():
-            if known is not None:  # earlier components, each as a star
-                linked = linked.unionByName(known.select(F.col("comp").alias("a"), F.col("id").alias("b")))
-            known = connected(linked)
-        if k < star_rounds:
-            if known is not None:
-                members = members.drop("comp").join(known, "id", "left")
-                members = members.select("sig", "id", "weight", F.coalesce("comp", "id").alias("comp"))
-            members = materialise(_spread(members), "open")
-            if members.isEmpty():
-                break
+            found = _across(members.select("sig", "id", "comp"), marks, table, near)
+        known, more = settle(found, known)
+        members = members.drop("lead_id", "lead_comp")
+        if more:
+            members = members.drop("comp").join(known, "id", "left")
+            members = members.select("sig", "id", "weight", F.coalesce("comp", "id").alias("comp"))
     return known if known is not None else buckets.select("id", F.col("id").alias("comp")).limit(0)
 
 
+_CELL = ["sig", "lane", "i", "j"]
+
+
+def _across(members: DataFrame, marks: DataFrame, table, near) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket that lanes and marks allow."""
+    big = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL).select("sig")
+    big = materialise(big, "big")
+    marked = members.join(marks, "id")
+    zero = F.lit(0).cast("bigint")
+    plain = ("sig", zero.alias("lane"), zero.alias("i"), zero.alias("j"), zero.alias("block"), F.lit(True).alias("own"))
+    body = ("id", "comp", "mark")
+    if big.isEmpty():
+        cells = marked.select(*plain, *body)
+    else:
+        marked = materialise(marked, "marked")
+        small = marked.join(big, "sig", "left_anti").select(*plain, *body)
+        # each member lies in its own lane and visits the next one
+        laned = marked.join(big, "sig").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
+        laned = laned.withColumn("lane", F.col("lane") + F.when(F.col("own"), 0).otherwise(1))
+        laned = materialise(laned, "lanes")
+        parts = laned.groupBy("sig", "lane").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"), F.max("own").alias("any_own"))
+        laned = laned.join(parts.filter("any_own").drop("any_own"), ["sig", "lane"])
+        laned = laned.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")))
+        laned = laned.withColumn("x", F.explode(F.sequence(zero, F.col("parts") - 1)))
+        ends = (F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"))
+        cells = small.unionByName(laned.select("sig", "lane", *ends, "block", "own", *body))
+    dealt = cells.repartition(*_CELL).sortWithinPartitions(*_CELL)
+    return in_batches(dealt, _compare(table, near), "a bigint, b bigint")
+
+
+def _pairs_of(starts: np.ndarray, ends: np.ndarray):
+    """All pairs i < j of places within each of the spans, as arrays of at most about
+    ``PAIRS`` each."""
+    held, n = [], 0
+    for size in np.unique(ends - starts).tolist():
+        if size < 2:
+            continue
+        of = starts[ends - starts == size]
+        each = np.triu_indices(size, 1)
+        step = max(1, PAIRS // len(each[0]))
+        for low in range(0, len(of), step):
+            base = of[low : low + step, None]
+            for at in range(0, len(each[0]), PAIRS):
+                i, j = (base + e[None, at : at + PAIRS] for e in each)
+                held.append((i.ravel(), j.ravel()))
+                n += i.size
+                if n >= PAIRS:
+                    yield tuple(np.concatenate(k) for k in zip(*held))
+                    held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(k) for k in zip(*held))
+
+
+def _compare(table, near):
+    schema = arrow_schema("a bigint, b bigint")
+
+    def compared(rows):
+        """Pairs (a, b) that may link, of whole cells in order."""
+        column = {c: rows.column(c).to_numpy() for c in (*_CELL, "block", "id", "comp")}
+        own = rows.column("own").to_numpy(zero_copy_only=False)
+        keys = np.stack([column[c] for c in _CELL])
+        starts = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(0))))
+        marks = table(rows.column("mark").to_pylist())
+        for i, j in _pairs_of(starts, np.append(starts[1:], rows.num_rows)):
+            good = (column["comp"][i] != column["comp"][j]) & (column["id"][i] != column["id"][j])
+            good &= own[i] | own[j]
+            good &= (column["i"][i] == column["j"][i]) | (column["block"][i] != column["block"][j])
+            i, j = i[good], j[good]
+            good = near(marks, i, j)
+            a, b = column["id"][i[good]], column["id"][j[good]]
+            yield np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches):
+        held, seen = None, set()
+
+        def found(rows):
+            for a, b in compared(rows):
+                new = {p for p in zip(a.tolist(), b.tolist()) if p not in seen}
+                if len(seen) > SEEN_PAIRS:
+                    seen.clear()
+                seen.update(new)
+                if new:
+                    columns = zip(*new)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+        for batch in batches:
+            for part in slices([batch], CELL):
+                rows = pa.Table.from_batches([part])
+                held = rows if held is None else pa.concat_tables([held, rows])
+                if held.num_rows < 2 * CELL:
+                    continue
+                last = [held.column(c)[-1].as_py() for c in _CELL]
+                same = np.logical_and.reduce([held.column(c).to_numpy() == v for c, v in zip(_CELL, last)])
+                whole = int(np.argmax(same))  # the last cell may go on
+                if whole:
+                    yield from found(held.slice(0, whole))
+                    held = held.slice(whole).combine_chunks()
+        if held is not None and held.num_rows:
+            yield from found(held)
+
+    return run
+
+
 def filter_pairs(pairs: DataFrame, items: DataFrame, columns: list[str], keep) -> DataFrame:
-    """The pairs (a, b) for whose items ``keep`` (given the columns of a, then of
-    b) holds."""
+    """The pairs (a, b) of a stored frame for whose items ``keep`` (given the columns of
+    a, then of b) holds. An item of many pairs is spread over several tasks."""
+    census = pairs
     for side in "ab":
-        pairs = pairs.join(items.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+        named = items.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        pairs = spread_join(pairs, named, [side], "inner", census=census)
     pairs = pairs.select("a", "b", *(f"{c}_a" for c in columns), *(f"{c}_b" for c in columns))
 
     def run(batches):
@@ -126,4 +291,4 @@ def filter_pairs(pairs: DataFrame, items: DataFrame, columns: list[str], keep) -
             good = [keep(*row) for row in zip(*(c.to_pylist() for c in part.columns[2:]))]
             yield pa.RecordBatch.from_arrays(list(part.columns[:2]), names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return in_batches(pairs, run, "a bigint, b bigint")

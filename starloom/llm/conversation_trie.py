@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
-from starloom.llm.arrow import arrow_schema
+from starloom.llm.arrow import arrow_schema, in_batches
 from starloom.operators.lookup import spread_join
 
 #: Turns of a conversation, or ids of an end list, that are handled together.
@@ -115,7 +115,7 @@ def _end_digests(whole: DataFrame) -> DataFrame:
     listed = whole.groupBy(*_KEY, chunk).agg(F.sort_array(F.collect_list("conv")).alias("ids"))
     listed = listed.withColumn("ids", F.array_join(F.transform("ids", lambda i: i.cast("string")), ","))
     dealt = listed.repartition(*_KEY).sortWithinPartitions(*_KEY, "chunk")
-    return dealt.select(*_KEY, "ids").mapInArrow(run, ddl)
+    return in_batches(dealt.select(*_KEY, "ids"), run, ddl)
 
 
 def prefix_nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:

@@ -47,6 +47,21 @@ class Runs:
         return mix((self.total[end] - self.total[start]) * self.back[start] + length)
 
 
+def fixed_runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words, at every place that has one."""
+    n = len(hashes) - size + 1
+    out = hashes[:n].copy()
+    for i in range(1, size):
+        out *= _BASE[0]
+        out += hashes[i : i + n]
+    return mix(out + np.uint64(size))
+
+
+def sorted_distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     """The same bits as Spark's bigint."""
     return h.view(np.int64)

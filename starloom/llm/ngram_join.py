@@ -20,20 +20,18 @@ candidates there are, never which sets link.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
-from starloom.llm.arrow import arrow_schema, slices
+from starloom.llm.arrow import free_names, in_batches
 from starloom.llm.bounded import most_frequent
-from starloom.llm.components import filter_pairs, linked_components, shared_buckets
-from starloom.llm.hashing import Runs, mix, signed, word_hashes
+from starloom.llm.hashing import mix, signed
 from starloom.llm.membership import bitmap, perhaps
-from starloom.operators.lookup import spread_join
+from starloom.llm.set_join import narrowed, set_components, sets_once
+from starloom.llm.shingles import mark, may_link, near, table
 
 SHINGLE = 5
 PERCENT = 80
@@ -43,66 +41,46 @@ RARE_SETS = 8
 FREQUENT_TOKENS = 2_000_000
 
 
-def shingle_set(data: bytes | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``size`` words; of the whole
-    sequence, if it is shorter; none without words."""
-    h = word_hashes((data or b"").lower().split())
-    if not len(h):
-        return h
-    start = np.arange(max(1, len(h) - size + 1))
-    return np.unique(Runs(h).of(start, np.minimum(start + size, len(h))))
-
-
-def set_id(tokens: np.ndarray) -> int:
-    """64 bits of a digest of the set, never null; sets are told apart by it."""
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
 def misses(n: int, percent: int) -> int:
     """Tokens of n that may be missing in a linked set."""
     return n - -(-percent * n // 100)
 
 
+def classes(level: int, percent: int) -> int:
+    """Classes of frequent tokens in sets of 2 ** (level - 1) tokens or more: about a
+    quarter as many, and so few that their units always suffice. None: every token is
+    a unit and a signature by itself."""
+    return min(1 << max(level - 2, 0), -(-percent * (1 << level - 1) // 100) - 1)
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Signatures of a set; sets that link but are not equal share one."""
+    if not len(tokens):
+        return tokens
     units = misses(len(tokens), percent) + 1
-    if units == 1:
-        return tokens[:0]  # only an equal set links
     often = _among(tokens, frequent)
     rare = tokens[~often][:units]
     if len(rare) == units:
         return rare
-    out = [rare]
+    out, units = [rare], units - len(rare)
     common = mix(tokens[often])  # the class comes from other bits than the order
     for level in range(int(-(-percent * len(tokens) // 100)).bit_length(), len(tokens).bit_length() + 1):
-        classes = 1 << max(level - 2, 0)
-        of = common & np.uint64(classes - 1)
+        of = classes(level, percent)
+        if of < 1:
+            out.append(mix(common[np.argsort(common)][:units] + np.uint64(level)))
+            continue
+        of = common % np.uint64(of)
         order = np.lexsort((common, of))
         c, of = common[order], of[order]
         start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
         count = np.diff(np.append(start, len(c)))
-        enough = int(np.searchsorted(np.cumsum(count - 1), units - len(rare))) + 1
+        enough = int(np.searchsorted(np.cumsum(count - 1), units)) + 1
         for a, n in zip(start[:enough].tolist(), count[:enough].tolist()):
             i, j = np.triu_indices(n, 1)
             out.append(mix(c[a + i] * np.uint64(3) + mix(c[a + j]) + np.uint64(level)))
     return np.concatenate(out)
 
 
-def _sets_once(batches, size: int):
-    """(tokens, id) of the texts of a task; copies are left out as far as a
-    bounded memory of those seen goes."""
-    seen: set[int] = set()
-    for part in slices(batches):
-        for data in part.column(part.num_columns - 1).to_pylist():
-            tokens = shingle_set(data, size)
-            own = set_id(tokens)
-            if own not in seen:
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.add(own)
-                yield tokens, own
-
-
 def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
         return np.zeros(len(tokens), bool)
@@ -131,7 +109,7 @@ def frequent_tokens(texts: DataFrame, size: int, percent: int, rare_sets: int, m
     def count(chosen):
         def run(batches):
             held, n = [], 0
-            for tokens, _ in _sets_once(batches, size):
+            for tokens, _ in sets_once(batches, size):
                 held.append(chosen(tokens))
                 n += len(held[-1])
                 if n > 500_000:
@@ -140,7 +118,7 @@ def frequent_tokens(texts: DataFrame, size: int, percent: int, rare_sets: int, m
             if held:
                 yield packed(held)
 
-        return texts.mapInArrow(run, "token bigint, n bigint")
+        return in_batches(texts, run, "token bigint, n bigint")
 
     def packed(held):
         tokens, count = np.unique(np.concatenate(held), return_counts=True)
@@ -154,73 +132,9 @@ def frequent_tokens(texts: DataFrame, size: int, percent: int, rare_sets: int, m
         rare = ~_among(tokens, sent.value)
         return tokens[reach:][rare[reach:]] if int(rare[:reach].sum()) < units else tokens[:0]
 
-    return np.union1d(first, _often(count(rest), rare_sets, most // 2))
-
-
-def postings(texts: DataFrame, frequent, size: int, percent: int) -> DataFrame:
-    """(sig, id) of each row's set; copies within a task once."""
-    schema = arrow_schema("sig bigint, id bigint")
-
-    def run(batches):
-        sigs, ids, n = [], [], 0
-        for tokens, own in _sets_once(batches, size):
-            found = signatures(tokens, frequent.value, percent)
-            sigs.append(signed(found))
-            ids.append(np.full(len(found), own, np.int64))
-            n += len(found)
-            if n > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, ids)], schema=schema)
-                sigs, ids, n = [], [], 0
-        if sigs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, ids)], schema=schema)
-
-    return texts.mapInArrow(run, "sig bigint, id bigint")
-
-
-def sketch(tokens: np.ndarray) -> bytes:
-    """A bitmap of parities: tokens hashed to about two bits each. Sets differ in at
-    least as many tokens as their sketches of one length differ in bits."""
-    bits = 64 << max(0, (len(tokens) // 40).bit_length())
-    counts = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
-
-
-#: Bits of the short sketch that candidates are joined with.
-MARK_BITS = 512
-
-
-def mark(tokens: np.ndarray) -> list[int]:
-    """Size and parities of a set, as numbers for Spark."""
-    counts = np.bincount((tokens & np.uint64(MARK_BITS - 1)).astype(np.int64), minlength=MARK_BITS)
-    return [len(tokens), *np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()]
-
-
-def near_marks(a: Column, b: Column, percent: int) -> Column:
-    """Whether two sets can link by their sizes and parities: see ``_may_link``."""
-    apart = sum(F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, MARK_BITS // 64 + 1))
-    both = a[0] + b[0]
-    sizes = 100 * F.least(a[0], b[0]) >= percent * F.greatest(a[0], b[0])
-    return sizes & (100 * (both - apart) >= percent * (both + apart))
-
-
-def _may_link(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
-    if 100 * min(n, m) < percent * max(n, m):
-        return False
-    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    if len(a) > len(b):
-        a, b = b, a
-    b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), 0)  # folded to the shorter length
-    apart = int(np.bitwise_count(a ^ b).sum())
-    # sizes n, m and a difference of d: union (n + m + d) / 2, intersection (n + m - d) / 2
-    return 100 * (n + m - apart) >= percent * (n + m + apart)
-
-
-def _links(x: bytes, y: bytes, percent: int) -> bool:
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    both = np.concatenate((a, b))
-    both.sort()
-    same = int((both[1:] == both[:-1]).sum())
-    return 100 * same >= percent * (len(a) + len(b) - same)
+    both = np.union1d(first, _often(count(rest), rare_sets, most // 2))
+    sent.destroy()
+    return both
 
 
 def near_duplicates(
@@ -251,51 +165,25 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     named = _components(docs, key, text, size, percent, RARE_SETS, FREQUENT_TOKENS)
     later = materialise(named.filter("key <> low").select("key", "tag").distinct(), "later")
     hit = docs.sparkSession.sparkContext.broadcast(bitmap(later.select("key"), "key"))
-    on = (F.col(key).cast("bigint") == F.col("__key")) & (F.xxhash64(F.col(text)) == F.col("__tag"))
-    asked = docs.filter(perhaps(hit, key)).join(later.toDF("__key", "__tag"), on, "left_anti")
+    spot, tag = free_names(docs, "spot", "tag")
+    on = (F.col(key).cast("bigint") == F.col(spot)) & (F.xxhash64(F.col(text)) == F.col(tag))
+    asked = docs.filter(perhaps(hit, key)).join(later.toDF(spot, tag), on, "left_anti")
     return docs.filter(~perhaps(hit, key)).unionByName(asked)
 
 
 def _components(docs: DataFrame, key: str, text: str, size: int, percent: int, rare_sets: int, most_frequent: int) -> DataFrame:
-    """Rows (key, tag, n, low): ``tag`` tells texts of one key apart."""
-    narrow = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).cast("binary").alias("data"))
-    texts = narrow.select("data")
-    context = docs.sparkSession.sparkContext
-    frequent = context.broadcast(frequent_tokens(texts, size, percent, rare_sets, most_frequent))
-    buckets = materialise(shared_buckets(postings(texts, frequent, size, percent)), "buckets")
-    wanted = context.broadcast(bitmap(buckets.select("id").distinct(), "id"))
-
-    ddl = "key bigint, tag bigint, n bigint, id bigint, mark array<bigint>, sketch binary, tokens binary"
-    schema = arrow_schema(ddl)
-
-    def run(batches):
-        for part in slices(batches):
-            rows = []
-            for k, tag, data in zip(*(c.to_pylist() for c in part.columns)):
-                tokens = shingle_set(data, size)
-                own = set_id(tokens) if len(tokens) else None
-                kept = own in wanted.value
-                held = (mark(tokens), sketch(tokens), tokens.tobytes()) if kept else (None, None, None)
-                rows.append((k, tag, len(tokens), own, *held))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    sets = materialise(narrow.mapInArrow(run, ddl), "sets")
-    items = sets.filter("tokens IS NOT NULL")
-    small = materialise(items.groupBy("id").agg(*(F.first(c).alias(c) for c in ("n", "mark", "sketch"))), "sketches")
-
-    def test(pairs):
-        near = filter_pairs(pairs, small, ["n", "sketch"], lambda n, x, m, y: _may_link(n, m, x, y, percent))
-        near = materialise(near, "near")
-        ends = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id")))
-        asked = context.broadcast(bitmap(ends, "id"))  # whole sets are moved for these only
-        large = items.select("id", "tokens").filter(perhaps(asked, "id")).dropDuplicates(["id"])
-        return filter_pairs(near, large, ["tokens"], lambda x, y: _links(x, y, percent))
-
-    comp = linked_components(buckets, test, small.select("id", "mark"), lambda a, b: near_marks(a, b, percent))
-    # a set or a component may hold a third of all rows: both joins spread such keys
-    named = spread_join(sets.filter("id IS NOT NULL").select("key", "tag", "n", "id"), comp, ["id"])
-    named = materialise(named.select("key", "tag", "n", F.coalesce("comp", "id").alias("comp")), "named")
-    names = named.groupBy("comp").agg(F.min("key").alias("low"))
-    whole = spread_join(named, names, ["comp"], "inner").select("key", "tag", "n", "low")
-    blank = sets.filter("id IS NULL").select("key", "tag", "n", F.col("key").alias("low"))
-    return whole.unionByName(blank)
+    narrow = narrowed(docs, key, text)
+    frequent = frequent_tokens(narrow.select("data"), size, percent, rare_sets, most_frequent)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent)
+    found = set_components(
+        narrow,
+        size,
+        percent,
+        signatures=lambda tokens: signatures(tokens, frequent.value, percent),
+        mark=mark,
+        may_link=lambda x, y: may_link(x, y, percent),
+        table=table,
+        near=lambda held, i, j: near(held, i, j, percent),
+    )
+    frequent.destroy()
+    return found

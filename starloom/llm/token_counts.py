@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.arrow import arrow_schema, slices
+from starloom.llm.arrow import arrow_schema, in_batches, slices
 
 #: Entries of the broadcast table, and of each task's summary: about 1 MB.
 TABLE_ENTRIES = 32_768
@@ -88,8 +88,8 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", entries: int = TABL
     def merge(batches):
         yield _packed(_merged((b for x in batches for b in x.column(0).to_pylist()), entries), entries)
 
-    summaries = docs.select(text).mapInArrow(_summary(entries), "summary binary")
-    met = summaries.repartition(MERGERS).mapInArrow(merge, "summary binary")
+    summaries = in_batches(docs.select(text), _summary(entries), "summary binary")
+    met = in_batches(summaries.repartition(MERGERS), merge, "summary binary")
     total = _merged((r.summary for r in met.toLocalIterator()), entries)
     return [k for k, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:entries]]
 
@@ -150,6 +150,6 @@ def count_tokens(
             n_bytes = pc.fill_null(pc.cast(pc.binary_length(texts), pa.int64()), 0)
             yield pa.RecordBatch.from_arrays([part.column(0), n_bytes, pa.array(counts, pa.int64())], schema=schema)
 
-    return narrow.mapInArrow(run, ddl).select(
+    return in_batches(narrow, run, ddl).select(
         F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
