@@ -6,6 +6,10 @@ a single scan of a normalised text meets every copied window; from each block fo
 the agreement with the item is followed both ways, and a run of thirteen words or
 more marks its words. The automaton is no larger than the items themselves, where one
 of all windows would be thirteen times that. Hit words are mapped back to the text.
+
+Items beyond ``AUTOMATON_BYTES`` are dealt over several automata. A task then takes its
+texts in lots, and scans each lot with one automaton after the other, so that an
+automaton is built once for a lot, which costs little beside the scan of it.
 """
 
 from __future__ import annotations
@@ -17,15 +21,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.arrow import map_rows
+from starloom.llm.arrow import arrow_schema, in_batches, slices
 
 WINDOW = 13
-#: Bytes of items in one automaton (about 60 times that in memory). Larger sets of
-#: items are dealt over several automata, used one after the other on each text.
+#: Bytes of items in one automaton (about 60 times that in memory).
 AUTOMATON_BYTES = 1 << 20
+#: Bytes of texts that a task scans together where there are several automata.
+LOT_BYTES = 16 << 20
 
 _NORMAL = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
@@ -109,29 +115,51 @@ def _blocks(benchmark: DataFrame, item: str, text: str, most: int):
         yield [(r.id, words(bytes(r.data))) for r in part.toLocalIterator()]
 
 
-def _hits(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, automaton_bytes: int):
-    """For tasks: what gives a text's number of words, its hit words (None: none),
-    and the ids of the items that hit."""
+def _scan(lot: list[bytes | None], blocks) -> list[tuple[int, np.ndarray | None, set]]:
+    """For each text its number of words, its hit words (None: none), and the ids of
+    the items that hit."""
+    texts = [words(data or b"") for data in lot]
+    hits: list[np.ndarray | None] = [None] * len(lot)
+    ids: list[set] = [set() for _ in lot]
+    for matcher in blocks:
+        for at, ws in enumerate(texts):
+            for a, b, i in matcher.runs(ws):
+                if hits[at] is None:
+                    hits[at] = np.zeros(len(ws), bool)
+                hits[at][a:b] = True
+                ids[at].add(matcher.items[i][0])
+    return [(len(ws), hit, found) for ws, hit, found in zip(texts, hits, ids)]
+
+
+def _scanner(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, automaton_bytes: int):
+    """For tasks: what gives lots of texts and their findings, in order, from an
+    iterable of (texts, anything that goes with them)."""
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(b) for b in _blocks(benchmark, item, item_text, automaton_bytes)]
 
-    def setup():
-        one = Matcher(blocks[0].value, window) if len(blocks) == 1 else None
+    def scan(parts):
+        one = [Matcher(blocks[0].value, window)] if len(blocks) == 1 else None
+        if one:
+            for texts, extra in parts:
+                yield extra, _scan(texts, one)
+            return
+        held, size = [], 0
 
-        def find(data):
-            ws = words(data or b"")
-            hit, ids = None, set()
-            for block in blocks if ws else ():
-                matcher = one or Matcher(block.value, window)
-                for a, b, i in matcher.runs(ws):
-                    hit = np.zeros(len(ws), bool) if hit is None else hit
-                    hit[a:b] = True
-                    ids.add(matcher.items[i][0])
-            return len(ws), hit, ids
+        def findings():
+            found = iter(_scan([t for texts, _ in held for t in texts], (Matcher(b.value, window) for b in blocks)))
+            for texts, extra in held:
+                yield extra, [next(found) for _ in texts]
 
-        return find
+        for texts, extra in parts:
+            held.append((texts, extra))
+            size += sum(len(t or b"") for t in texts)
+            if size > LOT_BYTES:
+                yield from findings()
+                held, size = [], 0
+        if held:
+            yield from findings()
 
-    return setup
+    return scan
 
 
 def find_contamination(
@@ -154,25 +182,27 @@ def find_contamination(
     key stays null and repeated rows each give a row; other columns are not read.
     """
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"))
-    hits = _hits(docs, benchmark, item, item_text, window, automaton_bytes)
-
-    def setup():
-        find = hits()
-
-        def each(k, data):
-            n, hit, ids = find(data)
-            if hit is None:
-                return k, n, 0, [], []
-            spans = [{"start": a, "end": b} for a, b in _spans(data, hit)]
-            return k, n, int(hit.sum()), sorted(ids - {None}), spans
-
-        return each
-
+    scan = _scanner(docs, benchmark, item, item_text, window, automaton_bytes)
     ddl = (
         f"key {narrow.schema['key'].dataType.simpleString()}, n_words bigint, n_hit bigint, "
         "items array<string>, spans array<struct<start: bigint, end: bigint>>"
     )
-    return map_rows(narrow, setup, ddl).withColumnRenamed("key", key)
+    schema = arrow_schema(ddl)
+
+    def row(k, data, n, hit, ids):
+        if hit is None:
+            return k, n, 0, [], []
+        spans = [{"start": a, "end": b} for a, b in _spans(data, hit)]
+        return k, n, int(hit.sum()), sorted(ids - {None}), spans
+
+    def run(batches):
+        parts = ((c[1], c) for c in ([x.to_pylist() for x in part.columns] for part in slices(batches)))
+        for (keys, texts), found in scan(parts):
+            made = [row(k, data, *f) for k, data, f in zip(keys, texts, found)]
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*made), schema)], schema=schema)
+
+    return in_batches(narrow, run, ddl).withColumnRenamed("key", key)
 
 
 def is_contaminated(share: int = 20):
@@ -191,14 +221,13 @@ def drop_contaminated(
     automaton_bytes: int = AUTOMATON_BYTES,
 ) -> DataFrame:
     """The rows, with all their columns, of which less than one word in ``share``
-    lies in an occurrence of a window. Rows without words stay."""
-    hits = _hits(docs, benchmark, item, item_text, window, automaton_bytes)
+    lies in an occurrence of a window. Null, empty and other texts without words stay,
+    and so does every text if the benchmark has no words; repeated rows fare alike."""
+    scan = _scanner(docs, benchmark, item, item_text, window, automaton_bytes)
 
     @F.pandas_udf("boolean")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = hits()
-        for lot in texts:
-            found = (find(data) for data in lot)
+        for _, found in scan((list(lot), None) for lot in texts):
             yield pd.Series([hit is None or share * int(hit.sum()) < n for n, hit, _ in found], dtype=bool)
 
     return docs.filter(clean(F.col(text).cast("binary")))

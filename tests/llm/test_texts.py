@@ -126,6 +126,25 @@ def test_contamination_against_brute_force(spark, documents, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in pairs if i not in dirty)
 
 
+def test_automata_are_built_once_for_a_lot(spark, documents, monkeypatch):
+    """Three megabytes of items: four automata for each 16 MB of texts, not each text."""
+    rng = random.Random(8)
+    items = [(i, " ".join(prose(rng, 150, [f"{rng.random():.9f}" for _ in range(40)]))) for i in range(1700)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert 3e6 < sum(len(t) for _, t in items) < 4e6
+    scan = decontaminate._scanner(documents([]), benchmark, "item_id", "text", 13, 1 << 20)
+    built, plain = [], decontaminate.Matcher
+    monkeypatch.setattr(decontaminate, "Matcher", lambda *a: built.append(1) or plain(*a))
+    texts = [items[k][1].encode() if k < 1700 else b"own words " * 1000 for k in range(0, 3400, 2)]
+    parts = [(texts[k : k + 100], k) for k in range(0, len(texts), 100)]
+    found = list(scan(parts))
+    assert [k for k, _ in found] == [k for _, k in parts]
+    hits = [(n, None if hit is None else int(hit.sum()), ids) for _, lot in found for n, hit, ids in lot]
+    assert hits[:850] == [(n, n, {str(2 * k)}) for k, (n, _, _) in enumerate(hits[:850])]
+    assert {h for _, h, _ in hits[850:]} == {None}
+    assert len(built) == 4
+
+
 def test_no_benchmark(spark, documents):
     none = spark.createDataFrame([], "item_id bigint, text string")
     found = decontaminate.find_contamination(documents(AWKWARD), none)
