@@ -9,6 +9,7 @@ logistic regression on scaled presences. Scoring is one pass without a shuffle.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.arrow import flat_map_rows, map_rows, slices
+from starloom.context import materialise
+from starloom.llm.arrow import flat_map_rows, in_batches, map_rows, slices
 from starloom.llm.bounded import hash_sample
 
 #: Labelled rows that the classifier is fitted on at most.
@@ -95,7 +97,8 @@ def fit(
     """Fits on labelled rows that are not held out. Null labels and ids are left
     out; of several labels for one id the highest counts. Without any labelled row
     the score is 0 everywhere, with one class only it is the smoothed share of it."""
-    sample = _sample(docs, labels, key, text, label, fit_rows).select("label", "data")
+    # read and joined by all tasks once; what follows reads the few rows kept
+    sample = materialise(_sample(docs, labels, key, text, label, fit_rows).select("label", "data"), "sample")
 
     def counts(batches):
         seen = np.zeros((2, 1 << BUCKET_BITS), np.int32)
@@ -111,13 +114,9 @@ def fit(
         )
 
     # few, larger tasks: a task's counts hold most buckets however few its texts
-    counted = (
-        sample.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
-        .mapInArrow(counts, "bucket bigint, n0 bigint, n1 bigint")
-        .groupBy("bucket")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    )
-    table = counted.toPandas()  # at most one row for each of the fixed number of buckets
+    lots = sample.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
+    counted = in_batches(lots, counts, "bucket bigint, n0 bigint, n1 bigint").groupBy("bucket")
+    table = counted.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # at most one row for each of the fixed number of buckets
     totals = table[table.bucket == -1]
     rows0, rows1 = (int(totals.n0.sum()), int(totals.n1.sum()))
     weights = np.zeros(1 << BUCKET_BITS)
@@ -142,12 +141,14 @@ def fit(
         return each
 
     found = flat_map_rows(sample, setup, "label int, found array<int>").toPandas()  # at most fit_rows rows
+    sent.destroy()
+    found["first"] = [zlib.crc32(np.asarray(at, np.int32).tobytes()) for at in found.found]
+    found = found.sort_values(["first", "label"])  # rows come in no fixed order
     x = np.zeros((len(found), len(chosen) + 1), np.float32)
     for i, at in enumerate(found.found):
         x[i, at] = ratio[at]
     x[:, -1] = 1
-    order = np.lexsort([found.label.to_numpy(), x @ np.arange(x.shape[1])])  # rows come in no fixed order
-    w = _regress(x[order], found.label.to_numpy(np.float32)[order])
+    w = _regress(x, found.label.to_numpy(np.float32))
     weights[chosen] = ratio * w[:-1]
     return Model(weights, float(w[-1]))
 
@@ -189,7 +190,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows, with all their columns, that score under ``threshold``. A null or
-    empty text scores as one without features."""
+    empty text scores as one without features; repeated rows fare alike."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
