@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.context import materialise
-from starloom.llm.arrow import map_rows, slices
+from starloom.llm.arrow import in_batches, map_rows, slices
 from starloom.llm.hashing import Runs, signed, word_hashes
 from starloom.llm.membership import bitmap, perhaps
 
@@ -122,10 +122,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
         F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).cast("binary").alias("data")
     )
     context = docs.sparkSession.sparkContext
-    found = texts.mapInArrow(_occurrences(window, edge), "edge bigint, key bigint, tag bigint, pos int, step bigint, gap int")
-    by = W.partitionBy("edge")
-    ends = found.withColumns({"low": F.min("key").over(by), "high": F.max("key").over(by)})
-    repeated = materialise(ends.filter("low < high").drop("low", "high", "edge").distinct(), "edges")
+    found = in_batches(texts, _occurrences(window, edge), "edge bigint, key bigint, tag bigint, pos int, step bigint, gap int")
+    found = materialise(found, "places")
+    # an edge or a window may hold a third of all rows: their lows are aggregated in two
+    # steps, and the joins that bring them back look up a key that is unique
+    shared = found.groupBy("edge").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
+    shared = materialise(shared.select("edge"), "shared")
+    known = context.broadcast(bitmap(shared, "edge"))
+    repeated = found.filter(perhaps(known, "edge")).join(shared, "edge")
+    repeated = materialise(repeated.drop("edge").distinct(), "edges")
     paths = materialise(_paths(repeated), "paths")
 
     at = repeated.groupBy("key", "tag").agg(F.collect_set("pos").alias("at"))
@@ -133,16 +138,19 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     state = at.join(listed, ["key", "tag"], "left")
     involved = context.broadcast(bitmap(repeated.select("key").distinct(), "key"))
     asked = texts.filter(perhaps(involved, "key")).dropDuplicates(["key", "tag"]).join(state, ["key", "tag"])
-    windows = asked.select("key", "tag", "data", "at", "paths").mapInArrow(
-        _open_windows(window, edge), "h1 bigint, h2 bigint, key bigint, tag bigint, pos int"
-    )
-    same = W.partitionBy("h1", "h2")
-    later = windows.withColumn("low", F.min("key").over(same)).filter("low < key")
+    asked = asked.select("key", "tag", "data", "at", "paths")
+    windows = in_batches(asked, _open_windows(window, edge), "h1 bigint, h2 bigint, key bigint, tag bigint, pos int")
+    windows = materialise(windows, "windows")
+    lows = windows.groupBy("h1", "h2").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
+    later = windows.join(lows.drop("high"), ["h1", "h2"]).filter("low < key")
     spans = later.select("key", "tag", F.struct(F.col("pos").alias("start"), (F.col("pos") + window).alias("end")).alias("span"))
     # steps are shorter than a window or longer: only paths of a window or more cover windows
     whole = paths.withColumn("end", F.col("reach") + edge).filter(F.col("end") - F.col("start") >= window)
     spans = spans.unionByName(whole.select("key", "tag", F.struct("start", "end").alias("span")))
-    return texts, materialise(spans.groupBy("key", "tag").agg(F.sort_array(F.collect_list("span")).alias("spans")), "spans")
+    spans = materialise(spans.groupBy("key", "tag").agg(F.sort_array(F.collect_list("span")).alias("spans")), "spans")
+    for sent in (known, involved):
+        sent.destroy()
+    return texts, spans
 
 
 def remove_repeats(
