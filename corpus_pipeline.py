@@ -26,11 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand, equal or nearly so, in an earlier place go; all documents
-    stay, ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs, edits=LINE_EDITS, short=True)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+    """Lines that stand, equal or nearly so, in an earlier place go; ``n_chars``, if there
+    is one, follows the text. Documents of which nothing but blank lines is left go."""
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return line_dedup.strip_repeats(docs, edits=LINE_EDITS, length=length)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
