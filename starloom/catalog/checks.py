@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.catalog.registry import doubles, query
+from starloom.catalog.registry import ORACLES, doubles, query
 from starloom.catalog.sql import STG
 from starloom.functions import clean
 from starloom.quality import checks, verify
@@ -461,6 +461,44 @@ def dq_summary(spark, sf_dir):
     )
 
 
+_ROW_CHECKS = {
+    "client validity": dq_client_validity,
+    "client phone": dq_client_phone,
+    "client middle name": dq_client_middle_name,
+    "client flag": dq_client_flag,
+    "client key": dq_client_key_unique,
+    "product cost": dq_product_cost,
+    "product price": dq_product_price,
+    "location default id": dq_location_default_id,
+    "location source id": dq_location_source_id,
+    "channel orphans": dq_channel_orphans,
+    "sale quantity": dq_sales_quantity,
+    "sale dates": dq_sales_dates,
+    "sale key": dq_sale_key_unique,
+    "sale foreign keys": dq_sales_foreign_keys,
+    "mart total cost": dq_mart_total_cost,
+}
+_COUNT_CHECKS = {"client counts": dq_client_counts, "mart counts": dq_mart_counts}
+
+
+@query(
+    "SELECT *, violations = 0 AS passed FROM ("
+    + " UNION ALL ".join(
+        [f"SELECT '{name}' AS check_name, count(*) AS violations FROM ({ORACLES[fn.__name__]})" for name, fn in _ROW_CHECKS.items()]
+        + [f"SELECT '{name}', count(*) FROM ({ORACLES[fn.__name__]}) t(ours, theirs) WHERE ours <> theirs" for name, fn in _COUNT_CHECKS.items()]
+    )
+    + ")"
+)
+def dq_summary_all(spark, sf_dir):
+    """All checks, each with its violations; a count that does not agree is one."""
+    rows = {name: fn(spark, sf_dir) for name, fn in _ROW_CHECKS.items()}
+    for name, fn in _COUNT_CHECKS.items():
+        counts = fn(spark, sf_dir)
+        ours, theirs = counts.columns
+        rows[name] = counts.filter(F.col(ours) != F.col(theirs))
+    return checks.summary(rows)
+
+
 @query(
     f"""
     WITH {STG}

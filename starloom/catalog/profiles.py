@@ -241,3 +241,39 @@ def profile_correlations(spark, sf_dir):
 )
 def profile_alerts(spark, sf_dir):
     return profile.alerts(_gappy_part(spark, sf_dir))
+
+
+_ORDERS = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
+    "o_orderpriority": "string",
+}
+
+
+def _whole_row(c: str, kind: str) -> str:
+    number, text = kind in ("bigint", "double"), kind == "string"
+    return f"""
+    SELECT '{c}' AS column_name, '{kind}' AS column_type, count({c}) AS n_values, count(*) - count({c}) AS n_missing,
+      count(DISTINCT {c}) AS n_distinct, {f'CAST(min({c}) AS DOUBLE)' if number else 'NULL'} AS min_value,
+      {f'round(avg({c}), 6)' if number else 'NULL'} AS mean, {f'CAST(max({c}) AS DOUBLE)' if number else 'NULL'} AS max_value,
+      {f'CAST(min(length({c})) AS DOUBLE)' if text else 'NULL'} AS min_length,
+      {f'CAST(max(length({c})) AS DOUBLE)' if text else 'NULL'} AS max_length,
+      (SELECT count(*) FROM orders o WHERE o.{c} IS NOT NULL GROUP BY o.{c} ORDER BY 1 DESC LIMIT 1) AS top_count
+    FROM orders"""
+
+
+@query(" UNION ALL ".join(_whole_row(c, kind) for c, kind in _ORDERS.items()))
+def profile_whole_table(spark, sf_dir):
+    """Every column of a table: values, missing and distinct ones, range and mean of
+    numbers, lengths of texts, and how often the most frequent value stands."""
+    orders = feed.table(spark, sf_dir, "orders")
+    shape = profile.columns(orders).select("column_name", "column_type", "n_values", "n_missing", "n_distinct")
+    numbers = _rounded(profile.numeric(orders), 6, "mean").select("column_name", "min_value", "mean", "max_value")
+    lengths = profile.text(orders).select(
+        "column_name", *[F.col(c).cast("double").alias(c) for c in ("min_length", "max_length")]
+    )
+    top = profile.top_values(orders, 1).select("column_name", F.col("n_values").alias("top_count"))
+    return shape.join(numbers, "column_name", "left").join(lengths, "column_name", "left").join(top, "column_name", "left")

@@ -534,28 +534,43 @@ def latest_month_sample(spark, sf_dir):
     return verify.latest_month_sample(rows, order).drop("yyyymm")
 
 
+_N_DAYS = "(SELECT datediff('day', min(invoice_ts), max(invoice_ts)) + 1 AS n FROM sales)"
+_IN_STORE = "SELECT * FROM stage WHERE source_system = 'SA_INSTORE'"
+
+
 @query(
     warehouse(
-        """
+        f"""
         SELECT 'ce_sales' AS table_name, count(*) AS n_rows FROM sales
         UNION ALL SELECT 'ce_category', count(*) + 1 FROM cat
         UNION ALL SELECT 'ce_product', count(*) + 1 FROM prod
+        UNION ALL SELECT 'ce_retailer', count(*) + 1 FROM ret
+        UNION ALL SELECT 'ce_sales_method', count(*) + 1 FROM sales_method
+        UNION ALL SELECT 'ce_payment_method', count(*) + 1 FROM payment_method
+        UNION ALL SELECT 'ce_region', count(DISTINCT region_id) + 1 FROM ({_IN_STORE})
+        UNION ALL SELECT 'ce_state', count(DISTINCT state_id) + 1 FROM ({_IN_STORE})
+        UNION ALL SELECT 'ce_city', count(DISTINCT city_id) + 1 FROM ({_IN_STORE})
+        UNION ALL SELECT 'ce_customer_scd', count(*) + 1 FROM cust
+        UNION ALL SELECT 'src_instore_sales', count(*) FROM ({_IN_STORE})
+        UNION ALL SELECT 'src_online_sales', count(*) FROM stage WHERE source_system = 'SA_ONLINE'
+        UNION ALL SELECT 'load_rejects', count(*) FROM stg WHERE source_system IS NULL
+        UNION ALL SELECT 'constraint_violations', count(*) FROM sales WHERE sale_src_id IS NULL
+        UNION ALL SELECT 'dim_date', n + 3 FROM {_N_DAYS}
         UNION ALL SELECT 'dim_product', count(*) + 1 FROM dprod
         UNION ALL SELECT 'dim_retailer', count(*) + 1 FROM dret
         UNION ALL SELECT 'dim_geography', count(*) + 1 FROM dgeo
         UNION ALL SELECT 'dim_sales_method', count(*) + 1 FROM dsm
         UNION ALL SELECT 'dim_payment_method', count(*) + 1 FROM dpm
         UNION ALL SELECT 'dim_customer', count(*) + 1 FROM dcust
+        UNION ALL SELECT 'fct_sales', count(*) FROM fact WHERE {_IN_WINDOW}
         """
     )
 )
 def table_counts(spark, sf_dir):
+    """Rows of every table. The calendar has the sale days, the unknown date and the two
+    ends of all validity."""
     store = warehouse_of(spark, sf_dir)
-    listed = [
-        "ce_sales", "ce_category", "ce_product", "dim_product", "dim_retailer", "dim_geography",
-        "dim_sales_method", "dim_payment_method", "dim_customer",
-    ]
-    return verify.table_counts({t: store.read(t) for t in listed})
+    return verify.table_counts({t: store.read(t) for t in schemas.TABLES})
 
 
 @query(
@@ -572,60 +587,57 @@ def customer_history(spark, sf_dir):
     return listed.select("customer_src_id", "full_name", "start_date_key", "end_date_key")
 
 
-@query(
-    warehouse(
-        """
-        SELECT log_id, procedure_name, rows_affected, message FROM (
-          SELECT 9 AS log_id, 'load_sales' AS procedure_name,
-            (SELECT count(*) FROM sales) AS rows_affected,
-            'read=' || (SELECT count(*) FROM stage) || ', without id or time=0, known or merged='
-              || ((SELECT count(*) FROM stage) - (SELECT count(*) FROM sales)) AS message
-          UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
-            'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
-          UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
-            'dim_customer: ins=' || (SELECT count(*) FROM dcust) || ', upd=0'
-          UNION ALL SELECT 17, 'load_dimensions', 0, 'all dimensions loaded')
-        """
-    )
-)
+_LOG_LINES = f"""
+    SELECT log_id, procedure_name, CAST(rows_affected AS BIGINT) AS rows_affected, message FROM (
+      SELECT CASE k.entity WHEN 'src_instore_sales' THEN 1 ELSE 2 END AS log_id, 'stage_' || k.entity AS procedure_name,
+        n AS rows_affected, 'read=' || m || ', kept=' || n || ', duplicates=' || (m - n) || ', rejects=0' AS message
+      FROM (SELECT lower(source_entity) || '_sales' AS entity, count(*) AS m FROM stg GROUP BY ALL) k
+      JOIN (SELECT lower(source_entity) || '_sales' AS entity, count(*) AS n FROM stage GROUP BY ALL) USING (entity)
+      UNION ALL SELECT 3, 'load_category', (SELECT count(*) FROM cat), 'ok'
+      UNION ALL SELECT 4, 'load_retailer', (SELECT count(*) FROM ret), 'ok'
+      UNION ALL SELECT 5, 'load_methods', (SELECT count(*) FROM sales_method) + (SELECT count(*) FROM payment_method), 'ok'
+      UNION ALL SELECT 6, 'load_geo', (SELECT count(DISTINCT region_id) + count(DISTINCT state_id)
+        + count(DISTINCT city_id) FROM ({_IN_STORE})), 'ok'
+      UNION ALL SELECT 7, 'load_customer', (SELECT count(*) FROM cust), 'versions closed, opened or corrected'
+      UNION ALL SELECT 8, 'load_product', (SELECT count(*) FROM prod), 'ok'
+      UNION ALL SELECT 9, 'load_sales', (SELECT count(*) FROM sales),
+        'read=' || (SELECT count(*) FROM stage) || ', without id or time=0, known or merged='
+          || ((SELECT count(*) FROM stage) - (SELECT count(*) FROM sales))
+      UNION ALL SELECT 10, 'check_constraints', 0, 'ok'
+      UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
+        'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
+      UNION ALL SELECT 12, 'load_dim_retailer', (SELECT count(*) FROM dret),
+        'dim_retailer: ins=' || (SELECT count(*) FROM dret) || ', upd=0'
+      UNION ALL SELECT 13, 'load_dim_sales_method', (SELECT count(*) FROM dsm),
+        'dim_sales_method: ins=' || (SELECT count(*) FROM dsm) || ', upd=0'
+      UNION ALL SELECT 14, 'load_dim_payment_method', (SELECT count(*) FROM dpm),
+        'dim_payment_method: ins=' || (SELECT count(*) FROM dpm) || ', upd=0'
+      UNION ALL SELECT 15, 'load_dim_geography', (SELECT count(*) FROM dgeo),
+        'dim_geography: ins=' || (SELECT count(*) FROM dgeo) || ', upd=0'
+      UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
+        'dim_customer: ins=' || (SELECT count(*) FROM dcust) || ', upd=0'
+      UNION ALL SELECT 17, 'load_dimensions', 0, 'all dimensions loaded'
+      UNION ALL SELECT 18, 'build_calendar', n, 'ok' FROM {_N_DAYS}
+      UNION ALL SELECT 19, 'refresh_fact', (SELECT count(*) FROM fact WHERE {_IN_WINDOW}),
+        (SELECT CAST(CAST(w0 AS DATE) AS VARCHAR) || '..' || CAST(CAST(w1 - INTERVAL 1 DAY AS DATE) AS VARCHAR) FROM win))
+"""
+
+
+@query(warehouse(_LOG_LINES))
 def audit_log_latest(spark, sf_dir):
-    """Chosen lines of the log of a whole load."""
+    """The newest line of every step of a whole load."""
     store = warehouse_of(spark, sf_dir)
     log = AuditLog(spark, f"{store.root}/_log")
-    wanted = ["load_sales", "load_dim_product", "load_dim_customer", "load_dimensions"]
-    lines = [log.latest(1, step) for step in wanted]
-    both = reduce(DataFrame.unionByName, lines)
+    steps = [r[0] for r in log.rows().select("procedure_name").distinct().collect()]
+    both = reduce(DataFrame.unionByName, [log.latest(1, step) for step in steps])
     return both.select("log_id", "procedure_name", "rows_affected", "message")
 
 
-@query(
-    warehouse(
-        f"""
-        SELECT 19 AS log_id, 'refresh_fact' AS procedure_name,
-          (SELECT count(*) FROM fact WHERE {_IN_WINDOW}) AS rows_affected,
-          (SELECT CAST(CAST(w0 AS DATE) AS VARCHAR) || '..' || CAST(CAST(w1 - INTERVAL 1 DAY AS DATE) AS VARCHAR)
-           FROM win) AS message
-        UNION ALL SELECT 17, 'load_dimensions', 0, 'all dimensions loaded'
-        UNION ALL SELECT 16, 'load_dim_customer', (SELECT count(*) FROM dcust),
-          'dim_customer: ins=' || (SELECT count(*) FROM dcust) || ', upd=0'
-        UNION ALL SELECT 15, 'load_dim_geography', (SELECT count(*) FROM dgeo),
-          'dim_geography: ins=' || (SELECT count(*) FROM dgeo) || ', upd=0'
-        UNION ALL SELECT 14, 'load_dim_payment_method', (SELECT count(*) FROM dpm),
-          'dim_payment_method: ins=' || (SELECT count(*) FROM dpm) || ', upd=0'
-        UNION ALL SELECT 13, 'load_dim_sales_method', (SELECT count(*) FROM dsm),
-          'dim_sales_method: ins=' || (SELECT count(*) FROM dsm) || ', upd=0'
-        UNION ALL SELECT 12, 'load_dim_retailer', (SELECT count(*) FROM dret),
-          'dim_retailer: ins=' || (SELECT count(*) FROM dret) || ', upd=0'
-        UNION ALL SELECT 11, 'load_dim_product', (SELECT count(*) FROM dprod),
-          'dim_product: ins=' || (SELECT count(*) FROM dprod) || ', upd=0'
-        UNION ALL SELECT 10, 'check_constraints', 0, 'ok'
-        """
-    )
-)
+@query(warehouse(f"SELECT * FROM ({_LOG_LINES}) ORDER BY log_id DESC LIMIT 10"))
 def audit_log_newest(spark, sf_dir):
-    """The ten newest lines of the log of a whole load (but the calendar's)."""
+    """The ten newest lines of the log of a whole load."""
     store = warehouse_of(spark, sf_dir)
-    lines = AuditLog(spark, f"{store.root}/_log").latest(10).filter("procedure_name <> 'build_calendar'")
+    lines = AuditLog(spark, f"{store.root}/_log").latest(10)
     return lines.select("log_id", "procedure_name", "rows_affected", "message")
 
 
