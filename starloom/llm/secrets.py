@@ -2,8 +2,9 @@
 
 Three fixed patterns find what looks like a secret by itself. Beyond them, the lexer
 reads source and configuration syntax (``NAME = "..."``, ``name: value``,
-``"name": "..."``, ``name => '...'``, joined literals) into name-literal pairs, carries
-constants through names that stand for them (``KEY = "..."; db.password = KEY``), and
+``"name": "..."``, ``name => '...'``, annotated names, subscripts, ``#define``, elements,
+joined and long literals) into name-literal pairs, carries constants through names that
+stand for them (``KEY = "..."; db.password = KEY``), in whatever order they stand, and
 scores each literal by how sensitive its target name is and how random it looks.
 """
 
@@ -43,8 +44,25 @@ FLAG = 5.0
 _ASSIGN_HINTS = (b"passw", b"secret", b"token", b"key")
 _IS_HEX = bytes(0x68 if chr(b) in "0123456789abcdef" else 0x20 for b in range(256))
 _RUN = b"h" * LEAST["hex"]
-_STATEMENT = re.compile(rb"""(?<![\w.$-])(["']?)([A-Za-z_$][\w.$-]*+)\1[ \t]*(?:=>|:=|=(?!=)|:(?!:))[ \t]*""")
-_TERM = re.compile(rb""""((?:[^"\\\r\n]|\\.)*)"|'((?:[^'\\\r\n]|\\.)*)'|([A-Za-z0-9_$+/.=-]+)""")
+_QUOTE = rb"""[rbfuRBFU]{0,2}["'`]"""
+_STATEMENT = re.compile(
+    rb"""(?<![\w.$-])(?:(["'])([A-Za-z_$][\w.$-]*+)\1\]?|([A-Za-z_$][\w.$-]*+))[ \t]*"""  # name, "name", ["name"]
+    rb"""(?::[ \t]*[A-Za-z_&*][\w.\[\], |&<>*?]*+=[ \t]*(?=%s)|=>|:=|=(?!=)|:(?!:))[ \t]*"""  # : type =, or a sign
+    rb"""(?:[(\[{][ \t]*\r?\n\s*(?=%s)|\\\r?\n[ \t]*)?""" % (_QUOTE, _QUOTE)  # the literal on the next line
+)
+_DEFINE = re.compile(rb"#[ \t]*define[ \t]+([A-Za-z_]\w*+)[ \t]+")
+_ELEMENT = re.compile(rb"<([A-Za-z_][\w.-]*+)>[ \t]*([^<>\r\n]*[^<>\s])\s*</\1>")
+_BLOCK = re.compile(rb"[|>][+-]?[ \t]*\r?\n")
+_BLOCK_LINE = re.compile(rb"([ \t]+)([^\s][^\r\n]*)(?:\r?\n|\Z)")
+_TERM = re.compile(
+    rb'[rbfuRBFU]{0,2}"""((?:[^\\]|\\.)*?)"""'
+    rb"|[rbfuRBFU]{0,2}'''((?:[^\\]|\\.)*?)'''"
+    rb'|[rbfuRBFU]{0,2}"((?:[^"\\\r\n]|\\.)*)"'
+    rb"|[rbfuRBFU]{0,2}'((?:[^'\\\r\n]|\\.)*)'"
+    rb"|`((?:[^`\\]|\\.)*)`"
+    rb"|([A-Za-z0-9_$+/.=-]+)",
+    re.DOTALL,
+)
 _JOIN = re.compile(rb"[ \t]*[+.][ \t]*(?=[\"'A-Za-z_$])|[ \t]+(?=[\"'])")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -114,35 +132,72 @@ def literal_score(value: str) -> float:
     return Value([(value, 0, 0)]).score()
 
 
+def _terms(data: bytes, at: int) -> list:
+    parts = []
+    while t := _TERM.match(data, at):
+        quoted = t.lastindex != 6
+        parts.append((t[t.lastindex], quoted, *t.span(t.lastindex)))
+        at = t.end()
+        if not (j := _JOIN.match(data, at)) or not quoted and j[0].isspace():
+            break
+        at = j.end()
+    return parts
+
+
+def _block(data: bytes, at: int) -> list:
+    """The lines of a block scalar that begins at ``at``: those indented as far as the
+    first, or further."""
+    parts, indent = [], 0
+    while (line := _BLOCK_LINE.match(data, at)) and len(line[1]) >= indent:
+        indent = indent or len(line[1])
+        parts.append((line[2], True, *line.span(2)))
+        at = line.end()
+    return parts
+
+
 def pairs(data: bytes):
-    """(name, parts) of each assignment; a part is (literal or name, is a
+    """(name, parts) of each assignment, in order; a part is (literal or name, is a
     literal, start, end) in bytes."""
+    found = []
     for m in _STATEMENT.finditer(data):
-        at, parts = m.end(), []
-        while t := _TERM.match(data, at):
-            quoted = t.lastindex != 3
-            parts.append((t[t.lastindex], quoted, *t.span(t.lastindex)))
-            at = t.end()
-            if not (j := _JOIN.match(data, at)) or not quoted and j[0].isspace():
-                break
-            at = j.end()
+        block = _BLOCK.match(data, m.end()) if data[m.end() : m.end() + 1] in (b"|", b">") else None
+        parts = _block(data, block.end()) if block else _terms(data, m.end())
+        found.append((m.start(), m[2] or m[3], parts))
+    if b"define" in data:
+        found += [(m.start(), m[1], _terms(data, m.end())) for m in _DEFINE.finditer(data)]
+    if b"</" in data:
+        found += [(m.start(), m[1], [(m[2], True, *m.span(2))]) for m in _ELEMENT.finditer(data)]
+    for _, name, parts in sorted(found, key=lambda x: x[0]):
         if parts:
-            yield m[2].decode("latin-1"), parts
+            yield name.decode("latin-1"), parts
 
 
 def sensitive_literals(data: bytes) -> list[tuple[int, int]]:
-    """Spans of literals that reach a sensitive name, directly or through names."""
+    """Spans of literals that reach a sensitive name, directly or through names, which
+    may be given their literal later on."""
     known: dict[str, Value] = {}
     flagged: list[Value] = []
+    ahead: list[tuple[int, list]] = []  # targets with names that stand for nothing yet
+
+    def judge(target, value):
+        if target >= 2 and target + value.score() >= FLAG:
+            flagged.append(value)
+
     for name, parts in pairs(data):
-        held = []
+        held, open_names = [], False
         for raw, quoted, a, b in parts:
             text = raw.decode("utf-8", "replace")
+            open_names |= not quoted and text not in known
             held.append((text, a, b) if quoted or text not in known else known[text])
         known[name] = value = Value(held)
         target = name_score(name)
-        if target >= 2 and target + value.score() >= FLAG:
-            flagged.append(value)
+        judge(target, value)
+        if open_names and target >= 2:
+            ahead.append((target, held))
+    for target, held in ahead:
+        later = [p if isinstance(p, Value) or p[0] not in known else known[p[0]] for p in held]
+        if any(p is not q for p, q in zip(held, later)):
+            judge(target, Value(later))
     out, met = set(), set()
     while flagged:
         value = flagged.pop()
@@ -166,7 +221,7 @@ def scan(data: bytes) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in _ACCESS.finditer(data) if len(m[0]) >= LEAST["access"]]
     if _RUN in data.translate(_IS_HEX):
         found += [("hex", *m.span()) for m in _HEX.finditer(data) if len(m[0]) >= LEAST["hex"]]
-    if assigns:
+    if assigns or b"</" in data or b"define" in data:
         found += [("literal", a, b) for a, b in sensitive_literals(data)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

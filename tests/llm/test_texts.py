@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -208,6 +209,50 @@ def test_long_constants_and_names():
     assert literals('A = "q8Zr71change"\nB = A + "me"\nbearer = B + "q8Zr71LmX02pW4"\n') == []
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        'password: str = "{}"',
+        "api_token: Optional[str] = '{}'",
+        'let secret: &str = "{}";',
+        'os.environ["API_TOKEN"] = "{}"',
+        "config['db']['password'] = '{}'",
+        'db_password = """{}"""',
+        "db_password = '''{}'''",
+        'password = f"{}"',
+        "secret = b'{}'",
+        "const apiKey = `{}`;",
+        'password = (\n    "{}"\n)',
+        'password = \\\n    "{}"',
+        "password: |\n  {}\nname: x",
+        "outer:\n  secret_key: >-\n    {}\n  other: y",
+        "<password>{}</password>",
+        '#define API_TOKEN "{}"',
+        'db.password = KEY\nKEY = "{}"',
+        'password: "{}"',
+        "export TOKEN={}",
+    ],
+)
+def test_literals_in_many_notations(source):
+    for literal in ("q8Zr71LmX02pW4", "zX81-kkQ2_LLw9"):
+        assert literals(source.replace("{}", literal)) == [literal]
+        assert literals(source.replace("{}", "changeme")) == []
+    plain = re.sub("(?i)password|passwd|api_?token|apikey|secret(_key)?|token", "colour", source)
+    assert literals(plain.replace("{}", "q8Zr71LmX02pW4")) == []
+
+
+def test_lexing_ends_on_anything():
+    rng = random.Random(14)
+    parts = ['"""', "'''", "password", " = ", ": ", "(", "\n", "  ", "|", "`", "\\", "<secret>", "</secret>", "#define ", "f", '"', "K1x9Qz", "[", "]", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        for kind, a, b in secrets.scan(text.encode()):
+            assert 0 <= a < b <= len(text.encode())
+    began = time.perf_counter()
+    secrets.scan(b'password = """' * 4000 + b"token: int, " * 4000 + b"<secret>" * 4000)
+    assert time.perf_counter() - began < 5
+
+
 def test_literal_scores_over_parts():
     rng = random.Random(13)
     pieces = ["q8", "Zr 71", "place", "holder", "x", "xx", "é", "ß", "TODO", "your", "_", "${", "", "LmX02pW4"]
