@@ -30,7 +30,10 @@ from starloom.llm.bounded import hash_sample
 
 #: Vectors that lists, rotation and probed share are fitted on at most.
 FIT_ROWS = 20_000
-MOST_LISTS = 1_024
+#: Centres of one level: beyond so many lists, each is parted by a second level.
+MOST_CENTRES = 1_024
+#: Coarse centres within whose lists a vector looks for the nearest ones, at least.
+WIDE = 32
 TARGET = 0.96
 EPSILON = 2.1
 BLOCK = 16
@@ -42,6 +45,7 @@ CHUNK = 512
 @dataclass(frozen=True)
 class Index:
     centres: np.ndarray  # of extended vectors
+    inner: np.ndarray  # second level: centres of what is left of a vector after its first
     rotation: np.ndarray
     longest: float  # the length of all extended vectors
     probes: int
@@ -52,9 +56,25 @@ class Index:
         rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest**2 - (x**2).sum(1), 0))
         return np.column_stack((x, rest))
 
+    @property
+    def lists(self) -> int:
+        return len(self.centres) * len(self.inner)
+
     def nearest_lists(self, x: np.ndarray, n: int, query: bool = False) -> np.ndarray:
-        near = self.extended(x, query) @ self.centres.T - 0.5 * (self.centres**2).sum(1)
-        return np.argsort(-near, axis=1, kind="stable")[:, :n]
+        """Numbers of the (at most) n lists whose centres are nearest, nearest first. A
+        list's centre is one of the first level and one of the second, added up."""
+        x = self.extended(x, query)
+        near = x @ self.centres.T - 0.5 * (self.centres**2).sum(1)
+        k = len(self.inner)
+        if k == 1:
+            return np.argsort(-near, axis=1, kind="stable")[:, :n]
+        wide = min(len(self.centres), max(WIDE, 2 * -(-n // k)))
+        top = np.argsort(-near, axis=1, kind="stable")[:, :wide]
+        between = self.centres @ self.inner.T + 0.5 * (self.inner**2).sum(1)
+        both = np.take_along_axis(near, top, 1)[:, :, None] + (x @ self.inner.T)[:, None] - between[top]
+        numbers = (top[:, :, None] * k + np.arange(k)).reshape(len(x), -1)
+        order = np.argsort(-both.reshape(len(x), -1), axis=1, kind="stable")[:, :n]
+        return np.take_along_axis(numbers, order, 1)
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -69,6 +89,17 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(F.size("vec") == (top["dim"] if top else 0))
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """One vector of each id: of several, the smallest component by component. Only the
+    ids are shuffled where no id stands twice."""
+    twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    twice = materialise(twice, "twice")
+    if twice.isEmpty():
+        return rows
+    least = rows.join(twice, "id").groupBy("id").agg(F.min("vec").alias("vec"))
+    return rows.join(twice, "id", "left_anti").unionByName(least)
+
+
 def _matrix(vectors) -> np.ndarray:
     return np.array([np.asarray(v, np.float64) for v in vectors])
 
@@ -94,24 +125,33 @@ def build(rows: DataFrame, k: int, fit_rows: int = FIT_ROWS, target: float = TAR
     sample = hash_sample(rows, "id", fit_rows, facts["n"]).toPandas()
     ids, x = sample["id"].to_numpy(np.int64), _matrix(sample["vec"])
     rng = np.random.default_rng(seed)
-    lists = int(min(MOST_LISTS, max(1, round(facts["n"] ** 0.5)), len(x)))
+    lists = max(1, round(facts["n"] ** 0.5))  # as many as a list has vectors
+    coarse = int(min(MOST_CENTRES, lists, len(x)))
     rotation, _ = np.linalg.qr(rng.standard_normal((x.shape[1] + 1, x.shape[1] + 1)))
-    index = Index(np.zeros((1, x.shape[1] + 1)), rotation, float(facts["longest"]), 1, ids, x)
+    none = np.zeros((1, x.shape[1] + 1))
+    index = Index(none, none, rotation, float(facts["longest"]), 1, ids, x)
     extended = index.extended(x)
-    centres = _kmeans(extended, lists, rng)
-    index = Index(centres, rotation, index.longest, 1, ids, x)
+    centres = _kmeans(extended, coarse, rng)
+    own = (extended @ centres.T - 0.5 * (centres**2).sum(1)).argmax(1)
+    parts = int(min(-(-lists // coarse), len(x)))
+    inner = _kmeans(extended - centres[own], parts, rng) if parts > 1 else none
+    index = Index(centres, inner, rotation, index.longest, 1, ids, x)
     # of how many lists must a query of the sample look into the nearest?
     asked = np.arange(0, len(x), max(1, len(x) // 400))
-    dots = x[asked] @ x.T
-    dots[np.arange(len(asked)), asked] = -np.inf
-    best = np.argsort(-dots, axis=1)[:, : min(k, len(x) - 1)]
-    place = np.empty((len(asked), lists), np.int64)
-    np.put_along_axis(place, index.nearest_lists(x[asked], lists, True), np.arange(lists)[None].repeat(len(asked), 0), 1)
-    own = (extended @ centres.T - 0.5 * (centres**2).sum(1)).argmax(1)
-    depth = np.sort(np.take_along_axis(place, own[best], 1).ravel())
+    own = np.concatenate([index.nearest_lists(x[a : a + CHUNK], 1)[:, 0] for a in range(0, len(x), CHUNK)])
+    depth = []
+    for some in np.array_split(asked, -(-len(asked) * index.lists // 2_000_000)):
+        dots = x[some] @ x.T
+        dots[np.arange(len(some)), some] = -np.inf
+        best = np.argsort(-dots, axis=1)[:, : min(k, len(x) - 1)]
+        ranked = index.nearest_lists(x[some], index.lists, True)
+        place = np.full((len(some), index.lists), index.lists, np.int64)
+        np.put_along_axis(place, ranked, np.arange(ranked.shape[1])[None].repeat(len(some), 0), 1)
+        depth.append(np.take_along_axis(place, own[best], 1).ravel())
+    depth = np.sort(np.concatenate(depth))
     probes = int(depth[min(len(depth) - 1, int(np.ceil(target * len(depth))))]) + 1 if len(depth) else 1
     few = rng.choice(len(x), min(len(x), 4_096), replace=False)
-    return Index(centres, rotation, index.longest, probes, ids[few], x[few])
+    return Index(centres, inner, rotation, index.longest, min(probes, index.lists), ids[few], x[few])
 
 
 def _top(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int):
@@ -171,14 +211,15 @@ def search(
 
     Null ids, and vectors that are null, empty, zero, of another dimension than most,
     or hold null or non-finite components take no part on either side. Repeated rows
-    are one candidate. Other columns are not read.
+    are one candidate or query, and so are several vectors of one id: the smallest
+    component by component. Other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, key, vector)
+    rows = one_each(usable(vectors, key, vector))
     index = build(rows, k, fit_rows, target)
     if index is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    asks = usable(queries, key, vector).filter(F.size("vec") == index.sample.shape[1])
+    asks = one_each(usable(queries, key, vector).filter(F.size("vec") == index.sample.shape[1]))
     sent = spark.sparkContext.broadcast(index)
     kind = rows.schema["vec"].dataType.simpleString()
 
@@ -215,11 +256,11 @@ def search(
     # a list is scanned in cells of bounded size, however many vectors or queries it has
     sizes = placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).toPandas()
     loads = probing.groupBy("list").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    parts = pd.DataFrame({"list": np.arange(len(index.centres))})
+    parts = pd.DataFrame({"list": np.arange(index.lists)})
     for name, of in (("x_parts", sizes), ("q_parts", loads)):
         counts = of.set_index("list")["n"].reindex(parts["list"]).fillna(0)
         parts[name] = np.maximum(1, -(-counts.to_numpy() // CELL)).astype(int)
-    parts = F.broadcast(spark.createDataFrame(parts))  # a row for each list, a bounded number
+    parts = spark.createDataFrame(parts)  # a row for each list: the root of the number of vectors
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     all_parts = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     cells = ["list", "x_part", "q_part"]
@@ -231,8 +272,6 @@ def search(
     def cell(_, xs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(xs) or not len(qs):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        xs = xs.drop_duplicates("id")
-        qs = qs.drop_duplicates("id")
         q_ids = qs["id"].to_numpy(np.int64)
         at, score, ids = scan(
             sent.value, q_ids, _matrix(qs["vec"]), qs["limit"].to_numpy(), xs["id"].to_numpy(np.int64), _matrix(xs["vec"]), k

@@ -33,8 +33,8 @@ LEAST_CHUNK = 64
 #: Digests of shared chunks that go to the workers: at most 8 MB.
 SHARED_DIGESTS = 1_000_000
 #: Bytes of encoded shared chunks, and number of pieces, that a worker keeps.
-CHUNK_CACHE_BYTES = 96 << 20
-PIECE_CACHE = 500_000
+CHUNK_CACHE_BYTES = 48 << 20
+PIECE_CACHE = 250_000
 LONGEST_KEPT = 64
 
 # White space of the pre-tokenizer's pattern beyond ASCII, with the

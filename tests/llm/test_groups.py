@@ -368,7 +368,9 @@ def test_registered_line_removal_takes_short_repeats(spark, documents, tmp_path)
 # ------------------------------------------------------------------ vectors
 
 
-def test_search_recall_and_order(spark):
+@pytest.mark.parametrize("most", [1024, 6])
+def test_search_recall_and_order(spark, monkeypatch, most):
+    monkeypatch.setattr(ann, "MOST_CENTRES", most)
     rng = np.random.default_rng(21)
     centres = rng.standard_normal((20, 24))
     x = (centres[rng.integers(0, 20, 4000)] + 0.5 * rng.standard_normal((4000, 24))).astype(np.float32)
@@ -392,12 +394,21 @@ def test_search_recall_and_order(spark):
         assert [(-round(s, 9), v) for _, v, s in hits] == sorted((-round(s, 9), v) for _, v, s in hits)
         assert all(abs(s - dots[v]) < 1e-9 for _, v, s in hits)
     assert np.mean(recall) >= 0.95
+    index = ann.build(ann.one_each(ann.usable(vectors, "vec_id", "embedding")), 20, 1500)
+    assert (len(index.inner) > 1) == (most == 6) and 60 <= index.lists <= 70 and index.probes < index.lists
     few = vectors.filter("vec_id < 5")
     assert ann.search(few, few, k=20).count() == 20  # four others each
     assert ann.search(vectors.filter("vec_id > 9000 AND vec_id <> 9005"), vectors, k=3).count() == 0
     assert ann.search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_several_vectors_of_one_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 9.0]), (1, [0.0, 9.0]), (2, [2.0, 1.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(map(tuple, ann.search(vectors, vectors.filter("vec_id = 1"), k=5).collect()))
+    assert got == [(1, 1, 2, 9.0), (1, 2, 3, 9.0)]
+
+
 # --------------------------------------------------------------------- WARC
 
 
