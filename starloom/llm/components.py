@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from starloom.context import materialise
 from starloom.llm.arrow import arrow_schema, in_batches, slices
 from starloom.llm.hashing import mix
-from starloom.operators.lookup import spread_join
+from starloom.operators.lookup import Census, spread_join
 
 #: Rounds with one leader in each bucket, before pairs across components.
 STAR_ROUNDS = 3
@@ -130,6 +130,7 @@ def linked_components(
     marks: DataFrame,
     table: Callable[[list[bytes]], object],
     near: Callable[[object, np.ndarray, np.ndarray], np.ndarray],
+    first: Callable[[object, np.ndarray, np.ndarray], np.ndarray] | None = None,
     star_rounds: int = STAR_ROUNDS,
 ) -> DataFrame:
     """``id`` and ``comp`` of the ids that are linked with others.
@@ -138,8 +139,9 @@ def linked_components(
     (a, b), a < b, and returns those that link. ``marks`` (id, lane, mark) has a short
     sketch of each id, and a lane that links never leave by more than one. ``table`` puts
     some marks in order for ``near``, which tells of pairs of their places whether they
-    may link. Every pair that shares a bucket is tested unless its two sides are in one
-    component already or lanes or marks rule it out.
+    may link; ``first``, if the marks tell it, gives the signature in whose bucket alone a
+    pair is to be returned. Every pair that shares a bucket is tested unless its two
+    sides are in one component already or lanes or marks rule it out.
     """
     members = buckets.withColumn("comp", F.col("id"))
     known = None  # id, comp of all that linked so far
@@ -165,7 +167,7 @@ def linked_components(
             found = members.filter("comp <> lead_comp")
             found = found.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b"))
         else:
-            found = _across(members.select("sig", "id", "comp"), marks, table, near)
+            found = _across(members.select("sig", "id", "comp"), marks, table, near, first)
         known, more = settle(found, known)
         members = members.drop("lead_id", "lead_comp")
         if more:
@@ -177,7 +179,7 @@ def linked_components(
 _CELL = ["sig", "lane", "i", "j"]
 
 
-def _across(members: DataFrame, marks: DataFrame, table, near) -> DataFrame:
+def _across(members: DataFrame, marks: DataFrame, table, near, first) -> DataFrame:
     """Pairs (a, b) of different components in one bucket that lanes and marks allow."""
     big = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL).select("sig")
     big = materialise(big, "big")
@@ -201,7 +203,7 @@ def _across(members: DataFrame, marks: DataFrame, table, near) -> DataFrame:
         ends = (F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"))
         cells = small.unionByName(laned.select("sig", "lane", *ends, "block", "own", *body))
     dealt = cells.repartition(*_CELL).sortWithinPartitions(*_CELL)
-    return in_batches(dealt, _compare(table, near), "a bigint, b bigint")
+    return in_batches(dealt, _compare(table, near, first), "a bigint, b bigint")
 
 
 def _pairs_of(starts: np.ndarray, ends: np.ndarray):
@@ -227,7 +229,7 @@ def _pairs_of(starts: np.ndarray, ends: np.ndarray):
         yield tuple(np.concatenate(k) for k in zip(*held))
 
 
-def _compare(table, near):
+def _compare(table, near, first):
     schema = arrow_schema("a bigint, b bigint")
 
     def compared(rows):
@@ -242,6 +244,9 @@ def _compare(table, near):
             good &= own[i] | own[j]
             good &= (column["i"][i] == column["j"][i]) | (column["block"][i] != column["block"][j])
             i, j = i[good], j[good]
+            if first is not None:  # a pair that shares many buckets is met in one of them
+                good = first(marks, i, j) == column["sig"][i]
+                i, j = i[good], j[good]
             good = near(marks, i, j)
             a, b = column["id"][i[good]], column["id"][j[good]]
             yield np.minimum(a, b), np.maximum(a, b)
@@ -277,18 +282,28 @@ def _compare(table, near):
     return run
 
 
-def filter_pairs(pairs: DataFrame, items: DataFrame, columns: list[str], keep) -> DataFrame:
-    """The pairs (a, b) of a stored frame for whose items ``keep`` (given the columns of
-    a, then of b) holds. An item of many pairs is spread over several tasks."""
-    census = pairs
+def filter_pairs(pairs: DataFrame, items: DataFrame, column: str, keep) -> DataFrame:
+    """The pairs (a, b) of a stored frame that ``keep`` tells to keep, given lists of the
+    ``column`` of their two items. An item of many pairs is spread over several tasks."""
+    census = Census(pairs, ["a"], ["b"])
     for side in "ab":
-        named = items.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        named = items.select(F.col("id").alias(side), F.col(column).alias(f"of_{side}"))
         pairs = spread_join(pairs, named, [side], "inner", census=census)
-    pairs = pairs.select("a", "b", *(f"{c}_a" for c in columns), *(f"{c}_b" for c in columns))
+    pairs = pairs.select("a", "b", "of_a", "of_b")
 
     def run(batches):
         for part in slices(batches):
-            good = [keep(*row) for row in zip(*(c.to_pylist() for c in part.columns[2:]))]
+            good = keep(*(c.to_pylist() for c in part.columns[2:]))
             yield pa.RecordBatch.from_arrays(list(part.columns[:2]), names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return in_batches(pairs, run, "a bigint, b bigint")
+
+
+def near_pairs(table, near):
+    """What of :func:`linked_components` tells of marks, as ``keep`` of :func:`filter_pairs`."""
+
+    def keep(xs, ys):
+        at = np.arange(len(xs))
+        return near(table(xs + ys), at, at + len(xs)) if xs else []
+
+    return keep

@@ -10,10 +10,12 @@ more often the fewer tokens there are: the number of places follows the size lev
 bit length of the size). Sets that link differ by one level at most, so a set has
 registers for each level that a smaller partner can have.
 
-Registers are signed in bands, as long as pairs at the limit still share one. Sets that share a band are compared by the
-share of equal registers, less the expected collisions; what may link by that estimate,
-with seven standard deviations to spare, is tested on the full sets. A pair at the
-limit of 85 % is missed with a probability of about 3e-9, and less above it.
+Registers are signed in bands, as long as pairs at the limit still share one. Sets that
+share a band are compared, in the bucket of their first common band, by the share of
+equal registers, less the expected collisions: what may link by that estimate, with
+seven standard deviations to spare, and by a bitmap of parities, is tested on the full
+sets. A pair at the limit of 85 % is missed with a probability of about 3e-9, and less
+above it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm import shingles
 from starloom.llm.hashing import mix
 from starloom.llm.set_join import narrowed, set_components
 
@@ -74,21 +77,32 @@ def registers(tokens: np.ndarray, level: int) -> np.ndarray:
     return np.where(filled, np.minimum(made, EMPTY - 1), EMPTY).astype(np.uint8)
 
 
+def _hashes(bands: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Signatures of bands; a band's number tells its place and level."""
+    size = bands.shape[-1]
+    return mix((bands.astype(np.uint64) * _TIMES[:size]).sum(-1, dtype=np.uint64) + mix(number))
+
+
+def _bands(rows: np.ndarray, percent: int) -> np.ndarray:
+    size = band_length(percent)
+    return rows[..., : BUCKETS // size * size].reshape(*rows.shape[:-1], BUCKETS // size, size)
+
+
 def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """A hash for each band of registers that is not empty, at each level."""
-    out, size = [], band_length(percent)
+    out = []
     for level in levels(len(tokens), percent):
-        bands = registers(tokens, level)[: BUCKETS // size * size].reshape(-1, size)
-        number = np.arange(len(bands), dtype=np.uint64) + np.uint64(level * BUCKETS)
-        h = mix((bands.astype(np.uint64) * _TIMES[:size]).sum(1, dtype=np.uint64) + mix(number))
+        bands = _bands(registers(tokens, level), percent)
+        h = _hashes(bands, np.arange(len(bands), dtype=np.uint64) + np.uint64(level * BUCKETS))
         out.append(h[(bands != EMPTY).any(1)])
     return np.concatenate(out)
 
 
 def mark(tokens: np.ndarray, percent: int = PERCENT) -> bytes:
-    """Size, and registers of each level from the highest down."""
-    n = len(tokens)
-    return n.to_bytes(8, "little") + b"".join(registers(tokens, k).tobytes() for k in reversed(levels(n, percent)))
+    """Number of levels, registers of each from the highest down, and the mark of the set
+    itself (size and parities)."""
+    at = levels(len(tokens), percent)[::-1]
+    return bytes([len(at)]) + b"".join(registers(tokens, k).tobytes() for k in at) + shingles.mark(tokens)
 
 
 def collisions(n, m):
@@ -111,28 +125,48 @@ def _may(n, m, equal, filled, percent: int):
 
 
 def table(marks: list[bytes]):
-    """Sizes, their levels, and the registers of each mark."""
-    n = np.array([int.from_bytes(x[:8], "little") for x in marks], np.int64)
-    held = [np.frombuffer(x, np.uint8, offset=8).reshape(-1, BUCKETS) for x in marks]
-    first = np.cumsum([0, *map(len, held)])[:-1]
-    return n, np.array([int(k).bit_length() for k in n]), first, np.concatenate(held)
+    """Of marks: sizes, their levels, where their registers begin, how many levels they
+    have, all registers, and the table of the sets' own marks."""
+    count = np.array([x[0] for x in marks], np.int64)
+    ends = (1 + BUCKETS * count).tolist()
+    rows = np.frombuffer(b"".join(x[1:e] for x, e in zip(marks, ends)), np.uint8).reshape(-1, BUCKETS)
+    own = shingles.table([x[e:] for x, e in zip(marks, ends)])
+    high = np.array([int(k).bit_length() for k in own[0]])
+    return own[0], high, np.cumsum(count) - count, count, rows, own
 
 
 def near(held, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which of the pairs of places may link by the estimate, at the smaller's level."""
-    n, high, first, rows = held
-    good = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+    """Which of the pairs of places may link by the estimate, at the smaller's level, and
+    by their parities."""
+    n, high, start, _, rows, own = held
+    good = shingles.near(own, i, j, percent)
     for at in np.array_split(np.flatnonzero(good), len(i) // _PAIRS + 1):
         level = np.minimum(high[i[at]], high[j[at]])
-        a, b = (rows[first[k[at]] + high[k[at]] - level] for k in (i, j))
+        a, b = (rows[start[k[at]] + high[k[at]] - level] for k in (i, j))
         none = ((a == EMPTY) & (b == EMPTY)).sum(1)
         good[at] = _may(n[i[at]], n[j[at]], (a == b).sum(1) - none, BUCKETS - none, percent)
     return good
 
 
-def may_link(x: bytes, y: bytes, percent: int = PERCENT) -> bool:
-    """The same of two marks."""
-    return bool(near(table([x, y]), np.array([0]), np.array([1]), percent)[0])
+def first(held, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Signature of the first band, from the smaller's level down, that each pair of
+    places shares; zero if there is none."""
+    _, high, start, count, rows, _ = held
+    out = np.zeros(len(i), np.uint64)
+    for part in np.array_split(np.arange(len(i)), len(i) // _PAIRS + 1):
+        left, level = part, np.minimum(high[i[part]], high[j[part]])
+        while len(left):
+            down = [high[k[left]] - level for k in (i, j)]
+            some = (down[0] < count[i[left]]) & (down[1] < count[j[left]])
+            left, level = left[some], level[some]
+            a, b = (_bands(rows[start[k[left]] + high[k[left]] - level], percent) for k in (i, j))
+            same = (a == b).all(2) & (a != EMPTY).any(2)
+            at = same.argmax(1)
+            met = same[np.arange(len(left)), at]
+            number = (level * BUCKETS + at).astype(np.uint64)
+            out[left[met]] = _hashes(a[met, at[met]], number[met])
+            left, level = left[~met], level[~met] - 1
+    return out.view(np.int64)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -151,9 +185,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         percent,
         signatures=lambda tokens: signatures(tokens, percent),
         mark=lambda tokens: mark(tokens, percent),
-        may_link=lambda x, y: may_link(x, y, percent),
         table=table,
         near=lambda held, i, j: near(held, i, j, percent),
+        first=lambda held, i, j: first(held, i, j, percent),
     )
     kept = F.coalesce(F.col("key") == F.col("low"), F.lit(False))
     return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"), kept.alias("kept"))

@@ -145,6 +145,10 @@ def within(a: str, b: str, edits: int) -> bool:
     return any(r >> end & 1 for r in reach)
 
 
+def linked(a: str, b: str, edits: int) -> bool:
+    return within(a, b, int(allowed(min(len(a), len(b)), edits)))
+
+
 def _postings(edits: int):
     def run(batches):
         posted, seen = Poster(), set()
@@ -226,7 +230,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edi
     lane = F.floor(F.length("line") / (edits + 1)).cast("bigint").alias("lane")
     comp = linked_components(
         buckets,
-        lambda pairs: filter_pairs(pairs, items, ["line"], lambda x, y: within(x, y, int(allowed(min(len(x), len(y)), edits)))),
+        lambda pairs: filter_pairs(pairs, items, "line", lambda xs, ys: [linked(x, y, edits) for x, y in zip(xs, ys)]),
         items.select("id", lane, "mark"),
         table,
         lambda held, i, j: near(held, i, j, edits),

@@ -31,7 +31,7 @@ from starloom.llm.bounded import most_frequent
 from starloom.llm.hashing import mix, signed
 from starloom.llm.membership import bitmap, perhaps
 from starloom.llm.set_join import narrowed, set_components, sets_once
-from starloom.llm.shingles import mark, may_link, near, table
+from starloom.llm.shingles import mark, near, table
 
 SHINGLE = 5
 PERCENT = 80
@@ -181,7 +181,6 @@ def _components(docs: DataFrame, key: str, text: str, size: int, percent: int, r
         percent,
         signatures=lambda tokens: signatures(tokens, frequent.value, percent),
         mark=mark,
-        may_link=lambda x, y: may_link(x, y, percent),
         table=table,
         near=lambda held, i, j: near(held, i, j, percent),
     )

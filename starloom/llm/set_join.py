@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.context import materialise
 from starloom.llm.arrow import arrow_schema, in_batches, slices
-from starloom.llm.components import POSTINGS, Poster, filter_pairs, linked_components, shared_buckets
+from starloom.llm.components import POSTINGS, Poster, filter_pairs, linked_components, near_pairs, shared_buckets
 from starloom.llm.membership import bitmap, perhaps
 from starloom.llm.shingles import lane, links, set_id, shingle_set
 from starloom.operators.lookup import spread_join
@@ -50,15 +50,15 @@ def set_components(
     percent: int,
     signatures: Callable[[np.ndarray], np.ndarray],
     mark: Callable[[np.ndarray], bytes],
-    may_link: Callable[[bytes, bytes], bool],
     table: Callable[[list[bytes]], object],
     near: Callable[[object, np.ndarray, np.ndarray], np.ndarray],
+    first: Callable[[object, np.ndarray, np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
     """Rows (key, tag, n, low): the size of each row's set and the smallest key that
     links reach (100 * intersection of at least ``percent`` * union).
 
     Sets are candidates if ``signatures`` (unsigned hashes) of both have one in common
-    and their marks may link: ``may_link`` for two, ``near`` for pairs in a ``table``.
+    and their marks may link: see :func:`linked_components`.
     An empty set links with nothing.
     """
     context = narrow.sparkSession.sparkContext
@@ -97,14 +97,14 @@ def set_components(
     sent = [wanted]
 
     def test(pairs):
-        left = materialise(filter_pairs(pairs, marks, ["mark"], may_link), "near")
+        left = materialise(filter_pairs(pairs, marks, "mark", near_pairs(table, near)), "near")
         ends = left.select(F.col("a").alias("id")).unionByName(left.select(F.col("b").alias("id")))
         asked = context.broadcast(bitmap(ends, "id"))  # whole sets are moved for these only
         sent.append(asked)
         whole = materialise(items.select("id", "tokens").filter(perhaps(asked, "id")).dropDuplicates(["id"]), "whole")
-        return filter_pairs(left, whole, ["tokens"], lambda x, y: links(x, y, percent))
+        return filter_pairs(left, whole, "tokens", lambda xs, ys: [links(x, y, percent) for x, y in zip(xs, ys)])
 
-    comp = linked_components(buckets, test, marks, table, near)
+    comp = linked_components(buckets, test, marks, table, near, first)
     for held in sent:
         held.destroy()
     # a set or a component may hold a third of all rows: both joins spread such keys

@@ -64,11 +64,6 @@ def _may(n, m, apart, percent: int):
     return 100 * (n + m - apart) >= percent * (n + m + apart)
 
 
-def may_link(x: bytes, y: bytes, percent: int) -> bool:
-    """Whether two sets can link by their sizes and parities."""
-    return bool(near(table([x, y]), np.array([0]), np.array([1]), percent)[0])
-
-
 def table(marks: list[bytes]):
     """Sizes, short bitmaps, and whole bitmaps of marks."""
     own = [np.frombuffer(x, np.uint64) for x in marks]
@@ -78,7 +73,7 @@ def table(marks: list[bytes]):
 
 
 def near(held, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the pairs of places can link: see :func:`may_link`."""
+    """Which of the pairs of places can link by their sizes and parities."""
     n, short, own = held
     good = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
     at = np.flatnonzero(good)

@@ -65,7 +65,10 @@ def test_sets_at_the_limit_are_found(percent):
             assert shingles.links(x.tobytes(), y.tobytes(), percent)
             assert np.intersect1d(hyperminhash.signatures(x, percent), hyperminhash.signatures(y, percent)).size
             marks = [hyperminhash.mark(z, percent) for z in (y, x)]
-            assert hyperminhash.may_link(*marks, percent)
+            held, at = hyperminhash.table(marks), (np.array([0]), np.array([1]))
+            assert hyperminhash.near(held, *at, percent).all()
+            both = np.intersect1d(hyperminhash.signatures(x, percent), hyperminhash.signatures(y, percent))
+            assert hyperminhash.first(held, *at, percent).view(np.uint64)[0] in both
 
 
 def test_estimates_are_unbiased_and_blocks_agree_with_pairs():
@@ -78,15 +81,17 @@ def test_estimates_are_unbiased_and_blocks_agree_with_pairs():
             none = int(((a == hyperminhash.EMPTY) & (b == hyperminhash.EMPTY)).sum())
             found.append(hyperminhash.estimate(n, n, int((a == b).sum()) - none, hyperminhash.BUCKETS - none))
         assert abs(np.mean(found) - same / (2 * n - same)) < 0.01
-    marks = []
-    for _ in range(60):
-        n = int(rng.integers(3, 200))
-        for z in pair(rng, n, n, int(n * rng.uniform(0.6, 1))):
-            marks.append(hyperminhash.mark(z))
+    sets = [z for n in rng.integers(3, 200, 60).tolist() for z in pair(rng, n, n, int(n * rng.uniform(0.6, 1)))]
+    marks = [hyperminhash.mark(z) for z in sets]
     i, j = np.triu_indices(len(marks), 1)
-    met = hyperminhash.near(hyperminhash.table(marks), i, j)
+    held = hyperminhash.table(marks)
+    met = hyperminhash.near(held, i, j)
     assert met.any() and not met.all()
-    assert [hyperminhash.may_link(marks[a], marks[b]) for a, b in zip(i, j)] == met.tolist()
+    pair_at = (np.array([0]), np.array([1]))
+    assert [hyperminhash.near(hyperminhash.table([marks[a], marks[b]]), *pair_at)[0] for a, b in zip(i, j)] == met.tolist()
+    sigs = [set(hyperminhash.signatures(z).tolist()) for z in sets]
+    first = hyperminhash.first(held, i, j).view(np.uint64).tolist()
+    assert [f in sigs[a] & sigs[b] if sigs[a] & sigs[b] else f == 0 for f, a, b in zip(first, i, j)].count(False) == 0
 
 
 def test_registered_query(spark, documents, tmp_path):
