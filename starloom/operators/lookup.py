@@ -8,12 +8,13 @@ more than a task's fair share of the feed are spread over as many tasks as they
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 from math import ceil
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +95,13 @@ def key_hash(df: DataFrame, keys) -> Column:
     return F.when(~any_null, F.xxhash64(*wide))
 
 
+def hot_frame(spark: SparkSession, found: list[tuple[int, int]]) -> DataFrame:
+    """(_key_hash, _salts) of hot keys, at most a row per partition, as a constant."""
+    text = json.dumps([{"_key_hash": h, "_salts": n} for h, n in found])
+    rows = F.from_json(F.lit(text), "array<struct<_key_hash bigint, _salts int>>")
+    return spark.range(1).select(F.inline(rows))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -118,8 +126,7 @@ def spread_join(
     found, null_salts = census.salts(keys)
     if not found and null_salts == 1:
         return _join(left, right, keys, how, residual)
-    # at most a row per partition
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, "_key_hash bigint, _salts int"))
+    hot = F.broadcast(hot_frame(left.sparkSession, found))
     spread = F.xxhash64(*left.columns)
     salted_left = left.withColumn("_key_hash", key_hash(left, keys)).join(hot, "_key_hash", "left")
     salted_left = salted_left.withColumn(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from starloom.context import OPEN_END, LoadContext, materialise
 from starloom.operators import keys as surrogate
-from starloom.operators.lookup import Census, _join, key_hash, sized
+from starloom.operators.lookup import Census, _join, hot_frame, key_hash, sized
 from starloom.operators.merge import changed
 
 
@@ -188,8 +188,7 @@ def sweep_join(
     group = [key]
     if hot:
         group.append("_month")
-        ids = F.broadcast(facts.sparkSession.createDataFrame([(h,) for h, _ in hot], "_key_hash bigint"))
-        ids = ids.withColumn("_hot", F.lit(True))
+        ids = F.broadcast(hot_frame(facts.sparkSession, hot).select("_key_hash", F.lit(True).alias("_hot")))
 
         def marked(df):
             return df.withColumn("_key_hash", key_hash(df, [key])).join(ids, "_key_hash", "left").drop("_key_hash")
