@@ -30,9 +30,10 @@ STAR_ROUNDS = 3
 CELL = 2048
 #: A signature that a task meets more often than this within ``FLUSH`` rows is salted.
 OFTEN = 8
-SALTS = 32
+#: The salt takes the low bits of a signature, which keeps the others.
+SALTS = 31
 FLUSH = 200_000
-POSTINGS = "sig bigint, salt tinyint, id bigint"
+POSTINGS = "sig bigint, id bigint"
 #: Pairs that a task remembers, so as not to return them again for another bucket.
 SEEN_PAIRS = 500_000
 #: Pairs of places that a task compares at once.
@@ -75,7 +76,7 @@ class Poster:
     on: its first rows go where all tasks send theirs, the others are spread.
     """
 
-    schema = pa.schema([("sig", pa.int64()), ("salt", pa.int8()), ("id", pa.int64())])
+    schema = pa.schema([("sig", pa.int64()), ("id", pa.int64())])
 
     def __init__(self, flush: int = FLUSH):
         self.flush, self.n = flush, 0
@@ -91,27 +92,27 @@ class Poster:
 
     def take(self) -> pa.RecordBatch:
         sigs = np.concatenate(self.sigs) if self.sigs else np.zeros(0, np.uint64)
+        sigs = sigs & ~np.uint64(SALTS)
         ids = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int64)
         self.sigs, self.ids, self.n = [], [], 0
         order = np.argsort(sigs, kind="stable")
         s = sigs[order]
         new = np.concatenate(([True], s[1:] != s[:-1])) if len(s) else np.zeros(0, bool)
         rank = np.arange(len(s)) - np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
-        salt = np.zeros(len(s), np.int8)
         often = order[rank >= OFTEN]
-        salt[often] = 1 + mix(ids[often].view(np.uint64)) % np.uint64(SALTS)
-        return pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(salt), pa.array(ids)], schema=self.schema)
+        sigs[often] |= np.uint64(1) + mix(ids[often].view(np.uint64)) % np.uint64(SALTS)
+        return pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids)], schema=self.schema)
 
 
 def shared_buckets(postings: DataFrame) -> DataFrame:
     """(sig, id, weight) of the signatures that two or more ids have, from ``postings``
-    (sig, salt, id); now and then an id twice. A salted row is one of several by itself.
-    An id's weight is how many it meets over all its signatures, or fewer where those
-    are salted: a hint at whom to compare first."""
-    at = ("sig", "salt")
-    once = postings.repartition(*at).groupBy(*at, "id").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    sized = once.withColumn("size", F.count(F.lit(1)).over(W.partitionBy(*at))).filter("size > 1 OR salt > 0")
-    sized = materialise(sized, "buckets")
+    (sig, id); now and then an id twice. A salted row is one of several by itself. An
+    id's weight is how many it meets over all its signatures, or fewer where those are
+    salted: a hint at whom to compare first."""
+    once = postings.repartition("sig").groupBy("sig", "id").agg(F.count(F.lit(1)).alias("n")).drop("n")
+    salted = F.col("sig").bitwiseAND(SALTS) > 0
+    sized = once.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("sig"))).filter((F.col("size") > 1) | salted)
+    sized = materialise(sized.withColumn("sig", F.col("sig").bitwiseAND(~SALTS)), "buckets")
     return sized.select("sig", "id").join(sized.groupBy("id").agg(F.sum("size").alias("weight")), "id")
 
 
@@ -245,7 +246,7 @@ def _compare(table, near, first):
             good &= (column["i"][i] == column["j"][i]) | (column["block"][i] != column["block"][j])
             i, j = i[good], j[good]
             if first is not None:  # a pair that shares many buckets is met in one of them
-                good = first(marks, i, j) == column["sig"][i]
+                good = first(marks, i, j) & ~SALTS == column["sig"][i]
                 i, j = i[good], j[good]
             good = near(marks, i, j)
             a, b = column["id"][i[good]], column["id"][j[good]]

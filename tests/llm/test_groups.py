@@ -149,7 +149,7 @@ def test_components_of_large_buckets(spark, monkeypatch, cell, star_rounds):
         for b in numbers:
             if 0 < b - a <= 2:
                 want.join(a, b)
-    postings = spark.createDataFrame([(s, t, i) for s, i in buckets for t in ({0} if s >= 100 else {0, i % 3})], components.POSTINGS)
+    postings = spark.createDataFrame([(32 * s + t, i) for s, i in buckets for t in ({0} if s >= 100 else {0, i % 3})], components.POSTINGS)
     shared = components.shared_buckets(postings)
     marks = spark.createDataFrame([(n, n // 3, n.to_bytes(8, "little")) for n in numbers], "id bigint, lane bigint, mark binary")
     tested = []
@@ -173,9 +173,9 @@ def test_components_of_large_buckets(spark, monkeypatch, cell, star_rounds):
 def test_often_posted_signatures_are_salted():
     posted = components.Poster(flush=1000)
     for i in range(400):
-        full = posted.add(np.array([7, 1000 + i, 8 if i < 5 else 5000 + i], np.uint64), i)
+        full = posted.add(np.array([7, 1000 + i, 8 if i < 5 else 5000 + i], np.uint64) * np.uint64(32), i)
         assert full == (i >= 333)
-    rows = list(zip(*(c.to_pylist() for c in posted.take().columns)))
+    rows = [(s // 32, s % 32, i) for s, i in zip(*(c.to_pylist() for c in posted.take().columns))]
     assert len(rows) == 1200 and sorted(i for s, _, i in rows if s == 7) == list(range(400))
     assert sum(t == 0 for s, t, _ in rows if s == 7) == components.OFTEN
     assert {t for s, t, _ in rows if s != 7} == {0} and len({t for s, t, _ in rows if s == 7}) > 20
