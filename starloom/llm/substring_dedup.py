@@ -142,7 +142,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     windows = in_batches(asked, _open_windows(window, edge), "h1 bigint, h2 bigint, key bigint, tag bigint, pos int")
     windows = materialise(windows, "windows")
     lows = windows.groupBy("h1", "h2").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
-    later = windows.join(lows.drop("high"), ["h1", "h2"]).filter("low < key")
+    lows = materialise(lows.drop("high"), "lows")
+    later = windows.join(lows, ["h1", "h2"]).filter("low < key")
     spans = later.select("key", "tag", F.struct(F.col("pos").alias("start"), (F.col("pos") + window).alias("end")).alias("span"))
     # steps are shorter than a window or longer: only paths of a window or more cover windows
     whole = paths.withColumn("end", F.col("reach") + edge).filter(F.col("end") - F.col("start") >= window)
