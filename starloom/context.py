@@ -18,6 +18,8 @@ from starloom.functions.dates import ntz
 
 OPEN_END = date(9999, 12, 31)
 UNKNOWN_START = date(1900, 1, 1)
+#: Tasks per core that write an intermediate table.
+WAVES = 4
 
 
 @dataclass(frozen=True)
@@ -80,6 +82,17 @@ def together(*tasks: Callable[[], object]) -> list:
     return [r.result() for r in running]
 
 
+def at_most_waves(df: DataFrame, waves: int = WAVES) -> DataFrame:
+    """``df`` in so few partitions that its tasks fill the cores ``waves`` times over.
+    Nothing is shuffled for that: a task takes several partitions one after the other,
+    and a frame of very many small ones is written as fewer files. Under dynamic
+    allocation, where the number of cores says little, the partitions stay."""
+    context = df.sparkSession.sparkContext
+    if context.getConf().get("spark.dynamicAllocation.enabled", "false") == "true":
+        return df
+    return df.coalesce(waves * context.defaultParallelism)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
@@ -88,5 +101,5 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     re-run reads the same rows again.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    at_most_waves(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
