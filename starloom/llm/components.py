@@ -34,6 +34,8 @@ OFTEN = 8
 SALTS = 31
 FLUSH = 200_000
 POSTINGS = "sig bigint, id bigint"
+#: Tasks that buckets with one smallest member are dealt to, so that few meet a pair again.
+HOMES = 4
 #: Pairs that a task remembers, so as not to return them again for another bucket.
 SEEN_PAIRS = 500_000
 #: Pairs of places that a task compares at once.
@@ -133,6 +135,7 @@ def linked_components(
     near: Callable[[object, np.ndarray, np.ndarray], np.ndarray],
     first: Callable[[object, np.ndarray, np.ndarray], np.ndarray] | None = None,
     star_rounds: int = STAR_ROUNDS,
+    merge_alike: bool = False,
 ) -> DataFrame:
     """``id`` and ``comp`` of the ids that are linked with others.
 
@@ -142,7 +145,9 @@ def linked_components(
     some marks in order for ``near``, which tells of pairs of their places whether they
     may link; ``first``, if the marks tell it, gives the signature in whose bucket alone a
     pair is to be returned. Every pair that shares a bucket is tested unless its two
-    sides are in one component already or lanes or marks rule it out.
+    sides are in one component already or lanes or marks rule it out. With
+    ``merge_alike`` (and without ``first``), of open buckets with the same members one is
+    compared: a passage that some texts share makes many.
     """
     members = buckets.withColumn("comp", F.col("id"))
     known = None  # id, comp of all that linked so far
@@ -168,7 +173,8 @@ def linked_components(
             found = members.filter("comp <> lead_comp")
             found = found.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b"))
         else:
-            found = _across(members.select("sig", "id", "comp"), marks, table, near, first)
+            left = members.select("sig", "id", "comp")
+            found = _across(_without_alike(left) if merge_alike else left, marks, table, near, first)
         known, more = settle(found, known)
         members = members.drop("lead_id", "lead_comp")
         if more:
@@ -177,6 +183,21 @@ def linked_components(
     return known if known is not None else buckets.select("id", F.col("id").alias("comp")).limit(0)
 
 
+def _without_alike(members: DataFrame) -> DataFrame:
+    """Of buckets that have the same ids, one (told by their number and four sums over
+    digests of the ids); ``home``: the bucket's smallest id and one of ``HOMES`` numbers.
+    Buckets with many ids in common mostly have the smallest in common."""
+    sums = []
+    for digest in (F.xxhash64("id"), F.xxhash64("id", F.lit(1))):
+        sums += [F.sum(digest.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(digest, 32))]
+    sums = [F.count(F.lit(1)), *sums, F.min("id")]
+    names = [f"s{i}" for i in range(len(sums))]
+    told = members.groupBy("sig").agg(*[s.alias(n) for s, n in zip(sums, names)])
+    kept = told.groupBy(*names).agg(F.min("sig").alias("sig"))
+    kept = kept.select("sig", F.xxhash64(names[-1], F.pmod(F.xxhash64("sig"), F.lit(HOMES))).alias("home"))
+    return members.join(materialise(kept, "unlike"), "sig")
+
+
 _CELL = ["sig", "lane", "i", "j"]
 
 
@@ -186,7 +207,8 @@ def _across(members: DataFrame, marks: DataFrame, table, near, first) -> DataFra
     big = materialise(big, "big")
     marked = members.join(marks, "id")
     zero = F.lit(0).cast("bigint")
-    plain = ("sig", zero.alias("lane"), zero.alias("i"), zero.alias("j"), zero.alias("block"), F.lit(True).alias("own"))
+    home = (F.col("home") if "home" in members.columns else F.col("sig")).alias("home")
+    plain = ("sig", zero.alias("lane"), zero.alias("i"), zero.alias("j"), zero.alias("block"), F.lit(True).alias("own"), home)
     body = ("id", "comp", "mark")
     if big.isEmpty():
         cells = marked.select(*plain, *body)
@@ -202,8 +224,9 @@ def _across(members: DataFrame, marks: DataFrame, table, near, first) -> DataFra
         laned = laned.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")))
         laned = laned.withColumn("x", F.explode(F.sequence(zero, F.col("parts") - 1)))
         ends = (F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"))
-        cells = small.unionByName(laned.select("sig", "lane", *ends, "block", "own", *body))
-    dealt = cells.repartition(*_CELL).sortWithinPartitions(*_CELL)
+        laned = laned.select("sig", "lane", *ends, "block", "own", *body)
+        cells = small.unionByName(laned.withColumn("home", F.xxhash64(*_CELL)))
+    dealt = cells.repartition("home").sortWithinPartitions(*_CELL).drop("home")
     return in_batches(dealt, _compare(table, near, first), "a bigint, b bigint")
 
 

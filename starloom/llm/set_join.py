@@ -104,7 +104,7 @@ def set_components(
         whole = materialise(items.select("id", "tokens").filter(perhaps(asked, "id")).dropDuplicates(["id"]), "whole")
         return filter_pairs(left, whole, "tokens", lambda xs, ys: [links(x, y, percent) for x, y in zip(xs, ys)])
 
-    comp = linked_components(buckets, test, marks, table, near, first)
+    comp = linked_components(buckets, test, marks, table, near, first, merge_alike=first is None)
     for held in sent:
         held.destroy()
     # a set or a component may hold a third of all rows: both joins spread such keys
