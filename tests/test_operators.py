@@ -32,6 +32,19 @@ def test_keep_first_ships_one_row_per_key_and_task(spark):
     assert plan.count("WindowGroupLimit") >= 2  # before and after the shuffle
 
 
+def test_keep_first_stored_shuffles_rows_of_repeated_keys_only(spark):
+    n = F.col("id")
+    unique = materialise(spark.range(3000).select(n.alias("a"), F.lit(None).cast("bigint").alias("b"), n.alias("v")))
+    assert dedup.keep_first_stored(unique, ["a", "b"], ["v"]) is unique
+    swapped = unique.select(F.col("b").alias("a"), F.col("a").alias("b"), "v")  # the same digests
+    again = unique.filter("a % 500 = 0").withColumn("v", F.col("v") - 1)
+    mixed = materialise(unique.unionByName(swapped.filter("b < 40")).unionByName(again))
+    found = dedup.keep_first_stored(mixed, ["a", "b"], ["v"])
+    assert rows(found) == rows(dedup.keep_first(mixed, ["a", "b"], ["v"]))
+    assert found.count() == 3040
+    assert rows(dedup.few_duplicate_groups(mixed, ["a", "b"])) == rows(dedup.duplicate_groups(mixed, ["a", "b"]))
+
+
 def test_label_choice_is_deterministic_and_hash_aggregated(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None)], "k int, name string")
     got = dedup.one_label_per_key(df, ["k"], ["name"])

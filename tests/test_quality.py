@@ -88,6 +88,26 @@ def test_declared_rules_find_faults(spark, limit):
     assert broken == sorted([("ce_product", *w) for w in want], key=lambda t: tuple(map(str, t)))
 
 
+def test_rule_counts_of_a_long_table_shuffle_no_wide_rows(spark):
+    wide = [F.lit("x" * 40).alias("source_system"), F.lit("y" * 40).alias("source_entity")]
+    ids = spark.range(6000).select((F.col("id") % 5990).alias("product_id"), F.col("id").alias("product_src_id"))
+    product = ids.withColumn("product_src_id", F.when(F.col("product_src_id") < 5998, F.col("product_src_id")).otherwise(7))
+    product = product.select("*", (F.col("product_id") % 3).alias("category_id"), *wide)
+    category = spark.range(2).withColumnRenamed("id", "category_id")
+    tables, rules = {"ce_category": category, "ce_product": materialise(product)}, constraints.NF3_RULES["ce_product"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        found = constraints.rule_counts("ce_product", tables, rules)
+        counts = {r.rule: r.violations for r in found.collect()}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts["ce_product unique(product_id)"] == 20
+    assert counts["ce_product unique(source_system, source_entity, product_src_id)"] == 3
+    assert counts["ce_product.category_id -> ce_category"] == sum(i % 5990 % 3 == 2 for i in range(6000))
+    assert "LeftOuter" not in plan  # nothing is joined back to the rows
+
+
 def test_orphans_read_the_parents_once(spark):
     parent = materialise(spark.range(1000).withColumnRenamed("id", "pk"))
     child = materialise(spark.range(5000).select((F.col("id") % 1200).alias("fk"), F.col("id").cast("string").alias("name")))
