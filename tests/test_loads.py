@@ -449,3 +449,15 @@ def test_staging_without_repeats_is_written_as_it_comes(spark, tmp_path):
         assert log.rows().first()["message"] == f"read={n}, kept={kept}, duplicates={n - kept}, rejects=0"
         if n == kept:  # one file per task of the feed: nothing was shuffled on the way
             assert len(store.read(ONLINE.table).inputFiles()) == 5
+
+
+def test_new_sales_are_the_stored_ones_if_none_is_known_or_repeated(spark):
+    columns = [f for f in schemas.struct(schemas.NF3["ce_sales"]) if f.name != "sale_id"]
+    n = spark.range(50).select(*[
+        F.col("id").cast("string").alias(f.name) if f.name == "sale_src_id" else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in columns
+    ])
+    stored, none = materialise(n), n.limit(0)
+    assert nf3.new_sales(none, stored) is stored
+    twice = materialise(n.unionByName(n.filter("sale_src_id < '2'")))
+    assert rows(nf3.new_sales(none, twice), "sale_src_id") == rows(n, "sale_src_id")
