@@ -461,3 +461,17 @@ def test_new_sales_are_the_stored_ones_if_none_is_known_or_repeated(spark):
     assert nf3.new_sales(none, stored) is stored
     twice = materialise(n.unionByName(n.filter("sale_src_id < '2'")))
     assert rows(nf3.new_sales(none, twice), "sale_src_id") == rows(n, "sale_src_id")
+
+
+def test_feed_shuffles_the_order_lines_once(spark, tmp_path):
+    one = "/root/testdata/sf0.001"
+    columns = ("source_id", "invoice_ts", "customer_id", "customer_lastname", "city_id", "payment_method")
+    want = feed.sales(spark, one, *columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = feed.sales(spark, one, *columns)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("(l_orderkey#") < plan.index("= c_custkey#")  # the customers join the orders first
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
