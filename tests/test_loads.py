@@ -1,6 +1,7 @@
 import time
 from datetime import date, datetime
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -451,6 +452,49 @@ def test_staging_without_repeats_is_written_as_it_comes(spark, tmp_path):
             assert len(store.read(ONLINE.table).inputFiles()) == 5
 
 
+def test_months_are_written_without_a_shuffle(spark, tmp_path):
+    """Each task writes its own rows; a folder taken back leaves the table as it was."""
+    store = Store(spark, str(tmp_path), {"f": "id bigint, invoice_ts timestamp_ntz"})
+    txn = store.begin()
+    line = spark.range(0, 60, 1, 3).selectExpr("id", "timestamp_ntz'2024-01-05' + make_interval(0, cast(id % 2 AS int)) AS invoice_ts")
+    folders, n = txn.place_months("f", line)
+    assert (n, len(folders), len(txn.read("f").inputFiles())) == (60, 2, 6)
+    assert txn.read_folders("f", folders[:1]).count() == 30
+    txn.withdraw(folders)
+    assert txn.read("f").count() == 0
+
+
+def test_sales_are_written_once(spark, tmp_path, ctx):
+    """A load whose sales are all new writes them to their months and nowhere else; known
+    and bad ones leave no gaps in the numbers."""
+    names = schemas.names(schemas.STAGING[ONLINE.table])
+    none = spark.createDataFrame([], schemas.struct(schemas.STAGING[ONLINE.table]))
+    store = Store(spark, str(tmp_path / "dwh"))
+    log = AuditLog(spark, str(tmp_path / "log"))
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    for number, (first, last, bad) in enumerate(((0, 30, 0), (20, 50, 4), (20, 50, 0)), 1):
+        here = {
+            "source_id": F.when(F.col("id") >= first + bad, F.col("id").cast("string")),
+            "invoice_ts": F.expr("timestamp_ntz'2024-01-05'"),
+            "customer_id": F.col("id"),
+            "source_system": F.lit(ONLINE.system),
+            "source_entity": F.lit(ONLINE.entity),
+        }
+        cells = [here.get(c, F.lit(None)).cast(none.schema[c].dataType).alias(c) for c in names]
+        runs.stage(store, log, ctx, {ONLINE.table: spark.range(first, last, 1, 4).select(*cells)})
+        before = set(scratch.glob("sales-*"))
+        runs.run_nf3(store, log, ctx)
+        ids = sorted(r[0] for r in store.read("ce_sales").select("sale_id").collect())
+        assert ids == list(range(1, {1: 31, 2: 51, 3: 51}[number]))
+        assert bool(set(scratch.glob("sales-*")) - before) == (number > 1)
+    line = log.rows().filter("procedure_name = 'load_sales'").orderBy("log_id").collect()
+    assert [r["message"] for r in line] == [
+        "read=30, without id or time=0, known or merged=0",
+        "read=30, without id or time=4, known or merged=6",
+        "read=30, without id or time=0, known or merged=30",
+    ]
+
+
 def test_new_sales_are_the_stored_ones_if_none_is_known_or_repeated(spark):
     columns = [f for f in schemas.struct(schemas.NF3["ce_sales"]) if f.name != "sale_id"]
     n = spark.range(50).select(*[

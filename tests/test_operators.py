@@ -76,6 +76,27 @@ def test_assign_tells_null_from_blank(spark):
     assert sorted(r["sk"] for r in keys.assign(df, ["k"], "sk").collect()) == [1, 2, 3]
 
 
+def test_assign_placed_numbers_written_rows_without_a_write(spark):
+    frames = [materialise(spark.range(n).selectExpr(f"id + {at} AS id").repartition(5)) for n, at in ((1000, 0), (300, 5000))]
+    none = spark.createDataFrame([], "id bigint")
+    parts = keys.assign_placed([*frames, none], "sk", 40)
+    got = [r for p in parts for r in p.collect()]
+    assert sorted(r["sk"] for r in got) == list(range(41, 1341))
+    assert len({r["id"] for r in got}) == 1300
+    assert sorted(got) == sorted(r for p in keys.assign_placed([*frames, none], "sk", 40) for r in p.collect())
+
+
+def test_missing_stored_moves_digests(spark):
+    n = spark.range(100).selectExpr("id AS a", "cast(id % 7 AS string) AS b", "id * 2 AS v")
+    stored, names = materialise(n), ["a", "b"]
+    assert merge.missing_stored(n.limit(0), stored, names) is stored
+    assert merge.missing_stored(n.filter("a < 40").withColumn("b", F.lit("x")), stored, names) is stored
+    assert merge.missing_stored(n.unionByName(n), stored, names).count() == 0
+    assert rows(merge.missing_stored(n.filter("a < 40"), stored, names)) == rows(n.filter("a >= 40"))
+    holes = materialise(n.withColumn("b", F.when(F.col("a") > 4, F.col("b"))))
+    assert rows(merge.missing_stored(holes, holes, names), "a") == rows(n.filter("a <= 4"), "a")  # NULL is nobody's equal
+
+
 def test_assign_stamped_continues(spark):
     written = materialise(keys.stamp_slots(spark.range(1000).repartition(5)))
     ids = sorted(r["sk"] for r in keys.assign_stamped(written, "sk", 40).collect())
