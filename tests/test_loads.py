@@ -349,6 +349,36 @@ def test_no_folder_is_lost_under_threads(spark, tmp_path):
     assert {f.table for f in txn.folders} == {"x", *(f"t{i}" for i in range(40))}
 
 
+def test_fact_rows_stay_where_their_joins_left_them(spark):
+    """Rows that a join has shuffled are not shuffled once more to find repeated keys."""
+    n = F.col("id")
+    here = {
+        "sale_src_id": (n % 50).cast("string"),
+        "invoice_ts": F.expr("timestamp_ntz'2024-01-05'"),
+        "customer_src_id": n % 5,
+        **{f"{c}_id": n % m for c, m in (("product", 10), ("retailer", 5), ("city", 3), ("sales_method", 2), ("payment_method", 2))},
+        "source_system": F.lit("A"),
+        "source_entity": F.lit("B"),
+    }
+    layout = schemas.struct(schemas.NF3["ce_sales"])
+    sales = spark.range(100).select(*[here.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in layout])
+    ids = {"product": 10, "retailer": 5, "sales_method": 2, "payment_method": 2}
+    maps = {c: spark.range(m).select(n.alias(f"{c}_id"), (n + 100).alias(f"{c}_key")) for c, m in ids.items()}
+    places = spark.range(3).select(n.alias("city_id"), n.alias("geo_key"))
+    people = spark.range(5).selectExpr("id AS customer_key", "id AS customer_src_id", "19000101 AS start_date_key", "99991231 AS end_date_key")
+    ends = date(2024, 1, 1), date(2024, 1, 31)
+    want = rows(fact.refresh(materialise(sales), maps, places, people, *ends))
+    assert len(want) == 50
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = fact.refresh(materialise(sales), maps, places, people, *ends)
+        moved = [e for e in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in e]
+        assert moved and not any("sale_src_id" in e for e in moved)
+        assert rows(got) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_sales_outside_the_window_are_not_read(spark, tmp_path):
     from starloom.sources.store import Store
 
