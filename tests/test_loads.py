@@ -1,4 +1,7 @@
+import io
+import re
 import time
+from contextlib import redirect_stdout
 from datetime import date, datetime
 from decimal import Decimal as D
 from pathlib import Path
@@ -549,3 +552,51 @@ def test_feed_shuffles_the_order_lines_once(spark, tmp_path):
         assert rows(got) == rows(want)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _method_sizes(df):
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain("codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+
+
+@pytest.mark.parametrize("spec", [INSTORE, ONLINE])
+def test_rows_are_cleaned_in_methods_that_the_jvm_compiles(spark, tmp_path, ctx, spec):
+    """HotSpot interprets methods of more than 8,000 bytes for ever."""
+    (tmp_path / "raw.csv").write_text(",".join(spec.raw_columns) + "\n")
+    raw = extracts.read_raw(spark, str(tmp_path / "raw.csv"), spec)
+    for df in (extracts.clean_rows(raw, spec, ctx), extracts.marked_rows(raw, spec, ctx)):
+        sizes = _method_sizes(df)
+        assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        [ON_LINES[0], ON_LINES[0].replace("1,Web", "9,Web", 1), ON_LINES[1].replace(",1,$40", ",1-2,$40"), "," + ON_LINES[1].split(",", 1)[1]],
+        [ON_LINES[1].replace(",1,$40", ",1-2,$40").replace("3/21/2024", "2/30/2024")],
+        ON_LINES,
+        [],
+    ],
+    ids=["good, repeated and bad", "bad only", "good only", "none"],
+)
+def test_good_and_bad_rows_are_staged_in_one_pass(spark, tmp_path, lines):
+    """The same rows and the same log as from two passes; both kinds lie in one write."""
+    ctx = LoadContext.on(DAY1)
+    (tmp_path / "raw.csv").write_text("\n".join([HEAD_ON, *lines]) + "\n")
+    raw = extracts.read_raw(spark, str(tmp_path / "raw.csv"), ONLINE)
+    clean, bad = extracts.clean_rows(raw, ONLINE, ctx), extracts.rejects(raw, ONLINE)
+    found = []
+    for name, frames in (
+        ("one", ({ONLINE.table: extracts.marked_rows(raw, ONLINE, ctx)},)),
+        ("two", ({ONLINE.table: clean}, {ONLINE.table: bad})),
+    ):
+        store, log = Store(spark, str(tmp_path / name)), AuditLog(spark, str(tmp_path / f"{name}-log"))
+        runs.stage(store, log, ctx, *frames)
+        lines_of = rows(log.rows(), "procedure_name", "rows_affected", "message")
+        found.append((rows(store.read(ONLINE.table)), rows(store.read("load_rejects")), lines_of))
+        if name == "one":
+            paths = {Path(f.path).parent for f in store.snapshot()[1] if "at_fault=" in f.path}
+            assert len(paths) == (1 if lines else 0)
+    assert found[0] == found[1]
