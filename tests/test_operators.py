@@ -97,6 +97,24 @@ def test_missing_stored_moves_digests(spark):
     assert rows(merge.missing_stored(holes, holes, names), "a") == rows(n.filter("a <= 4"), "a")  # NULL is nobody's equal
 
 
+def test_missing_stored_of_many_known_keys(spark, monkeypatch):
+    """Where a bitmap would hold nothing back, rows are told apart by digests, not by wide keys."""
+    monkeypatch.setattr(merge, "SPARSE", 1 << 30)
+    n = spark.range(200).selectExpr("id AS a", "cast(id % 7 AS string) AS b", "id * 2 AS v")
+    n = n.unionByName(n.filter("a < 9")).withColumn("b", F.when(F.col("a") % 50 > 0, F.col("b")))
+    stored, known = materialise(n), n.filter("a < 120 AND b IS NOT NULL")
+    count, bits = merge.known_digests(known, stored, ["a", "b"])
+    assert count == known.count() and bits.columns == ["_word", "_bits"]
+    got = merge.missing_stored(known, stored, ["a", "b"])
+    assert rows(got) == rows(merge.insert_missing(known, stored, ["a", "b"]).select(*n.columns))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = merge.missing_stored(known, stored, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("hashpartitioning(_a#") == 2 and plan.count("hashpartitioning") == 2
+
+
 def test_assign_stamped_continues(spark):
     written = materialise(keys.stamp_slots(spark.range(1000).repartition(5)))
     ids = sorted(r["sk"] for r in keys.assign_stamped(written, "sk", 40).collect())
@@ -136,6 +154,25 @@ def test_resolve_same_on_both_sides_of_the_size_check(feed_and_table, limit):
     assert inner.count() == 301
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_long_lookups_of_numbers_are_packed(spark, how):
+    """Beyond Spark's limit a lookup of numbers is broadcast in blocks: the feed stays where
+    it is. Negative, wide, missing and NULL keys and blank tags give what a plain join gives."""
+    key = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 7 == 1, -F.col("id")).otherwise(F.col("id") * 3)
+    tag = F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 2 == 0, "x").otherwise("")
+    feed = spark.range(0, 5000, 1, 3).select("id", key.alias("k"), tag.alias("t"))
+    ids = spark.range(-3000, 9000).withColumn("t", F.explode(F.array(F.lit("x"), F.lit(""), F.lit(None).cast("string"))))
+    table = ids.filter("id % 5 <> 0").select("t", F.col("id").cast("int").alias("key"), (F.col("id") * 10**12).alias("v"))
+    near = materialise(table.withColumn("v", F.xxhash64("t", "key") % 1_000_000))
+    match, limit = {"t": "t", "k": "key"}, 30_000
+    for lookup_table, moves in ((near, False), (near.unionByName(near.limit(3)), True), (table, True)):
+        got = lookup.resolve(feed, lookup_table, match, "v", how=how, limit=limit)
+        want = lookup.resolve(feed, lookup_table, match, "v", how=how, limit=1 << 62)
+        assert rows(got) == rows(want) and got.dtypes == want.dtypes
+        shuffles = got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")
+        assert (shuffles > 0) == moves  # keys that repeat and values far apart are not packed
+
+
 def test_hot_keys_are_spread(spark):
     """One key holds a third of the rows, one 0.4 %; NULL keys a tenth."""
     n = 300_000
