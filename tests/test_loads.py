@@ -17,7 +17,7 @@ from starloom.plans.audit import AuditLog
 from starloom.quality import constraints
 from starloom.sources import extracts, feed
 from starloom.sources.extracts import INSTORE, ONLINE
-from starloom.sources.store import Store
+from starloom.sources.store import Store, Txn
 
 DAY1, DAY2 = date(2024, 3, 10), date(2024, 4, 10)
 
@@ -554,6 +554,62 @@ def test_feed_shuffles_the_order_lines_once(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_feed_joins_parts_before_the_names_of_places(spark):
+    one = "/root/testdata/sf0.001"
+    columns = ("source_id", "product", "region", "state", "retailer")
+    want = feed.sales(spark, one, *columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = feed.sales(spark, one, *columns)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("= n_nationkey#") < plan.index("= p_partkey#")  # the outer join is printed first
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_extracts_are_compressed_in_files_that_many_tasks_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(extracts, "TEXT_ROWS", 40)
+    n = spark.range(0, 100, 1, 1).selectExpr("cast(id AS string) AS `index`", "CASE WHEN id % 9 > 0 THEN 'a, \"b\"' END AS product")
+    extracts.convert(n, str(tmp_path / "csv"))
+    files = sorted(f.name for f in (tmp_path / "csv").glob("part-*"))
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    back = spark.read.schema(n.schema).option("header", True).csv(str(tmp_path / "csv"))
+    assert rows(back) == rows(n)
+
+
+def test_long_tables_are_stored_compactly(spark, tmp_path):
+    store = Store(spark, str(tmp_path), {"f": "id bigint, invoice_ts timestamp_ntz", "g": "id bigint"})
+    txn = store.begin()
+    line = spark.range(6).selectExpr("id", "timestamp_ntz'2024-01-05' AS invoice_ts")
+    txn.place_months("f", line)
+    txn.append("g", line)
+    assert all(".zstd." in f for t in ("f", "g") for f in txn.read(t).inputFiles())
+
+
+def test_known_sales_are_not_written(spark, tmp_path, ctx, monkeypatch):
+    """A batch that was loaded before is told by digests, before any of its rows is written."""
+    names = schemas.names(schemas.STAGING[ONLINE.table])
+    none = spark.createDataFrame([], schemas.struct(schemas.STAGING[ONLINE.table]))
+    here = {
+        "source_id": F.col("id").cast("string"),
+        "invoice_ts": F.expr("timestamp_ntz'2024-01-05'"),
+        "customer_id": F.col("id"),
+        "source_system": F.lit(ONLINE.system),
+        "source_entity": F.lit(ONLINE.entity),
+    }
+    cells = [here.get(c, F.lit(None)).cast(none.schema[c].dataType).alias(c) for c in names]
+    store, log = Store(spark, str(tmp_path / "dwh")), AuditLog(spark, str(tmp_path / "log"))
+    runs.stage(store, log, ctx, {ONLINE.table: spark.range(20).select(*cells)})
+    written = []
+    write = Txn._write_months
+    monkeypatch.setattr(Txn, "_write_months", lambda *a, **k: written.append(write(*a, **k)) or written[-1])
+    for n in (20, 0):
+        runs.run_nf3(store, log, ctx)
+        assert sum(rows for _, rows in written) == n and store.read("ce_sales").count() == 20
+        written.clear()
+
+
 def _method_sizes(df):
     out = io.StringIO()
     with redirect_stdout(out):
